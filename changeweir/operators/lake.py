@@ -22,6 +22,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 from urllib.parse import quote
 
@@ -177,7 +178,7 @@ class LakeTable:
         self, parent: Commit | None, batch_id: str, operation: str, layers: list[dict], counts: dict[str, int]
     ) -> Commit:
         version = 0 if parent is None else parent.version + 1
-        now = self.spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss.SSS')").head()[0]
+        now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         body = {
             "version": version,
             "parent": None if parent is None else parent.version,
@@ -217,8 +218,7 @@ class LakeTable:
             return done
         parent = self.create().latest()
         layer = self._write(rows.select(*self.columns), _DELTA)
-        layer["rows"] = self._read_layer(layer).count()
-        return self._after(self._publish(parent, batch_id, "append", parent.layers + [layer], {"rows": layer["rows"]}))
+        return self._after(self._publish(parent, batch_id, "append", parent.layers + [layer], {}))
 
     def merge(self, changes: DataFrame, batch_id: str) -> Commit:
         """Upsert and delete by key: stored-form ``changes``, any order, repeats allowed.
@@ -263,8 +263,7 @@ class LakeTable:
             {"_commit_ts": F.lit(None).cast("timestamp_ntz"), "_seq": F.lit(seq).cast("bigint")}
         ).select(*self.stored.fieldNames())
         layer = self._write(stamped, _DELTA)
-        layer["rows"] = self._read_layer(layer).count()
-        return self._after(self._publish(parent, batch_id, "put", parent.layers + [layer], {"rows": layer["rows"]}))
+        return self._after(self._publish(parent, batch_id, "put", parent.layers + [layer], {}))
 
     def _tally(self, layer: dict) -> dict[str, int]:
         had, gone = F.col(BEFORE).isNotNull(), F.col("_op") == "DELETE"
@@ -274,7 +273,6 @@ class LakeTable:
             F.count_if(had & gone).alias("deleted"),
             F.count(F.lit(1)).alias("rows"),
         ).head()
-        layer["rows"] = row["rows"]
         return row.asDict()
 
     def _after(self, commit: Commit) -> Commit:
@@ -289,7 +287,6 @@ class LakeTable:
         if parent is None or not parent.layers or self.kind == "log":
             return parent
         layer = self._write(self.resolved(parent.version), _BASE)
-        layer["rows"] = None
         return self._publish(parent, f"compact-{parent.version}", "compact", [layer], {})
 
     # -- reads -----------------------------------------------------------------------

@@ -14,6 +14,7 @@ from changeweir.operators.decode import split_records
 from changeweir.operators.lake import Commit, LakeTable, tables_for
 from changeweir.plans.models import Thresholds
 from changeweir.schemas import SALES, TableSpec
+from changeweir.streaming.jobs import together
 from changeweir.streaming.views import MaintainedMarts
 
 QUARANTINE = T.StructType(
@@ -58,11 +59,12 @@ class ChangePipeline:
         batch = batch.persist()  # read once per table; lost blocks are read again from the source
         try:
             good, rejects = split_records(batch, self.specs)
-            self.quarantine.append(rejects, name)
-            commits = {
-                table: self.tables[table].merge(with_meta(rows, self.specs[table]), name)
+            merges = [
+                lambda t=table, rows=rows: self.tables[t].merge(with_meta(rows, self.specs[t]), name)
                 for table, rows in good.items()
-            }
+            ]
+            done = together(self.spark, *merges, lambda: self.quarantine.append(rejects, name))
+            commits = dict(zip(good, done))
         finally:
             batch.unpersist()
         if self.marts is not None:

@@ -17,9 +17,6 @@ that version, so a repeated one changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +26,7 @@ from changeweir.functions.columns import day, mean, money_sum
 from changeweir.operators.lake import BEFORE, LakeTable
 from changeweir.plans.models import MODELS, Thresholds, daily_of, summary_of
 from changeweir.schemas import MONEY, MONEY_SUM, ORDERS
+from changeweir.streaming.jobs import together
 
 _L, _S, _D, _N, _F = T.LongType(), T.StringType(), T.DateType(), T.TimestampNTZType(), T.DoubleType()
 
@@ -112,11 +110,10 @@ class MaintainedMarts:
         orders: LakeTable,
         thresholds: Thresholds = Thresholds(),
         keep_recent: int = 10,
-        threads: int = 4,
         **table_options,
     ):
         self.spark, self.customers, self.orders = spark, customers, orders
-        self.thresholds, self.keep_recent, self.threads = thresholds, keep_recent, threads
+        self.thresholds, self.keep_recent = thresholds, keep_recent
 
         def table(name: str, schema, key, bucket_by, kind: str) -> LakeTable:
             return LakeTable(spark, f"{root}/{name}", schema, key, kind, bucket_by, **table_options).create()
@@ -143,7 +140,8 @@ class MaintainedMarts:
         o = self.orders.changes(orders_version)
         c = self.customers.changes(customers_version)
 
-        self._together(
+        together(
+            self.spark,
             lambda: self._add("by_customer", o, ["customer_id", "order_date"]),
             lambda: self._add("by_status", o, ["status", "order_date"]),
             lambda: self._add("by_day", o, [day("created_at").alias("metric_date"), "customer_id"]),
@@ -157,7 +155,8 @@ class MaintainedMarts:
             .distinct()
         ).persist()
         try:
-            self._together(
+            together(
+                self.spark,
                 lambda: self._refresh_summary(touched),
                 lambda: self._refresh_status(o),
                 lambda: self._refresh_daily(o),
@@ -167,28 +166,6 @@ class MaintainedMarts:
         finally:
             touched.unpersist()
 
-    def _together(self, *steps: Callable[[], None]) -> None:
-        """Independent small jobs side by side; their tasks share the executors."""
-        if self.threads <= 1:
-            for step in steps:
-                step()
-            return
-        failures: list[BaseException] = []
-
-        def run(step: Callable[[], None]) -> None:
-            try:
-                step()
-            except BaseException as e:  # raised again below, in the caller's thread
-                failures.append(e)
-
-        workers = [InheritableThread(target=run, args=(s,), session=self.spark) for s in steps]
-        for w in workers:
-            w.start()
-        for w in workers:
-            w.join()
-        if failures:
-            raise failures[0]
-
     # -- additive tables -----------------------------------------------------------------
 
     def _signed(self, o: DataFrame) -> DataFrame:
