@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,13 +37,9 @@ def mod_type(raw: Column, strict: bool = False) -> Column:
 
 
 def envelope(value: Column) -> Column:
-    """Struct ``op, before, after`` of a message, wrapped in ``payload`` or not."""
-    e = F.from_json(value.cast("string"), ENVELOPE)
-    return F.struct(
-        F.coalesce(e["op"], e["payload"]["op"]).alias("op"),
-        F.coalesce(e["before"], e["payload"]["before"]).alias("before"),
-        F.coalesce(e["after"], e["payload"]["after"]).alias("after"),
-    )
+    """Generator of ``before, after, op, payload`` of a message, parsed once per row."""
+    opened = F.from_json(value.cast("string"), ENVELOPE)
+    return F.inline(F.array(opened)).alias("_before", "_after", "_op", "_payload")
 
 
 #: Message operation codes: create, snapshot read, update, delete.
@@ -56,25 +54,33 @@ def mod_type_of_op(op: Column) -> Column:
 
 
 def parsed(data: Column, spec: TableSpec) -> Column:
-    """The declared columns of a JSON row image as text, plus ``_corrupt`` when it is no JSON object."""
+    """Generator of the declared columns of a JSON row image as text, each named ``_t_<column>``.
+
+    ``_t__corrupt`` holds the text when it is no JSON object. As a generator's
+    output these are plain columns: later filters cannot pull the parsing along.
+    """
     fields = ", ".join(f"`{c}` STRING" for c in spec.columns)
-    return F.from_json(data, f"{fields}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
+    opened = F.from_json(data, f"{fields}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT})
+    return F.inline(F.array(opened)).alias(*[f"_t_{c}" for c in [*spec.columns, CORRUPT]])
 
 
-def typed(text: Column, spec: TableSpec) -> list[Column]:
-    """Each declared column cast from text; what does not fit its type becomes NULL."""
-    return [text[f.name].try_cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+def typed(spec: TableSpec) -> list[Column]:
+    """Each declared column cast from its parsed text; what does not fit its type becomes NULL."""
+    return [F.col(f"_t_{f.name}").try_cast(f.dataType).alias(f.name) for f in spec.schema.fields]
 
 
-def faults(data: Column, text: Column, spec: TableSpec) -> Column:
-    """Reasons a row image cannot be stored; empty when it can."""
-    reasons = [F.when(data.isNull() | text[CORRUPT].isNotNull(), F.lit("not json"))]
-    readable = text[CORRUPT].isNull()
+def faults(data: Column, spec: TableSpec, columns: Sequence[str]) -> Column:
+    """Reasons a parsed row image cannot be stored, looking at ``columns``; empty when it can."""
+    corrupt = F.col(f"_t_{CORRUPT}")
+    reasons = [F.when(data.isNull() | corrupt.isNotNull(), F.lit("not json"))]
     for f in spec.schema.fields:
+        if f.name not in columns:
+            continue
+        text = F.col(f"_t_{f.name}")
         if f.name in spec.required:
-            reasons.append(F.when(readable & text[f.name].isNull(), F.lit(f"missing {f.name}")))
+            reasons.append(F.when(data.isNotNull() & corrupt.isNull() & text.isNull(), F.lit(f"missing {f.name}")))
         if f.dataType.simpleString() != "string":
-            bad = readable & text[f.name].isNotNull() & text[f.name].try_cast(f.dataType).isNull()
+            bad = corrupt.isNull() & text.isNotNull() & text.try_cast(f.dataType).isNull()
             reasons.append(F.when(bad, F.lit(f"bad {f.name}")))
     return F.concat_ws("; ", *reasons)
 

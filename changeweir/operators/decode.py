@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,8 +12,6 @@ from changeweir.functions import changes as fch
 from changeweir.operators.ordering import HOT_ROWS, number_in_group
 from changeweir.schemas import TableSpec
 
-QUARANTINE_COLUMNS = ["table_name", "reason", "data", "commit_ts", "seq"]
-
 
 def snapshot_as_changes(rows: DataFrame, table: str, commit_ts: Column, seq: int = 0) -> DataFrame:
     """Every row of a table as an INSERT; ``seq`` 0 lets any real change win over it."""
@@ -50,8 +48,9 @@ def snapshot_records(tables: Mapping[str, tuple[DataFrame, TableSpec]], namespac
 def from_envelopes(messages: DataFrame) -> DataFrame:
     """Topic messages with ``op, before, after`` as JSON text; ``after`` is NULL for deletes."""
     rest = [c for c in messages.columns if c not in ("key", "value")]
-    opened = messages.select(*rest, fch.envelope(F.col("value")).alias("_e"))
-    return opened.select(*rest, "_e.op", "_e.before", "_e.after")
+    opened = messages.select(*rest, fch.envelope(F.col("value")))
+    sides = ("op", "before", "after")
+    return opened.select(*rest, *[F.coalesce(f"_{c}", f"_payload.{c}").alias(c) for c in sides])
 
 
 def envelope_records(messages: DataFrame) -> DataFrame:
@@ -74,7 +73,7 @@ def route(records: DataFrame, namespace: str) -> DataFrame:
     return records.withColumn("target_table", F.concat_ws(".", F.lit(namespace), F.col("table_name")))
 
 
-def unknown_tables(records: DataFrame, specs: Mapping[str, TableSpec]) -> DataFrame:
+def unknown_tables(records: DataFrame, specs: Iterable[str]) -> DataFrame:
     """Records of tables nobody declared. The declared names are a literal list of a few."""
     known = F.col("table_name").isin(*specs)
     return records.filter(~F.coalesce(known, F.lit(False)))
@@ -102,10 +101,9 @@ def decode_table(records: DataFrame, spec: TableSpec) -> DataFrame:
     ``reason`` is empty for good rows. Columns not declared are dropped, missing
     ones are NULL. A delete needs its key only.
     """
-    text = fch.parsed(F.col("data"), spec)
-    opened = records.withColumn("_t", text)
-    whole = fch.faults(F.col("data"), F.col("_t"), spec)
-    key_only = fch.faults(F.col("data"), F.col("_t"), _key_spec(spec))
+    opened = records.select("mod_type", "commit_ts", "seq", "data", fch.parsed(F.col("data"), spec))
+    whole = fch.faults(F.col("data"), spec, spec.columns)
+    key_only = fch.faults(F.col("data"), spec, spec.key)
     known_type = F.when(F.col("mod_type").isNull(), F.lit("unknown mod type"))
     reason = F.when(F.col("mod_type") == "DELETE", key_only).otherwise(whole)
     return default_times(
@@ -113,38 +111,32 @@ def decode_table(records: DataFrame, spec: TableSpec) -> DataFrame:
             "mod_type",
             "commit_ts",
             "seq",
-            *fch.typed(F.col("_t"), spec),
+            *fch.typed(spec),
             "data",
             F.concat_ws("; ", known_type, F.when(reason != "", reason)).alias("reason"),
         )
     )
 
 
-def _key_spec(spec: TableSpec) -> TableSpec:
-    from pyspark.sql.types import StructType
+def decode_all(records: DataFrame, specs: Mapping[str, TableSpec]) -> dict[str, DataFrame]:
+    return {name: decode_table(records.filter(F.col("table_name") == name), spec) for name, spec in specs.items()}
+
 
-    return TableSpec(spec.name, StructType([spec.schema[k] for k in spec.key]), spec.key, spec.key)
+def accepted(decoded: DataFrame, spec: TableSpec) -> DataFrame:
+    return decoded.filter(F.col("reason") == "").select("mod_type", "commit_ts", "seq", *spec.columns)
 
 
-def split_records(
-    records: DataFrame, specs: Mapping[str, TableSpec]
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Good typed changes per table, and everything else with the reason it was set aside."""
-    good: dict[str, DataFrame] = {}
-    rejects = [
-        unknown_tables(records, specs).select(
+def rejected(records: DataFrame, decoded: Mapping[str, DataFrame]) -> DataFrame:
+    """Every record that is not stored, with the reason it was set aside."""
+    parts = [
+        unknown_tables(records, decoded).select(
             "table_name", F.lit("unknown table").alias("reason"), "data", "commit_ts", "seq"
         )
     ]
-    for name, spec in specs.items():
-        decoded = decode_table(records.filter(F.col("table_name") == name), spec)
-        good[name] = decoded.filter(F.col("reason") == "").select("mod_type", "commit_ts", "seq", *spec.columns)
-        rejects.append(
-            decoded.filter(F.col("reason") != "").select(
-                F.lit(name).alias("table_name"), "reason", "data", "commit_ts", "seq"
-            )
-        )
-    return good, reduce(DataFrame.unionByName, rejects)
+    for name, rows in decoded.items():
+        bad = rows.filter(F.col("reason") != "")
+        parts.append(bad.select(F.lit(name).alias("table_name"), "reason", "data", "commit_ts", "seq"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def row_images(changes: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:

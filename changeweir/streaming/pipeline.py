@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeweir.operators.apply import with_meta
-from changeweir.operators.decode import split_records
+from changeweir.operators.decode import accepted, decode_all, rejected
 from changeweir.operators.lake import Commit, LakeTable, tables_for
 from changeweir.plans.models import Thresholds
 from changeweir.schemas import SALES, TableSpec
@@ -56,16 +56,21 @@ class ChangePipeline:
     def process(self, batch: DataFrame, batch_id: int | str) -> dict[str, Commit]:
         """One batch. Every commit carries the batch id, so a repeated batch changes nothing."""
         name = f"batch-{batch_id}"
-        batch = batch.persist()  # read once per table; lost blocks are read again from the source
+        # Read from the source once and parsed once; lost blocks are made again from it.
+        batch = batch.persist()
+        decoded = {t: rows.persist() for t, rows in decode_all(batch, self.specs).items()}
         try:
-            good, rejects = split_records(batch, self.specs)
             merges = [
-                lambda t=table, rows=rows: self.tables[t].merge(with_meta(rows, self.specs[t]), name)
-                for table, rows in good.items()
+                lambda t=t, rows=rows: self.tables[t].merge(
+                    with_meta(accepted(rows, self.specs[t]), self.specs[t]), name
+                )
+                for t, rows in decoded.items()
             ]
-            done = together(self.spark, *merges, lambda: self.quarantine.append(rejects, name))
-            commits = dict(zip(good, done))
+            done = together(self.spark, *merges, lambda: self.quarantine.append(rejected(batch, decoded), name))
+            commits = dict(zip(decoded, done))
         finally:
+            for rows in decoded.values():
+                rows.unpersist()
             batch.unpersist()
         if self.marts is not None:
             self.marts.refresh(commits["orders"].version, commits["customers"].version)
