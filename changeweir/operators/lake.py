@@ -194,7 +194,7 @@ class LakeTable:
         self.folder.publish(name, json.dumps(body, sort_keys=True))
         return Commit(version, batch_id, operation, layers, counts)
 
-    def _write(self, df: DataFrame, kind: str) -> dict:
+    def _write(self, df: DataFrame, kind: str, rebalance: bool = True) -> dict:
         name = f"data/{kind}-{uuid.uuid4().hex}"
         if kind == _BASE:
             # One file per bucket and task; rows of a bucket meet in one task.
@@ -203,7 +203,8 @@ class LakeTable:
             )
         else:
             # AQE sizes the files: one for a small batch, however many partitions it came in.
-            df.hint("rebalance").write.parquet(f"{self.root}/{name}")
+            # The output of a join or aggregate is coalesced by AQE anyway.
+            (df.hint("rebalance") if rebalance else df).write.parquet(f"{self.root}/{name}")
         return {"path": name, "kind": kind, "bytes": self.folder.bytes_of(name)}
 
     def _bucket(self) -> Column:
@@ -217,7 +218,7 @@ class LakeTable:
         if done:
             return done
         parent = self.create().latest()
-        layer = self._write(rows.select(*self.columns), _DELTA)
+        layer = self._write(rows.select(*self.columns), _DELTA, rebalance=self.kind == "log")
         return self._after(self._publish(parent, batch_id, "append", parent.layers + [layer], {}))
 
     def merge(self, changes: DataFrame, batch_id: str) -> Commit:
@@ -262,7 +263,7 @@ class LakeTable:
         stamped = rows.withColumns(
             {"_commit_ts": F.lit(None).cast("timestamp_ntz"), "_seq": F.lit(seq).cast("bigint")}
         ).select(*self.stored.fieldNames())
-        layer = self._write(stamped, _DELTA)
+        layer = self._write(stamped, _DELTA, rebalance=False)
         return self._after(self._publish(parent, batch_id, "put", parent.layers + [layer], {}))
 
     def _tally(self, layer: dict) -> dict[str, int]:

@@ -17,6 +17,8 @@ that version, so a repeated one changes nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -191,29 +193,31 @@ class MaintainedMarts:
         self.sums[name].append(sums, self.step)
 
     def _index_orders(self, o: DataFrame) -> None:
-        """Orders by customer; an order that changed hands leaves its old customer."""
-        here = F.when(F.col("_op") == "DELETE", "DELETE").otherwise("PUT")
-        left = (
-            o.filter(F.col(f"{BEFORE}.customer_id") != F.col("customer_id"))
-            .select(f"{BEFORE}.*")
-            .withColumn("_op", F.lit("DELETE"))
+        """Orders by customer. A deleted order, or one that changed hands, leaves its old customer."""
+        kept = F.col("_op") != "DELETE"
+        moved = ~F.col("customer_id").eqNullSafe(F.col(f"{BEFORE}.customer_id"))
+        left = o.filter(F.col(BEFORE).isNotNull() & (~kept | moved)).select(f"{BEFORE}.*")
+        rows = (
+            o.filter(kept)
+            .select(*ORDERS.columns)
+            .withColumn("_op", F.lit("PUT"))
+            .unionByName(left.withColumn("_op", F.lit("DELETE")))
         )
-        rows = o.select(*ORDERS.columns, here.alias("_op")).unionByName(left)
         self.orders_by_customer.put(rows, self.step, self.seq)
 
     # -- views -----------------------------------------------------------------------------
 
-    def _replace(self, view: str, rows: DataFrame, gone: DataFrame) -> None:
-        """Put ``rows``; tombstone the keys of ``gone``."""
+    def _replace(self, view: str, touched: DataFrame, rows: DataFrame) -> None:
+        """Every touched key gets its new row, or a tombstone where it has none any more."""
         table = self.views[view]
-        dead = gone.select(
-            *[
-                F.col(f.name) if f.name in table.key else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in table.schema.fields
-            ],
-            F.lit("DELETE").alias("_op"),
+        new = rows.select(
+            *[F.col(k).alias(f"_k_{k}") for k in table.key],
+            *[c for c in table.columns if c not in table.key],
+            F.lit("PUT").alias("_put"),
         )
-        table.put(rows.select(*table.columns, F.lit("PUT").alias("_op")).unionByName(dead), self.step, self.seq)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in table.key])
+        op = F.coalesce("_put", F.lit("DELETE")).alias("_op")
+        table.put(touched.join(new, same, "left").select(*table.columns, op), self.step, self.seq)
 
     def _customers_of(self, ids: DataFrame) -> DataFrame:
         """Staged live customers among ``customer_id``s."""
@@ -236,10 +240,9 @@ class MaintainedMarts:
         )
         rows = summary_of(self._customers_of(touched), totals).persist()
         try:
-            gone = touched.join(rows, "customer_id", "left_anti")
-            self._replace("fct_customer_order_summary", rows, gone)
             tiers = MODELS["dim_customer_spending_tier"].build({"fct_customer_order_summary": rows}, self.thresholds)
-            self._replace("dim_customer_spending_tier", tiers, gone)
+            self._replace("fct_customer_order_summary", touched, rows)
+            self._replace("dim_customer_spending_tier", touched, tiers)
         finally:
             rows.unpersist()
 
@@ -258,15 +261,12 @@ class MaintainedMarts:
                 F.max("order_date").alias("latest_order"),
             )
         )
-        gone = touched.join(rows.select(F.col("status").alias("_s")), F.col("status").eqNullSafe(F.col("_s")), "left_anti")
-        self._replace("fct_order_status_dashboard", rows, gone)
+        self._replace("fct_order_status_dashboard", touched, rows)
 
     def _refresh_daily(self, o: DataFrame) -> None:
         touched = self._signed(o).select(day("created_at").alias("metric_date")).distinct()
         rows = daily_of(self.sums["by_day"].lookup(touched).filter(F.col("n") > 0))
-        same = F.col("metric_date").eqNullSafe(F.col("_day"))
-        gone = touched.join(rows.select(F.col("metric_date").alias("_day")), same, "left_anti")
-        self._replace("fct_daily_order_metrics", rows, gone)
+        self._replace("fct_daily_order_metrics", touched, rows)
 
     def _refresh_high_value(self, o: DataFrame, c: DataFrame) -> None:
         """Changed orders, and all orders of changed customers, against the threshold."""
@@ -288,7 +288,7 @@ class MaintainedMarts:
             "stg_customers": self._customers_of(dear),
         }
         rows = MODELS["int_customer_orders"].build(frames, self.thresholds)
-        self._replace("fct_high_value_orders", rows, seen.join(rows, "order_id", "left_anti"))
+        self._replace("fct_high_value_orders", seen, rows)
 
     def _refresh_recent(self, o: DataFrame, c: DataFrame, touched: DataFrame) -> None:
         """Newest orders per touched customer.
@@ -333,8 +333,11 @@ class MaintainedMarts:
                 "rank", F.row_number().over(Window.partitionBy("customer_id").orderBy(*order)).cast("bigint")
             ).filter(F.col("rank") <= self.keep_recent)
             names = self._customers_of(touched).select("customer_id", "customer_name")
-            rows = top.join(names, "customer_id")
-            gone = view.select("customer_id", "rank").join(rows, ["customer_id", "rank"], "left_anti")
-            self._replace("recent_orders", rows, gone)
+            rows = top.join(names, "customer_id").persist()
+            places = view.select("customer_id", "rank").unionByName(rows.select("customer_id", "rank")).distinct()
+            try:
+                self._replace("recent_orders", places, rows)
+            finally:
+                rows.unpersist()
         finally:
             view.unpersist()
