@@ -42,6 +42,15 @@ BEFORE = "_before"
 _BASE, _DELTA = "base", "delta"
 
 
+@dataclass(frozen=True)
+class Probe:
+    """Distinct lookup keys with their number per bucket, counted once for several lookups."""
+
+    keys: DataFrame
+    buckets: int
+    per_bucket: dict[int, int]
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
@@ -339,19 +348,26 @@ class LakeTable:
             *[F.sum(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields if f.name not in self.key]
         )
 
-    def lookup(self, keys: DataFrame, version: int | None = None) -> DataFrame:
-        """Stored rows of the given keys (any frame with the ``bucket_by`` columns; repeats allowed)."""
+    def probe(self, keys: DataFrame) -> Probe:
+        """Keys (the ``bucket_by`` columns, in order) for lookups here and in tables bucketed alike."""
+        wanted = keys.select(*[F.col(a).alias(b) for a, b in zip(keys.columns, self.bucket_by)]).distinct()
+        # One row per touched bucket to the driver: which folders to open, and how many keys.
+        counted = wanted.groupBy(self._bucket()).count().collect()
+        return Probe(wanted, self.buckets, {r[0]: r[1] for r in counted})
+
+    def lookup(self, keys: DataFrame | Probe, version: int | None = None) -> DataFrame:
+        """Stored rows of the given keys (the ``bucket_by`` columns, in order; repeats allowed)."""
         base, delta, _ = self._layers(version)
         if base is None and delta is None:
             return self._empty()
-        wanted = keys.select(*self.bucket_by).distinct()
-        # One row per touched bucket to the driver: which folders to open, and how many keys.
-        per_bucket = {r[0]: r[1] for r in wanted.groupBy(self._bucket()).count().collect()}
+        probe = keys if isinstance(keys, Probe) else self.probe(keys)
+        per_bucket, wanted = probe.per_bucket, probe.keys
+        wanted = wanted.select(*[F.col(a).alias(f"_w_{b}") for a, b in zip(wanted.columns, self.bucket_by)])
         if sum(per_bucket.values()) <= BROADCAST_KEYS:
             wanted = F.broadcast(wanted)
         found = []
         if base is not None:
-            if len(per_bucket) < self.buckets:
+            if len(per_bucket) < self.buckets and probe.buckets == self.buckets:
                 base = base.filter(F.col(BUCKET).isin(*per_bucket) if per_bucket else F.lit(False))
             found.append(self._matching(base.drop(BUCKET), wanted))
         if delta is not None:
@@ -360,9 +376,8 @@ class LakeTable:
         return self._summed(rows) if self.kind == "sums" else latest_per_key(rows, self.key)
 
     def _matching(self, rows: DataFrame, wanted: DataFrame) -> DataFrame:
-        named = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in self.bucket_by])
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in self.bucket_by])
-        return rows.join(named, same, "left_semi")
+        return rows.join(wanted, same, "left_semi")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as a reader sees it, now or as of a version."""

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from changeweir.functions.columns import day, mean, money_sum
-from changeweir.operators.lake import BEFORE, LakeTable
+from changeweir.operators.lake import BEFORE, LakeTable, Probe
 from changeweir.plans.models import MODELS, Thresholds, daily_of, summary_of
 from changeweir.schemas import MONEY, MONEY_SUM, ORDERS
 from changeweir.streaming.jobs import together
@@ -141,14 +141,6 @@ class MaintainedMarts:
         self.customers_version = customers_version
         o = self.orders.changes(orders_version)
         c = self.customers.changes(customers_version)
-
-        together(
-            self.spark,
-            lambda: self._add("by_customer", o, ["customer_id", "order_date"]),
-            lambda: self._add("by_status", o, ["status", "order_date"]),
-            lambda: self._add("by_day", o, [day("created_at").alias("metric_date"), "customer_id"]),
-            lambda: self._index_orders(o),
-        )
         touched = (
             o.select("customer_id")
             .unionByName(o.select(F.col(f"{BEFORE}.customer_id")))
@@ -156,17 +148,37 @@ class MaintainedMarts:
             .filter(F.col("customer_id").isNotNull())
             .distinct()
         ).persist()
+        kept = [touched]
+
+        def touched_customers() -> tuple[Probe, DataFrame]:
+            """The touched customers, counted once, and those of them that exist, looked up once."""
+            probe = self.customers.probe(touched)
+            found = self.customers.lookup(probe, self.customers_version)
+            alive = found.filter(F.col("_op") != "DELETE").drop("_op", "_commit_ts", "_seq")
+            staged = MODELS["stg_customers"].build({"customers_cdc": alive}, self.thresholds).persist()
+            kept.append(staged)
+            return probe, staged
+
         try:
+            (probe, staged), *_ = together(
+                self.spark,
+                touched_customers,
+                lambda: self._add("by_customer", o, ["customer_id", "order_date"]),
+                lambda: self._add("by_status", o, ["status", "order_date"]),
+                lambda: self._add("by_day", o, [day("created_at").alias("metric_date"), "customer_id"]),
+                lambda: self._index_orders(o),
+            )
             together(
                 self.spark,
-                lambda: self._refresh_summary(touched),
+                lambda: self._refresh_summary(touched, probe, staged),
                 lambda: self._refresh_status(o),
                 lambda: self._refresh_daily(o),
-                lambda: self._refresh_high_value(o, c),
-                lambda: self._refresh_recent(o, c, touched),
+                lambda: self._refresh_high_value(o, c, staged),
+                lambda: self._refresh_recent(o, c, probe, staged),
             )
         finally:
-            touched.unpersist()
+            for frame in kept:
+                frame.unpersist()
 
     # -- additive tables -----------------------------------------------------------------
 
@@ -219,16 +231,10 @@ class MaintainedMarts:
         op = F.coalesce("_put", F.lit("DELETE")).alias("_op")
         table.put(touched.join(new, same, "left").select(*table.columns, op), self.step, self.seq)
 
-    def _customers_of(self, ids: DataFrame) -> DataFrame:
-        """Staged live customers among ``customer_id``s."""
-        found = self.customers.lookup(ids.select(F.col("customer_id").alias("id")), self.customers_version)
-        alive = found.filter(F.col("_op") != "DELETE").drop("_op", "_commit_ts", "_seq")
-        return MODELS["stg_customers"].build({"customers_cdc": alive}, self.thresholds)
-
-    def _refresh_summary(self, touched: DataFrame) -> None:
+    def _refresh_summary(self, touched: DataFrame, probe: Probe, staged: DataFrame) -> None:
         totals = (
             self.sums["by_customer"]
-            .lookup(touched)
+            .lookup(probe)
             .filter(F.col("n") > 0)
             .groupBy("customer_id")
             .agg(
@@ -238,7 +244,7 @@ class MaintainedMarts:
                 F.max("order_date").alias("last_order_date"),
             )
         )
-        rows = summary_of(self._customers_of(touched), totals).persist()
+        rows = summary_of(staged, totals).persist()
         try:
             tiers = MODELS["dim_customer_spending_tier"].build({"fct_customer_order_summary": rows}, self.thresholds)
             self._replace("fct_customer_order_summary", touched, rows)
@@ -268,7 +274,7 @@ class MaintainedMarts:
         rows = daily_of(self.sums["by_day"].lookup(touched).filter(F.col("n") > 0))
         self._replace("fct_daily_order_metrics", touched, rows)
 
-    def _refresh_high_value(self, o: DataFrame, c: DataFrame) -> None:
+    def _refresh_high_value(self, o: DataFrame, c: DataFrame, staged: DataFrame) -> None:
         """Changed orders, and all orders of changed customers, against the threshold."""
         of_changed_customers = self.orders_by_customer.lookup(c.select(F.col("id").alias("customer_id")))
         candidates = (
@@ -285,18 +291,18 @@ class MaintainedMarts:
         dear = candidates.filter(F.col("amount") >= self.thresholds.high_value)
         frames = {
             "stg_orders": MODELS["stg_orders"].build({"orders_cdc": dear}, self.thresholds),
-            "stg_customers": self._customers_of(dear),
+            "stg_customers": staged,
         }
         rows = MODELS["int_customer_orders"].build(frames, self.thresholds)
         self._replace("fct_high_value_orders", seen, rows)
 
-    def _refresh_recent(self, o: DataFrame, c: DataFrame, touched: DataFrame) -> None:
+    def _refresh_recent(self, o: DataFrame, c: DataFrame, probe: Probe, staged: DataFrame) -> None:
         """Newest orders per touched customer.
 
         New rows compete with the view's own. Only where a kept row left or aged,
         or a customer appeared, are the customer's other orders looked at again.
         """
-        view = self.views["recent_orders"].lookup(touched)
+        view = self.views["recent_orders"].lookup(probe)
         view = view.filter(F.col("_op") != "DELETE").drop("_op", "_commit_ts", "_seq").persist()
         try:
             order = [F.desc("created_at"), F.desc("order_id")]
@@ -332,7 +338,7 @@ class MaintainedMarts:
             top = candidates.withColumn(
                 "rank", F.row_number().over(Window.partitionBy("customer_id").orderBy(*order)).cast("bigint")
             ).filter(F.col("rank") <= self.keep_recent)
-            names = self._customers_of(touched).select("customer_id", "customer_name")
+            names = staged.select("customer_id", "customer_name")
             rows = top.join(names, "customer_id").persist()
             places = view.select("customer_id", "rank").unionByName(rows.select("customer_id", "rank")).distinct()
             try:
