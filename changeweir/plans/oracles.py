@@ -266,7 +266,7 @@ BODIES: dict[str, str] = {
           WHEN upper(raw_type) LIKE '%UPDATE%' OR upper(raw_type) LIKE '%REPLACE%' THEN 'UPDATE'
           WHEN upper(raw_type) LIKE '%DELETE%' THEN 'DELETE' END AS mod_type
         FROM (SELECT id, seq, CASE id % 9 WHEN 0 THEN 'INSERT' WHEN 1 THEN 'insert' WHEN 2 THEN 'REPLACE_ROW'
-          WHEN 3 THEN 'row_delete' WHEN 4 THEN 'spanner_update' WHEN 5 THEN 'zzz' WHEN 6 THEN 'Delete'
+          WHEN 3 THEN 'row_delete' WHEN 4 THEN 'row_update' WHEN 5 THEN 'zzz' WHEN 6 THEN 'Delete'
           WHEN 7 THEN 'insert_or_update' END AS raw_type FROM chg))""",
     "change_records": f"""SELECT 'orders' AS table_name, mod_type, {ORDER_JSON} AS data, commit_ts, seq,
         'ecommerce.orders' AS target_table FROM chg""",

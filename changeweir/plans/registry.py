@@ -152,7 +152,7 @@ _o("tumbling_daily", adhoc.tumbling_daily)
 
 SNAPSHOT_TIME = "TIMESTAMP_NTZ'2000-01-01 00:00:00'"
 #: Spellings of modification types a source may use.
-SPELLINGS = ["INSERT", "insert", "REPLACE_ROW", "row_delete", "spanner_update", "zzz", "Delete", "insert_or_update"]
+SPELLINGS = ["INSERT", "insert", "REPLACE_ROW", "row_delete", "row_update", "zzz", "Delete", "insert_or_update"]
 
 
 def _raw_types(spark, sf):
