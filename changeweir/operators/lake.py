@@ -7,7 +7,9 @@ and written by Spark only.
 * A commit writes the batch as one new *delta* layer and then publishes a commit
   file that lists all layers in force. Its cost follows the batch, not the table.
 * A read lays the deltas over the *base* layer.
-* ``compact`` folds the deltas into a new base; old layers stay for time travel.
+* Small deltas are folded into larger ones as they add up, and into a new base once they
+  are a quarter of it (``compact``): a row is rewritten a number of times that grows with
+  the logarithm of the table, never once per batch. Old layers stay for time travel.
 
 The base is laid out in hash buckets of the key (``_bucket`` folders). A lookup
 opens the buckets its keys fall into and no others.
@@ -24,7 +26,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ from changeweir.operators.apply import META, latest_per_key, live
 BROADCAST_BYTES = 32 * 1024 * 1024
 #: Lookup keys are broadcast up to this many (counted first), else shuffled.
 BROADCAST_KEYS = 500_000
+#: Batch ids a commit file remembers. A stream repeats its last batch only.
+REMEMBERED = 200
 BUCKET = "_bucket"
 BEFORE = "_before"
 _BASE, _DELTA = "base", "delta"
@@ -58,6 +61,7 @@ class Commit:
     operation: str
     layers: list[dict]
     counts: dict[str, int]
+    recent: dict[str, int]
 
 
 class _Folder:
@@ -89,15 +93,20 @@ class _Folder:
         finally:
             stream.close()
 
+    def write(self, name: str, text: str) -> None:
+        out = self.fs.create(self.path(name), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
     def publish(self, name: str, text: str) -> None:
         """Write aside, then rename: readers see all of the file or none."""
-        aside = self.path(f"{name}.{uuid.uuid4().hex}.part")
-        out = self.fs.create(aside, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if self.fs.exists(self.path(name)) or not self.fs.rename(aside, self.path(name)):
-            self.fs.delete(aside, False)
-            raise RuntimeError(f"{name} was committed by another writer")
+        aside = f"{name}.{uuid.uuid4().hex}.part"
+        self.write(aside, text)
+        if self.exists(name) or not self.fs.rename(self.path(aside), self.path(name)):
+            self.fs.delete(self.path(aside), False)
+            raise RuntimeError(f"{self.root}/{name} was committed by another writer")
 
 
 class LakeTable:
@@ -150,36 +159,45 @@ class LakeTable:
 
     # -- commits ---------------------------------------------------------------------
 
-    def _commit_names(self) -> list[str]:
-        return [n for n in self.folder.names("_commits") if n.endswith(".json")]
+    @staticmethod
+    def _file(version: int) -> str:
+        return f"_commits/{version:012d}.json"
 
-    def latest(self) -> Commit | None:
-        names = self._commit_names()
-        return self._load(names[-1]) if names else None
+    def _latest_version(self) -> int | None:
+        """From the hint file on, whatever has been committed since; a listing only without a hint."""
+        try:
+            version = int(self.folder.read("_commits/hint")) if self.folder.exists("_commits/hint") else None
+        except ValueError:  # caught while being rewritten
+            version = None
+        if version is None:
+            numbers = [int(n[:12]) for n in self.folder.names("_commits") if n.endswith(".json")]
+            return max(numbers, default=None)
+        while self.folder.exists(self._file(version + 1)):
+            version += 1
+        return version
 
-    def _load(self, name: str) -> Commit:
-        raw = json.loads(self.folder.read(f"_commits/{name}"))
-        return Commit(raw["version"], raw["batch_id"], raw["operation"], raw["layers"], raw["counts"])
+    def latest(self) -> Commit | None:
+        version = self._latest_version()
+        return None if version is None else self.at(version)
 
     def at(self, version: int | None) -> Commit | None:
         if version is None:
             return self.latest()
-        for name in self._commit_names():
-            if name.startswith(f"{version:012d}@"):
-                return self._load(name)
-        raise ValueError(f"{self.root} has no version {version}")
+        if not self.folder.exists(self._file(version)):
+            raise ValueError(f"{self.root} has no version {version}")
+        raw = json.loads(self.folder.read(self._file(version)))
+        names = ("version", "batch_id", "operation", "layers", "counts", "recent")
+        return Commit(*[raw[n] for n in names])
 
     def committed(self, batch_id: str) -> Commit | None:
-        """The commit of a batch, if it was made; the batch id is part of the file's name."""
-        ending = f"@{quote(batch_id, safe='')}.json"
-        for name in reversed(self._commit_names()):
-            if name.endswith(ending):
-                return self._load(name)
-        return None
+        """The commit of a recent batch, if it was made."""
+        newest = self.latest()
+        version = newest.recent.get(batch_id) if newest else None
+        return None if version is None else self.at(version)
 
     def create(self) -> LakeTable:
         """Version 0, empty, unless the table exists."""
-        if not self._commit_names():
+        if self.latest() is None:
             self._publish(None, "create", "create", [], {})
         return self
 
@@ -187,21 +205,20 @@ class LakeTable:
         self, parent: Commit | None, batch_id: str, operation: str, layers: list[dict], counts: dict[str, int]
     ) -> Commit:
         version = 0 if parent is None else parent.version + 1
-        now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        recent = list(({} if parent is None else parent.recent).items())[1 - REMEMBERED :]
         body = {
             "version": version,
             "parent": None if parent is None else parent.version,
             "batch_id": batch_id,
             "operation": operation,
-            "committed_at": now,
+            "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
             "layers": layers,
             "counts": counts,
+            "recent": dict([*recent, (batch_id, version)]),
         }
-        if any(n.startswith(f"{version:012d}@") for n in self._commit_names()):
-            raise RuntimeError(f"version {version} of {self.root} was committed by another writer")
-        name = f"_commits/{version:012d}@{quote(batch_id, safe='')}.json"
-        self.folder.publish(name, json.dumps(body, sort_keys=True))
-        return Commit(version, batch_id, operation, layers, counts)
+        self.folder.publish(self._file(version), json.dumps(body))
+        self.folder.write("_commits/hint", str(version))
+        return Commit(version, batch_id, operation, layers, counts, body["recent"])
 
     def _write(self, df: DataFrame, kind: str, rebalance: bool = True) -> dict:
         name = f"data/{kind}-{uuid.uuid4().hex}"
@@ -286,11 +303,36 @@ class LakeTable:
         return row.asDict()
 
     def _after(self, commit: Commit) -> Commit:
+        """Upkeep when there are many deltas; the commit itself is done."""
         deltas = [x for x in commit.layers if x["kind"] == _DELTA]
-        if self.kind != "log" and len(deltas) > self.max_deltas:
+        if len(deltas) <= self.max_deltas:
+            return commit
+        # The newest deltas, and older ones while these are not much larger.
+        run, size = [], 0
+        for layer in reversed(deltas):
+            if len(run) >= 2 and layer["bytes"] > 2 * size:
+                break
+            run.append(layer)
+            size += layer["bytes"]
+        base_bytes = sum(x["bytes"] for x in commit.layers if x["kind"] == _BASE)
+        if len(run) == len(deltas) and self.kind != "log" and 4 * size >= base_bytes:
             self.compact()
+        else:
+            self._fold(commit, run)
         return commit
 
+    def _fold(self, parent: Commit, run: list[dict]) -> Commit:
+        """Several deltas as one."""
+        paths = [x["path"] for x in run]
+        rows = self.spark.read.schema(self.stored).parquet(*[f"{self.root}/{p}" for p in paths])
+        if self.kind == "rows":
+            rows = latest_per_key(rows, self.key)
+        elif self.kind == "sums":
+            rows = self._summed(rows)
+        layer = self._write(rows, _DELTA)
+        layers = [x for x in parent.layers if x["path"] not in paths] + [layer]
+        return self._publish(parent, f"fold-{parent.version}", "fold", layers, {})
+
     def compact(self) -> Commit | None:
         """Fold all layers into a new base. Nothing a reader sees changes."""
         parent = self.latest()

@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from changeweir.session import ONE_TASK_BYTES, plan_bytes
@@ -101,12 +102,15 @@ def _hot_split(
     df: DataFrame, key: str, order: Sequence[str], hot_rows: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of hot keys with a ``_slice`` rising along ``order``."""
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot_keys, hot_total = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).head()
-    if not hot_keys:
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    # Fewer than rows / hot_rows keys, however large the table: a small driver read,
+    # after which the keys are a local table of that size.
+    found = counted.collect()
+    if not found:
         return df, None
-    # Fewer than rows / hot_rows keys: one small broadcast however large the table.
-    hot = F.broadcast(hot.select(F.col(key).alias("_hot_key")))
+    hot_total = sum(r["_n"] for r in found)
+    schema = T.StructType([T.StructField("_hot_key", df.schema[key].dataType)])
+    hot = F.broadcast(df.sparkSession.createDataFrame([(r[0],) for r in found], schema))
     cold_rows = df.join(hot, df[key].eqNullSafe(F.col("_hot_key")), "left_anti")
     hot_rows_df = df.join(hot, df[key].eqNullSafe(F.col("_hot_key")), "left_semi")
 

@@ -148,6 +148,40 @@ def test_two_writers_do_not_share_a_version(spark, table):
         table._publish(stale, "other", "merge", [], {})
 
 
+def test_many_small_batches_fold(spark):
+    """The number of layers stays small and the base is not rewritten for each."""
+    table = LakeTable(
+        spark, scratch_folder(spark, "fold"), CUSTOMERS.schema, CUSTOMERS.key, buckets=2, max_deltas=3
+    ).create()
+    merge(spark, table, "big", *[("INSERT", i, f"n{i}" * 20, 0) for i in range(5000)])
+    base = table.compact().layers[0]
+    for i in range(9):
+        merge(spark, table, f"b{i}", ("UPDATE", i, f"new{i}", 1), ("DELETE", 100 + i, "x", 1))
+    layers = table.latest().layers
+    assert base in layers and len(layers) <= 5
+    got = names(table.read())
+    assert len(got) == 4991 and got[3] == "new3" and got[50] == "n50" * 20
+    assert "fold" in {r.operation for r in table.snapshots().collect()}
+
+
+def test_log_tables_fold(spark):
+    table = LakeTable(spark, scratch_folder(spark, "log"), CUSTOMERS.schema, kind="log", max_deltas=2).create()
+    rows = change(spark, ("INSERT", 1, "x", 0)).select(*CUSTOMERS.columns)
+    for i in range(6):
+        table.append(rows, f"b{i}")
+        table.append(rows, f"b{i}")
+    assert table.read().count() == 6
+    assert len(table.latest().layers) <= 3
+
+
+def test_a_lost_hint_is_found_again(spark, table):
+    merge(spark, table, "a", ("INSERT", 1, "x", 0))
+    table.folder.write("_commits/hint", "0")
+    assert table.latest().version == 1
+    table.folder.write("_commits/hint", "")
+    assert table.latest().version == 1
+
+
 def test_merge_statement():
     sql = iceberg_merge_sql("lake.orders", "batch", ["id"], ["id", "amount"])
     assert "WHEN MATCHED AND s._op = 'DELETE' THEN DELETE" in sql
