@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeweir.operators.apply import with_meta
-from changeweir.operators.decode import accepted, decode_all, rejected
+from changeweir.operators.decode import accepted, decode_all, rejected, snapshot_as_changes
 from changeweir.operators.lake import Commit, LakeTable, tables_for
+from changeweir.operators.quality import latency_ms, latency_summary
 from changeweir.plans.models import Thresholds
 from changeweir.schemas import SALES, TableSpec
 from changeweir.streaming.jobs import together
@@ -27,12 +29,27 @@ QUARANTINE = T.StructType(
     ]
 )
 
+METRICS = T.StructType(
+    [
+        T.StructField("batch", T.StringType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("sink_ts", T.TimestampNTZType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("avg_ms", T.DoubleType()),
+        T.StructField("p50_ms", T.LongType()),
+        T.StructField("p95_ms", T.LongType()),
+        T.StructField("p99_ms", T.LongType()),
+        T.StructField("max_ms", T.LongType()),
+    ]
+)
+
 
 class ChangePipeline:
     """Applies batches of change records to the tables of ``specs`` under ``root``.
 
     Rejected records go to a quarantine table with their reason; nothing is dropped.
-    ``marts`` are kept current when the tables are the sales ones.
+    ``marts`` are kept current when the tables are the sales ones. With ``metrics``,
+    each batch notes its latency from source commit to table commit.
     """
 
     def __init__(
@@ -42,11 +59,13 @@ class ChangePipeline:
         specs: Mapping[str, TableSpec] = SALES,
         marts: bool = False,
         thresholds: Thresholds = Thresholds(),
+        metrics: bool = False,
         **table_options,
     ):
         self.spark, self.specs = spark, dict(specs)
         self.tables = tables_for(spark, f"{root}/tables", specs, **table_options)
         self.quarantine = LakeTable(spark, f"{root}/quarantine", QUARANTINE, kind="log").create()
+        self.metrics = LakeTable(spark, f"{root}/metrics", METRICS, kind="log").create() if metrics else None
         self.marts = None
         if marts:
             self.marts = MaintainedMarts(
@@ -72,10 +91,43 @@ class ChangePipeline:
             for rows in decoded.values():
                 rows.unpersist()
             batch.unpersist()
+        if self.metrics is not None:
+            self._note_latency(commits, name)
         if self.marts is not None:
             self.marts.refresh(commits["orders"].version, commits["customers"].version)
         return commits
 
+    def _note_latency(self, commits: Mapping[str, Commit], name: str) -> None:
+        now = F.current_timestamp().cast("timestamp_ntz")
+        applied = [
+            self.tables[t].changes(c.version).select(F.lit(t).alias("table_name"), "_commit_ts", now.alias("sink_ts"))
+            for t, c in commits.items()
+        ]
+        rows = reduce(DataFrame.unionByName, applied)
+        rows = rows.withColumn("latency_ms", latency_ms("_commit_ts", "sink_ts"))
+        summary = latency_summary(rows, ["table_name", "sink_ts"]).withColumn("batch", F.lit(name))
+        self.metrics.append(summary, name)
+
+    def snapshot(self, tables: Mapping[str, DataFrame], commit_ts: Column) -> list[str]:
+        """Load whole tables, in the order given, before the stream starts.
+
+        A table that already has a commit was loaded before, and is skipped; the
+        tables loaded now are returned. Snapshot rows lose to any change after
+        ``commit_ts``, so the stream may start earlier than the snapshot was taken.
+        """
+        loaded = []
+        for name, rows in tables.items():
+            if self.tables[name].latest().version > 0:
+                continue
+            changes = snapshot_as_changes(rows, name, commit_ts)
+            self.tables[name].merge(with_meta(changes, self.specs[name]), f"snapshot-{name}")
+            loaded.append(name)
+        if self.marts is not None and not self.marts.started():
+            o, c = (self.tables[t].committed(f"snapshot-{t}") for t in ("orders", "customers"))
+            if o and c:
+                self.marts.refresh(o.version, c.version)
+        return loaded
+
     def start(
         self,
         records: DataFrame,

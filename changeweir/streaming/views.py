@@ -132,6 +132,11 @@ class MaintainedMarts:
     def frames(self) -> dict[str, DataFrame]:
         return {name: table.read() for name, table in self.views.items()}
 
+    def started(self) -> bool:
+        """Whether a first refresh has been completed: each one commits to every table."""
+        tables = [*self.sums.values(), *self.views.values(), self.orders_by_customer]
+        return all(t.latest().version > 0 for t in tables)
+
     # -- one refresh -----------------------------------------------------------------
 
     def refresh(self, orders_version: int, customers_version: int) -> None:

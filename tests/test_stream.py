@@ -10,7 +10,7 @@ from changeweir.operators.decode import to_records
 from changeweir.operators.lake import LakeTable
 from changeweir.plans import adhoc
 from changeweir.plans.models import build_models
-from changeweir.schemas import CUSTOMERS, ORDERS, SALES
+from changeweir.schemas import CUSTOMERS, ORDERS, SALES, SHOP
 from changeweir.session import scratch_folder
 from changeweir.sources import fixtures as fx
 from changeweir.sources.feeds import change_source
@@ -192,6 +192,52 @@ def test_interval_trigger_keeps_up(spark):
     assert pipeline.tables["orders"].read().count() == 6
 
 
+def test_snapshot_then_stream_to_three_tables(spark):
+    """Snapshots first, skipped when done; then changes fan out to the tables, with latency noted."""
+    pipeline = ChangePipeline(spark, scratch_folder(spark, "shop"), SHOP, metrics=True)
+    at = F.expr("TIMESTAMP_NTZ'2025-01-20 00:05:00'")
+    shop = {
+        "customers": fx.shop_customers(spark, SF).filter("customer_id < 5"),
+        "products": fx.shop_products(spark, SF).filter("product_id < 5"),
+        "orders": fx.shop_orders(spark, SF).filter("order_id < 3"),
+    }
+    assert pipeline.snapshot({"customers": shop["customers"]}, at) == ["customers"]
+    assert pipeline.snapshot(shop, at) == ["products", "orders"]
+    assert pipeline.snapshot(shop, at) == []
+    pipeline.process(
+        records(
+            spark,
+            record("customers", "UPDATE", '{"customer_id":1,"name":"early"}', 1),  # older than the snapshot
+            record("customers", "UPDATE", '{"customer_id":2,"name":"later"}', 9),
+            record("products", "DELETE", '{"product_id":3}', 9),
+            record("orders", "INSERT", '{"order_id":9,"customer_id":1,"product_id":1,"total_amount":5}', 9),
+            record("orders", "INSERT", '{"order_id":10,"customer_id":1}', 9),
+            record("suppliers", "INSERT", '{"id":1}', 9),
+        ),
+        0,
+    )
+    names = {r.customer_id: r.name for r in pipeline.tables["customers"].read().collect()}
+    assert names[1] == "Customer#000000001" and names[2] == "later"
+    assert {r.product_id for r in pipeline.tables["products"].read().collect()} == {0, 1, 2, 4}
+    assert {r.order_id for r in pipeline.tables["orders"].read().collect()} == {0, 1, 2, 9}
+    reasons = {(r.table_name, r.reason) for r in pipeline.quarantine.read().collect()}
+    assert reasons == {("orders", "missing product_id"), ("suppliers", "unknown table")}
+    noted = {r.table_name: (r.batch, r.n) for r in pipeline.metrics.read().collect()}
+    assert noted == {"customers": ("batch-0", 1), "products": ("batch-0", 1), "orders": ("batch-0", 1)}
+
+
+def test_marts_start_from_a_snapshot(spark):
+    pipeline = ChangePipeline(spark, scratch_folder(spark, "start"), marts=True)
+    at = F.expr("TIMESTAMP_NTZ'1996-01-01 00:00:00'")
+    tables = {"customers": fx.customers(spark, SF), "orders": fx.orders(spark, SF)}
+    pipeline.snapshot(tables, at)
+    check_equal_to_full(pipeline)
+    pipeline.snapshot(tables, at)  # a restart
+    gone = record("orders", "DELETE", '{"id":1}', 0)
+    pipeline.process(records(spark, gone), 0)
+    check_equal_to_full(pipeline)
+
+
 def test_append_sink_writes_each_batch_once(spark):
     root = scratch_folder(spark, "append")
     table = LakeTable(spark, f"{root}/t", CUSTOMERS.schema, kind="log").create()
