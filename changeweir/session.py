@@ -19,6 +19,8 @@ DEFAULTS = {
     # Hot join keys: the sorted side of a skewed partition is split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # AQE also coalesces what is cached: a small batch does not keep hundreds of partitions.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
 }
 
@@ -45,8 +47,9 @@ def build_session(
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the one runtime option results depend on; leave the rest to the caller."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Set what results (the zone) and small batches (coalesced caches) depend on in a caller's session."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"):
+        spark.conf.set(key, DEFAULTS[key])
     return spark
 
 

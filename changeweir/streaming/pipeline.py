@@ -16,6 +16,7 @@ from changeweir.operators.lake import Commit, LakeTable, tables_for
 from changeweir.operators.quality import latency_ms, latency_summary
 from changeweir.plans.models import Thresholds
 from changeweir.schemas import SALES, TableSpec
+from changeweir.session import prepare
 from changeweir.streaming.jobs import together
 from changeweir.streaming.views import MaintainedMarts
 
@@ -62,7 +63,7 @@ class ChangePipeline:
         metrics: bool = False,
         **table_options,
     ):
-        self.spark, self.specs = spark, dict(specs)
+        self.spark, self.specs = prepare(spark), dict(specs)
         self.tables = tables_for(spark, f"{root}/tables", specs, **table_options)
         self.quarantine = LakeTable(spark, f"{root}/quarantine", QUARANTINE, kind="log").create()
         self.metrics = LakeTable(spark, f"{root}/metrics", METRICS, kind="log").create() if metrics else None
