@@ -103,3 +103,14 @@ def maybe_member(bits: bytes, places: np.ndarray) -> np.ndarray:
 
 def member_place(column: str):
     return F.pmod(F.xxhash64(column), F.lit(MEMBER_BITS)).cast("int")
+
+
+def only_members(df: DataFrame, bits: bytes, column: str, inside: bool = True) -> DataFrame:
+    """Rows whose ``column`` may be (or, with ``inside`` false, surely isn't) among the filter's values. No shuffle."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch[maybe_member(bits, batch["_place"].to_numpy()) == inside]
+
+    placed = df.withColumn("_place", member_place(column))
+    return placed.mapInPandas(run, placed.schema).drop("_place")

@@ -26,6 +26,7 @@ from changeweir.llm.common import (
     member_bits,
     member_place,
     mixed,
+    only_members,
     saved,
     shingles,
     signed,
@@ -151,13 +152,13 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percen
     texts = docs.select("text", member_place("doc_id").alias("place"))
     found = texts.mapInPandas(_sets(k, member_bits(wanted, "doc")), "digest binary, shingles array<long>")
     found = saved(found.join(wanted.select("cid", "digest"), "digest").drop("digest").dropDuplicates(["cid"]), "setsketch-sets")
-    size = reps.select("cid", "n")
     with_b = near.join(found.withColumnsRenamed({"cid": "b", "shingles": "sb"}), "b")
     with_ab = with_b.join(found.withColumnsRenamed({"cid": "a", "shingles": "sa"}), "a")
     # Sorted distinct hashes: the built-in intersection is one hash set a pair.
-    counted = with_ab.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
-    del size
-    return saved(counted.where(F.col("common") * 100 >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b"), "setsketch-links")
+    common = F.size(F.array_intersect("sa", "sb")).cast("long")
+    counted = with_ab.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb")).alias("sizes"))
+    linked = counted.where(F.col("common") * 100 >= F.lit(percent) * (F.col("sizes") - F.col("common")))
+    return saved(linked.select("a", "b"), "setsketch-links")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -229,9 +230,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, of which one stays for each group: that of the smallest doc_id.
 
-    Rows of the same doc_id and text are one document; one of them stays (the first by n_chars, source, lang).
+    Rows of the same doc_id and text are one document; any one of them stays.
     """
-    verdicts = near_duplicates(docs, k, percent)
-    keep = verdicts.where("kept").select("doc_id").distinct()
-    plain = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    return plain.dropDuplicates(["doc_id", "text"])
+    verdicts = saved(near_duplicates(docs, k, percent), "setsketch-verdicts")
+    by_id = verdicts.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    touched = saved(by_id.where("n > 1 or not kept"), "setsketch-touched")
+    # Most rows are alone and stay; only those that a filter of fixed size lets through meet the list.
+    bits, docs_ = member_bits(touched, "doc_id"), docs.withColumn("_cw_id", F.col("doc_id").cast("long"))
+    plain = only_members(docs_, bits, "_cw_id", inside=False).drop("_cw_id")
+    gone = touched.where("not kept").select(F.col("doc_id").alias("_cw_gone"))
+    met = only_members(docs_, bits, "_cw_id").join(gone, F.col("_cw_id").eqNullSafe(F.col("_cw_gone")), "left_anti")
+    return plain.union(met.dropDuplicates(["doc_id", "text"]).drop("_cw_id"))
