@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeweir.llm.common import saved
 
+#: Rounds of hubs before what is left of a bucket is compared pair by pair.
+HUB_ROUNDS = 3
+
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)`` (longs) that isn't itself a root; root is the smallest node.
@@ -37,3 +42,41 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             ).alias("e")
         )
         state = saved(small.select("e.u", "e.v").where("u <> v").distinct(), label)
+
+
+def linked_in_buckets(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = HUB_ROUNDS) -> DataFrame:
+    """Verified links ``(a, b)`` that join all that the links within the buckets of ``keys(key, cid)`` would join.
+
+    ``verify`` takes pairs ``(a, b)`` and returns those that are linked. In each round a bucket's hub is held against every
+    member of another component than its own: the member that most others meet in buckets, which among copies of one text is
+    the text that they come from. So a large group costs a star a round. After the rounds, every pair is compared whose members
+    share a bucket and are of *different* components, by component and never within one; no pair is cut off.
+    """
+    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = saved(keys.join(sizes, "key"), "bucket-members")
+    fame = members.groupBy("cid").agg(F.sum("size").alias("fame"))
+    left = members.select("key", "cid").join(fame, "cid").select("key", "cid", "fame", F.col("cid").alias("root"))
+    left, links = saved(left.withColumn("used", F.lit(False)), "bucket-left"), None
+    for _ in range(rounds):
+        best = F.max(F.struct("fame", (-F.col("cid")).alias("minus"), "root")).alias("h")
+        hubs = left.where("not used").groupBy("key").agg(best)
+        hubs = hubs.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.root").alias("hub_root"))
+        stars = left.join(hubs, "key").where("root <> hub_root and not used")
+        stars = stars.select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct()
+        found = verify(stars)
+        links = found if links is None else saved(links.union(found).distinct(), "bucket-links")
+        roots = components(links, "bucket-roots").withColumnRenamed("node", "cid").withColumnRenamed("root", "r")
+        left = left.join(hubs.select("key", "hub"), "key").join(roots, "cid", "left").select(
+            "key", "cid", "fame", F.coalesce("r", "cid").alias("root"), (F.col("used") | (F.col("cid") == F.col("hub"))).alias("used")
+        )
+        several = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+        left = saved(left.join(several, "key"), "bucket-left")
+        if left.isEmpty():
+            return links
+    # Whoever was a hub has met all others; the rest meets across components.
+    left = left.where("not used")
+    parts = left.select("key", F.col("root").alias("other")).distinct()
+    others = left.select("key", F.col("root").alias("other"), F.col("cid").alias("a"))
+    crossing = left.withColumnRenamed("cid", "b").join(parts, "key").where("other < root").join(others, ["key", "other"])
+    crossing = crossing.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return links.union(verify(crossing)).distinct()

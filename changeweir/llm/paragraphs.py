@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import Minima, Words, lower_words, member_bits, mixed, only_members, saved, shingles, signed
-from changeweir.llm.graph import components
+from changeweir.llm.common import Minima, Words, lower_words, member_bits, mixed, only_members, saved, shingles, signed, word_lists
+from changeweir.llm.graph import components, linked_in_buckets
 
 BANDS, ROWS = 14, 3
 #: Shorter lines (headings, licence lines, list entries) stay as they are.
@@ -38,9 +38,9 @@ def _banded(k: int):
         cache, minima = Words(), Minima(BANDS * ROWS)
         salts = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
-            for at in range(0, len(batch), 2000):
-                part = batch.iloc[at : at + 2000]
-                least = np.stack([minima.of(shingles(lower_words(t), k, cache)) for t in part["text"]])
+            for at in range(0, len(batch), 100):
+                part = batch.iloc[at : at + 100]
+                least = minima.of_each(*word_lists([lower_words(t) for t in part["text"]], k, cache))
                 keys = np.zeros((len(part), BANDS), np.uint64) + salts
                 for row in range(ROWS):
                     keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS])
@@ -82,8 +82,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
 def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
     """``d1, d2, cluster, doc_id, line``: each class of equal paragraphs, its cluster, and the cluster's first place.
 
-    In a bucket all classes are held against one hub; then only classes of different components that share a
-    bucket, every such pair. No group is cut off and none is expanded into all its pairs.
+    Buckets are joined by hubs (``linked_in_buckets``): no group is cut off, and none is expanded into all its pairs.
     """
     found = lines(docs).where(long_enough(F.col("text"), min_words))
     found = found.mapInPandas(_banded(k), "doc_id long, line int, d1 long, d2 long, keys array<long>")
@@ -91,24 +90,9 @@ def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MI
     classes = classes.withColumn("cid", F.monotonically_increasing_id())
     classes = saved(classes.select("cid", "d1", "d2", "place.doc_id", "place.line", "keys"), "paragraph-classes")
     keys = classes.select("cid", F.explode("keys").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = saved(keys.join(hubs, "key"), "paragraph-buckets")
-    stars = members.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
-    links = _verified(stars, classes, docs, k, percent, min_words)
-
-    roots = components(links, "paragraph-stars")
-    named = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-    named = named.select("key", "cid", "hub", F.coalesce("root", "cid").alias("root"))
-    parts = named.select("key", "root").distinct()
-    torn = parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    named = saved(named.join(torn, "key"), "paragraph-torn")
-    parts = named.select("key", F.col("root").alias("other")).distinct()
-    left = named.select("key", F.col("root").alias("other"), F.col("cid").alias("a"))
-    crossing = named.withColumnRenamed("cid", "b").join(parts, "key").where("other < root").join(left, ["key", "other"])
-    crossing = crossing.where("a <> hub and b <> hub").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _verified(crossing.distinct(), classes, docs, k, percent, min_words)
-
-    roots = components(links.union(more), "paragraph-components").withColumnRenamed("node", "cid")
+    links = linked_in_buckets(keys, lambda pairs: _verified(pairs, classes, docs, k, percent, min_words))
+
+    roots = components(links, "paragraph-components").withColumnRenamed("node", "cid")
     named = classes.drop("keys").join(roots, "cid", "left").withColumn("cluster", F.coalesce("root", "cid"))
     first = named.groupBy("cluster").agg(F.min(F.struct("doc_id", "line")).alias("first"))
     return named.select("d1", "d2", "cluster").join(first, "cluster").select("d1", "d2", "cluster", "first.doc_id", "first.line")

@@ -31,7 +31,7 @@ from changeweir.llm.common import (
     shingles,
     signed,
 )
-from changeweir.llm.graph import components
+from changeweir.llm.graph import components, linked_in_buckets
 
 REGISTERS, ROWS = 128, 4
 BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2
@@ -142,6 +142,7 @@ def _sets(k: int, bits: bytes):
 
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets reach the threshold: sketches first, then whole sets."""
+    pairs = saved(pairs, "setsketch-pairs")
     side = lambda x: reps.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(fits)
@@ -168,9 +169,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     shingle sets; ``component_id`` is the smallest doc_id reachable.
 
     * Equal sets are one class before anything is compared, so exact copies never pair up.
-    * In each bucket all members are held against one hub, not each other. Links found so join most of a
-      large group; after that only members of *different* components that share a bucket are compared, and
-      no pair is cut off. A group of near copies costs a star, not all its pairs.
+    * Buckets are joined by hubs (``linked_in_buckets``), then across components only, so a group of near copies
+      costs stars, not all its pairs, and no pair is cut off.
     * Whole sets are read for candidates only.
 
     Null and empty texts, and texts of white space, have no shingles and are linked with nothing. A null doc_id
@@ -187,32 +187,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "setsketch-classes")
 
     keys = reps.select("cid", "registers").mapInPandas(_banded, "key long, cid long")
-    hubs = keys.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = saved(keys.join(hubs, "key"), "setsketch-buckets")
-    stars = members.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
-    links = _verified(saved(stars, "setsketch-stars"), reps, docs, k, percent)
-
-    # What still lies in one bucket but in two components: every such pair, by component, never within one.
-    roots = components(links)
-    named = members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "key", "cid", "hub", F.coalesce("root", "cid").alias("root")
-    )
-    parts = named.groupBy("key", "root").agg(F.count("*").alias("n"))
-    mixed_up = parts.groupBy("key").agg(F.count("*").alias("roots")).where("roots > 1").select("key")
-    named = saved(named.join(mixed_up, "key"), "setsketch-mixed")
-    parts = named.select("key", F.col("root").alias("other")).distinct()
-    crossing = named.withColumnRenamed("cid", "b").join(parts, "key").where("other < root")
-    others = named.select("key", F.col("root").alias("other"), F.col("cid").alias("a"))
-    crossing = crossing.join(others, ["key", "other"]).where("a <> hub and b <> hub")  # the hub's pairs are known
-    crossing = crossing.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _verified(saved(crossing, "setsketch-crossing"), reps, docs, k, percent)
+    links = linked_in_buckets(keys, lambda pairs: _verified(pairs, reps, docs, k, percent))
 
     # Rows of one doc_id are one node: its classes are tied by edges of their own.
     classed = rows.where("digest is not null and doc_id is not null").select("doc_id", "digest").distinct()
     several = classed.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     tied = classed.join(several, "doc_id").join(reps.select("digest", "cid"), "digest")
     tied = tied.join(tied.groupBy("doc_id").agg(F.min("cid").alias("a")), "doc_id").select("a", F.col("cid").alias("b"))
-    roots = components(links.union(more).union(tied))
+    roots = components(links.union(tied))
     labelled = reps.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "digest", "doc", F.coalesce("root", "cid").alias("root")
     )
