@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from changeweir.llm.common import saved
 
-#: Rounds of hubs before what is left of a bucket is compared pair by pair.
-HUB_ROUNDS = 3
+#: Rounds of hubs before the exact filter takes over what is left.
+HUB_ROUNDS = 2
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -44,13 +44,43 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         state = saved(small.select("e.u", "e.v").where("u <> v").distinct(), label)
 
 
-def linked_in_buckets(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = HUB_ROUNDS) -> DataFrame:
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``sets(cid, root, shingles)`` with different roots that can reach a similarity of ``percent``; exact.
+
+    Sets that do share one of their rarest members: of n, the first n - ceil(n * percent / 100) + 1 in one order of all
+    members by count; and they share at most as many as each has that others have too. Copies that differ by edits are full of members of their own, which come first and pair with nothing, so
+    a large group of texts that are alike but not alike enough gives few pairs.
+    """
+    each = sets.select("cid", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("x"))
+    counts = each.groupBy("x").agg(F.count("*").alias("f"))
+    ordered = each.join(counts, "x").groupBy("cid", "root", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("all"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    common = F.size(F.filter("all", lambda e: e["f"] > 1)).alias("c")
+    rare = ordered.select("cid", "root", "n", common, F.explode(F.slice("all", F.lit(1), length)).alias("e"))
+    rare = saved(rare.where("e.f > 1").select("cid", "root", "n", "c", "e.x"), "bucket-rare")
+    # By member and root first, so that sets of one component never pair up.
+    parts = rare.select("x", F.col("root").alias("other")).distinct()
+    others = rare.select("x", F.col("root").alias("other"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+    pairs = rare.withColumnRenamed("cid", "b").join(parts, "x").where("other < root").join(others, ["x", "other"])
+    # What two sets share, none has alone: that bounds their similarity.
+    pairs = pairs.where(F.least("c", "ca") * (100 + percent) >= (F.col("n") + F.col("na")) * percent)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def linked_in_buckets(
+    keys: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    sets_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+    rounds: int = HUB_ROUNDS,
+) -> DataFrame:
     """Verified links ``(a, b)`` that join all that the links within the buckets of ``keys(key, cid)`` would join.
 
-    ``verify`` takes pairs ``(a, b)`` and returns those that are linked. In each round a bucket's hub is held against every
-    member of another component than its own: the member that most others meet in buckets, which among copies of one text is
-    the text that they come from. So a large group costs a star a round. After the rounds, every pair is compared whose members
-    share a bucket and are of *different* components, by component and never within one; no pair is cut off.
+    ``verify`` takes pairs ``(a, b)`` and returns those that are linked; ``sets_of`` takes ``cid`` and returns
+    ``cid, shingles``. In each round a bucket's hub is held against every member of another component than its own: the
+    member that most others meet in buckets, which among copies of one text is the text that they come from. So a large
+    group costs a star a round. After the rounds, what still shares a bucket with another component goes through an
+    exact prefix filter (``prefix_pairs``); no pair is cut off.
     """
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = saved(keys.join(sizes, "key"), "bucket-members")
@@ -73,10 +103,6 @@ def linked_in_buckets(keys: DataFrame, verify: Callable[[DataFrame], DataFrame],
         left = saved(left.join(several, "key"), "bucket-left")
         if left.isEmpty():
             return links
-    # Whoever was a hub has met all others; the rest meets across components.
-    left = left.where("not used")
-    parts = left.select("key", F.col("root").alias("other")).distinct()
-    others = left.select("key", F.col("root").alias("other"), F.col("cid").alias("a"))
-    crossing = left.withColumnRenamed("cid", "b").join(parts, "key").where("other < root").join(others, ["key", "other"])
-    crossing = crossing.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return links.union(verify(crossing)).distinct()
+    alone = left.select("cid", "root").distinct()
+    sets = sets_of(alone.select("cid"))
+    return links.union(verify(prefix_pairs(sets.join(alone, "cid"), percent))).distinct()

@@ -7,7 +7,7 @@ by digest alone. Bands are tuned for recall: with 14 bands of 3 rows a pair at J
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -63,22 +63,35 @@ def _alike(k: int, percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, min_words: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose texts reach the similarity; one text of each candidate class is read again."""
-    pairs = saved(pairs, "paragraph-pairs")
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = classes.join(wanted, "cid").select("cid", "d1", "d2", "doc_id", "line")
-    wanted = saved(wanted, "paragraph-wanted")
+def _texts(cids: DataFrame, classes: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
+    """``cid, text`` of the given classes, read again from their first places."""
+    wanted = saved(classes.join(cids, "cid").select("cid", "d1", "d2", "doc_id", "line"), "paragraph-wanted")
     # Most lines are no candidate's: a filter of fixed size drops them before the join deals out texts.
     texts = only_members(lines(docs).where(long_enough(F.col("text"), min_words)), member_bits(wanted, "d1"), "d1")
     same = [texts[c].eqNullSafe(wanted[c]) for c in ("d1", "d2", "doc_id", "line")]
-    condition = same[0] & same[1] & same[2] & same[3]
-    texts = saved(texts.join(wanted, condition).select("cid", texts["text"]).dropDuplicates(["cid"]), "paragraph-texts")
-    both = pairs.join(texts.withColumnsRenamed({"cid": "b", "text": "tb"}), "b")
-    both = both.join(texts.withColumnsRenamed({"cid": "a", "text": "ta"}), "a")
+    found = texts.join(wanted, same[0] & same[1] & same[2] & same[3]).select("cid", texts["text"])
+    return saved(found.dropDuplicates(["cid"]), "paragraph-texts")
+
+
+def _verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], k: int, percent: int) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose texts reach the similarity."""
+    pairs = saved(pairs, "paragraph-pairs")
+    found = texts(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+    both = pairs.join(found.withColumnsRenamed({"cid": "b", "text": "tb"}), "b")
+    both = both.join(found.withColumnsRenamed({"cid": "a", "text": "ta"}), "a")
     return saved(both.select("a", "b", "ta", "tb").mapInPandas(_alike(k, percent), "a long, b long"), "paragraph-links")
 
 
+def _shingled(k: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = Words()
+        for batch in batches:
+            sets = [signed(shingles(lower_words(t), k, cache)) for t in batch["text"]]
+            yield pd.DataFrame({"cid": batch["cid"].to_numpy(), "shingles": sets})
+
+    return run
+
+
 def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
     """``d1, d2, cluster, doc_id, line``: each class of equal paragraphs, its cluster, and the cluster's first place.
 
@@ -90,7 +103,13 @@ def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MI
     classes = classes.withColumn("cid", F.monotonically_increasing_id())
     classes = saved(classes.select("cid", "d1", "d2", "place.doc_id", "place.line", "keys"), "paragraph-classes")
     keys = classes.select("cid", F.explode("keys").alias("key"))
-    links = linked_in_buckets(keys, lambda pairs: _verified(pairs, classes, docs, k, percent, min_words))
+    texts = lambda cids: _texts(cids, classes, docs, min_words)
+    links = linked_in_buckets(
+        keys,
+        lambda pairs: _verified(pairs, texts, k, percent),
+        lambda cids: texts(cids).mapInPandas(_shingled(k), "cid long, shingles array<long>"),
+        percent,
+    )
 
     roots = components(links, "paragraph-components").withColumnRenamed("node", "cid")
     named = classes.drop("keys").join(roots, "cid", "left").withColumn("cluster", F.coalesce("root", "cid"))

@@ -140,6 +140,16 @@ def _sets(k: int, bits: bytes):
     return run
 
 
+def _full_sets(cids: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``cid, shingles`` of the given classes, from whole texts. One row of each class was noted; a text that has its
+    doc_id is looked up by the set's digest again."""
+    wanted = saved(reps.join(cids, "cid").select("cid", "digest", "doc"), "setsketch-wanted")
+    texts = docs.select("text", member_place("doc_id").alias("place"))
+    found = texts.mapInPandas(_sets(k, member_bits(wanted, "doc")), "digest binary, shingles array<long>")
+    found = found.join(wanted.select("cid", "digest"), "digest").drop("digest").dropDuplicates(["cid"])
+    return saved(found, "setsketch-sets")
+
+
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs(a, b)`` whose sets reach the threshold: sketches first, then whole sets."""
     pairs = saved(pairs, "setsketch-pairs")
@@ -147,12 +157,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percen
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(fits)
     near = saved(near.mapInPandas(_promising(percent / 100), "a long, b long"), "setsketch-near")
-    wanted = near.select(F.col("b").alias("cid")).union(near.select("a")).distinct()
-    wanted = saved(reps.join(wanted, "cid").select("cid", "n", "digest", "doc"), "setsketch-wanted")
-    # One row of each class was noted; a text that has its doc_id is looked up by the set's digest again.
-    texts = docs.select("text", member_place("doc_id").alias("place"))
-    found = texts.mapInPandas(_sets(k, member_bits(wanted, "doc")), "digest binary, shingles array<long>")
-    found = saved(found.join(wanted.select("cid", "digest"), "digest").drop("digest").dropDuplicates(["cid"]), "setsketch-sets")
+    found = _full_sets(near.select(F.col("b").alias("cid")).union(near.select("a")).distinct(), reps, docs, k)
     with_b = near.join(found.withColumnsRenamed({"cid": "b", "shingles": "sb"}), "b")
     with_ab = with_b.join(found.withColumnsRenamed({"cid": "a", "shingles": "sa"}), "a")
     # Sorted distinct hashes: the built-in intersection is one hash set a pair.
@@ -169,8 +174,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     shingle sets; ``component_id`` is the smallest doc_id reachable.
 
     * Equal sets are one class before anything is compared, so exact copies never pair up.
-    * Buckets are joined by hubs (``linked_in_buckets``), then across components only, so a group of near copies
-      costs stars, not all its pairs, and no pair is cut off.
+    * Buckets are joined by hubs (``linked_in_buckets``), then by an exact filter across components, so a
+      group of near copies costs stars, not all its pairs, and no pair is cut off.
     * Whole sets are read for candidates only.
 
     Null and empty texts, and texts of white space, have no shingles and are linked with nothing. A null doc_id
@@ -187,7 +192,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "setsketch-classes")
 
     keys = reps.select("cid", "registers").mapInPandas(_banded, "key long, cid long")
-    links = linked_in_buckets(keys, lambda pairs: _verified(pairs, reps, docs, k, percent))
+    links = linked_in_buckets(
+        keys,
+        lambda pairs: _verified(pairs, reps, docs, k, percent),
+        lambda cids: _full_sets(cids, reps, docs, k),
+        percent,
+    )
 
     # Rows of one doc_id are one node: its classes are tied by edges of their own.
     classed = rows.where("digest is not null and doc_id is not null").select("doc_id", "digest").distinct()
