@@ -17,12 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import MEMBER_BITS, maybe_member, member_bits, member_place, mixed, saved, signed
+from changeweir.llm.common import MEMBER_BITS, maybe_member, member_bits, mixed, only_members, saved, signed
 
 GRAM = 32
 #: Groups of more different texts than this are counted string by string in Spark instead of in one suffix array.
-GROUP_TEXTS = 256
-#: Bytes of group texts that share one suffix array (whole groups; the largest group is 256 short texts).
+GROUP_TEXTS = 64
+#: Bytes of group texts that share one suffix array (whole groups, each of at most GROUP_TEXTS short texts).
 BATCH_BYTES = 400_000
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -50,43 +50,53 @@ def hashes(raw: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
+#: Low bits of an ordered hash that hold the place, and bytes that are looked at in one piece (far fewer than 2^24).
+_PLACE_BITS, _PIECE = 24, 1 << 22
+
+
 def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(gram hash, first start, end of starts) of every anchor, in order; none for texts shorter than ``length``."""
+    """(gram hash, first start, end of starts) of every anchor, in order; none for texts shorter than ``length``.
+
+    Grams are ordered by 40 bits of their hash, then by place, so one minimum over a window names its
+    gram. Long texts are looked at in pieces that overlap by ``length`` - 1; starts are dealt to pieces once.
+    """
+    if len(raw) > _PIECE:
+        found = [(at, anchors(raw[at : at + _PIECE + length - 1], length)) for at in range(0, len(raw), _PIECE)]
+        grams, first, end = zip(*[(g, f + at, e + at) for at, (g, f, e) in found], strict=True)
+        return np.concatenate(grams), np.concatenate(first), np.concatenate(end)
     if len(raw) < length:
         none = np.empty(0, np.int64)
         return none.view(np.uint64), none, none
-    value = hashes(np.frombuffer(raw, np.uint8), GRAM)
-    grams, place = value, np.arange(len(value), dtype=np.int32)
+    grams = hashes(np.frombuffer(raw, np.uint8), GRAM)
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    value = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     window, have = length - GRAM + 1, 1
-
-    def lower(value, place, shift, n):
-        take = value[shift : shift + n] < value[:n]  # the left one on ties
-        return np.where(take, value[shift : shift + n], value[:n]), np.where(take, place[shift : shift + n], place[:n])
-
     while 2 * have <= window:
-        value, place = lower(value, place, have, len(value) - have)
+        value = np.minimum(value[:-have], value[have:])
         have *= 2
-    _, place = lower(value, place, window - have, len(raw) - length + 1)
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    return grams[place[first]], first, np.concatenate((first[1:], [len(place)]))
-
-
-def ranks_by_prefix(codes: np.ndarray, limit: int) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... symbols, up to at least ``limit``; 0 stands past the end."""
-    n = len(codes)
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-    out, width = [np.append(rank, 0)], 1
-    while width < limit:
-        key = rank * (n + 2)
-        key[: n - width] += rank[width:] if width < n else 0
-        order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([1], key[order][1:] != key[order][:-1])))
-        out.append(np.append(rank, 0))
-        width *= 2
-        if rank.max() == n:
-            break
-    return out
+    value = np.minimum(value[: len(raw) - length + 1], value[window - have :])
+    first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+    return grams[(value[first] & low).astype(np.int64)], first, np.concatenate((first[1:], [len(value)]))
+
+
+def ranks_by_prefix(codes: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of all suffixes by their first ``length`` symbols (from 1), by prefix doubling; the end sorts first."""
+
+    def ranked(key: np.ndarray) -> np.ndarray:
+        order = np.argsort(key)
+        ordered = key[order]
+        rank = np.empty(len(key), np.int64)
+        rank[order] = np.cumsum(np.concatenate(([1], ordered[1:] != ordered[:-1])))
+        return rank
+
+    n, have = len(codes), 1
+    rank = ranked(codes)
+    while have < length and (not n or rank.max() < n):
+        step = min(have, length - have)  # the last step may overlap what is ranked already
+        key = rank * (n + 1)
+        key[: max(n - step, 0)] += rank[step:]
+        rank, have = ranked(key), have + step
+    return rank
 
 
 def previous_smaller(order: np.ndarray) -> np.ndarray:
@@ -99,33 +109,22 @@ def previous_smaller(order: np.ndarray) -> np.ndarray:
     return before
 
 
-def longest_previous(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lpf, from previous, from next): for every position the longest match that starts earlier, exact up to ``limit``.
+def longest_previous(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every position an earlier one that shares its next ``length`` symbols, before and after it in suffix order.
 
-    The last two are the earlier positions (-1: none) that precede and follow it in suffix order.
+    Of all earlier positions, the previous and next smaller ones in suffix order share the longest prefix, so the
+    longest previous factor reaches ``length`` where either of them does; -1 where not.
     """
-    n = len(codes)
-    levels = ranks_by_prefix(codes, limit)
-    order = np.argsort(levels[-1][:n], kind="stable")
+    rank = ranks_by_prefix(codes, length)
+    order, n = np.argsort(rank), len(codes)
+    whole = np.arange(n) + length <= n
     source = np.full((2, n), -1, np.int64)
     for row, turn in ((0, 1), (1, -1)):
         entries = order[::turn]
         at = previous_smaller(entries)
-        source[row, entries] = np.where(at >= 0, entries[at], -1)
-
-    def common(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        got = np.zeros(len(i), np.int64)
-        for level in range(len(levels) - 1, -1, -1):
-            rank = levels[level]
-            a, b = np.minimum(i + got, n), np.minimum(j + got, n)
-            got += np.where((rank[a] == rank[b]) & (rank[a] > 0), 1 << level, 0)
-        return got
-
-    lengths = np.zeros((2, n), np.int64)
-    for row in (0, 1):
-        has = np.flatnonzero(source[row] >= 0)
-        lengths[row, has] = common(has, source[row, has])
-    return lengths.max(axis=0), np.where(lengths[0] >= limit, source[0], -1), np.where(lengths[1] >= limit, source[1], -1)
+        before = entries[at]
+        source[row, entries] = np.where((at >= 0) & (rank[before] == rank[entries]) & whole[entries], before, -1)
+    return source[0], source[1]
 
 
 def runs(flags: np.ndarray) -> np.ndarray:
@@ -195,8 +194,8 @@ def _matched(length: int):
             starts.append(at)
             parts += [np.frombuffer(raw, np.uint8).astype(np.int64), np.array([256 + k])]  # a separator of its own
             at += len(raw) + 1
-        lpf, before, after = longest_previous(np.concatenate(parts), length)
-        later = lpf >= length
+        before, after = longest_previous(np.concatenate(parts), length)
+        later = (before >= 0) | (after >= 0)
         any_copy = later.copy()
         for source in (before, after):
             any_copy[source[source >= 0]] = True
@@ -235,12 +234,15 @@ def _strings(length: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for gram, chunk, place, raw in zip(batch["gram"], batch["chunk"], batch["place"], batch["content"], strict=True):
-                a = np.frombuffer(raw, np.uint8)
-                one = hashes(a, length)
-                two = hashes(a ^ np.uint8(0x5A), length)
-                n = len(one)
-                yield pd.DataFrame({"gram": np.full(n, gram), "chunk": [chunk] * n, "at": np.arange(n), "place": np.full(n, place), "h1": signed(one), "h2": signed(two)})
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at : at + 256]
+                texts = [np.frombuffer(raw, np.uint8) for raw in part["content"]]
+                one = [hashes(a, length) for a in texts]
+                two = [hashes(a ^ np.uint8(0x5A), length) for a in texts]
+                sizes = [len(x) for x in one]
+                columns = {c: np.repeat(part[c].to_numpy(), sizes) for c in ("gram", "chunk")}
+                places = np.concatenate([np.arange(n) for n in sizes])
+                yield pd.DataFrame(columns | {"at": places, "h1": signed(np.concatenate(one)), "h2": signed(np.concatenate(two))})
 
     return run
 
@@ -278,12 +280,12 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         _matched(length), f"gram long, chunk binary, copied {_SPANS}, later {_SPANS}"
     )
     # Large groups: strings are counted with the first one's place, combined before the shuffle.
-    large = texts.where(F.col("texts") > GROUP_TEXTS).withColumn("place", F.xxhash64("ref.doc_id", "ref.tid", "ref.first"))
-    strings = large.select("gram", "chunk", "place", "content").mapInPandas(
-        _strings(length), "gram long, chunk binary, at int, place long, h1 long, h2 long"
+    large = texts.where(F.col("texts") > GROUP_TEXTS)
+    strings = large.select("gram", "chunk", "content").mapInPandas(
+        _strings(length), "gram long, chunk binary, at int, h1 long, h2 long"
     )
     firsts = large.select("gram", "chunk", "ref")
-    strings = saved(strings.drop("place"), "lpf-strings")
+    strings = saved(strings, "lpf-strings")
     ordered = strings.join(firsts.select("chunk", "gram", F.struct("ref.doc_id", "ref.tid", "ref.first").alias("o")), ["gram", "chunk"])
     counts = ordered.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("o", "at")).alias("lead")).where("n > 1")
     again = ordered.join(counts, ["h1", "h2"]).select("gram", "chunk", "at", (F.struct("o", "at") != F.col("lead")).alias("is_later"))
@@ -361,18 +363,11 @@ def without_repeats(docs: DataFrame, length: int = 400, keep_first: bool = False
     column = "later" if keep_first else "copied"
     spans = saved(repeats(docs, length).select("doc_id", "tid", column), "lpf-spans")
     bits = member_bits(spans, "tid")
-    docs = docs.withColumn("tid", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).withColumn("place", member_place("tid"))
+    docs = docs.withColumn("tid", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
 
-    def part(inside: bool):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield batch[maybe_member(bits, batch["place"].to_numpy()) == inside]
-
-        return docs.mapInPandas(run, docs.schema)
-
-    plain = part(False).withColumn(column, F.lit(None).cast(_SPANS))
-    maybe = part(True)
+    plain = only_members(docs, bits, "tid", inside=False).withColumn(column, F.lit(None).cast(_SPANS))
+    maybe = only_members(docs, bits, "tid")
     met = maybe.join(spans.withColumnsRenamed({"doc_id": "d", "tid": "t"}), (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
     rows = plain.select("doc_id", "text", column).unionByName(met.select("doc_id", "text", column))
     return rows.mapInPandas(_removed(length, column, with_text), schema)
