@@ -61,7 +61,8 @@ def envelope_records(messages: DataFrame) -> DataFrame:
     opened = from_envelopes(messages)
     return opened.select(
         F.element_at(F.split("topic", r"\."), -1).alias("table_name"),
-        fch.mod_type_of_op(F.col("op")).alias("mod_type"),
+        # An op that is not known is set aside later; only a missing type means insert.
+        F.coalesce(fch.mod_type_of_op(F.col("op")), F.lit("unknown op")).alias("mod_type"),
         F.coalesce("after", "before").alias("data"),
         F.col("before").alias("old_data"),
         F.col("timestamp").cast("timestamp_ntz").alias("commit_ts"),
@@ -99,8 +100,10 @@ def decode_table(records: DataFrame, spec: TableSpec) -> DataFrame:
     """Records of one table as typed rows with ``mod_type, commit_ts, seq, data`` and ``reason``.
 
     ``reason`` is empty for good rows. Columns not declared are dropped, missing
-    ones are NULL. A delete needs its key only.
+    ones are NULL. A delete needs its key only. ``mod_type`` comes in any source's spelling and
+    leaves as INSERT, UPDATE or DELETE; a missing one is an INSERT.
     """
+    records = records.withColumn("mod_type", fch.mod_type(F.col("mod_type")))
     opened = records.select("mod_type", "commit_ts", "seq", "data", fch.parsed(F.col("data"), spec))
     whole = fch.faults(F.col("data"), spec, spec.columns)
     key_only = fch.faults(F.col("data"), spec, spec.key)

@@ -40,11 +40,19 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_KEYS = 500_000
 #: Batch ids a commit file remembers. A stream repeats its last batch only.
 REMEMBERED = 200
+#: Where the number of the newest stream batch is kept among the ids.
+HIGHEST = "highest batch"
 BUCKET = "_bucket"
 BEFORE = "_before"
 _BASE, _DELTA = "base", "delta"
 
 
+def _batch_number(batch_id: str) -> int | None:
+    """N of ``batch-N``, the ids of one stream; a stream that starts anew needs tables or ids of its own."""
+    number = batch_id.removeprefix("batch-")
+    return int(number) if number != batch_id and number.isdigit() else None
+
+
 @dataclass(frozen=True)
 class Probe:
     """Distinct lookup keys with their number per bucket, counted once for several lookups."""
@@ -193,6 +201,9 @@ class LakeTable:
         """The commit of a recent batch, if it was made."""
         newest = self.latest()
         version = newest.recent.get(batch_id) if newest else None
+        if version is None and newest and (number := _batch_number(batch_id)) is not None:
+            # Batches of one stream come in order: all up to the highest are in, however long ago.
+            version = newest.version if number <= newest.recent.get(HIGHEST, -1) else None
         return None if version is None else self.at(version)
 
     def create(self) -> LakeTable:
@@ -205,7 +216,13 @@ class LakeTable:
         self, parent: Commit | None, batch_id: str, operation: str, layers: list[dict], counts: dict[str, int]
     ) -> Commit:
         version = 0 if parent is None else parent.version + 1
-        recent = list(({} if parent is None else parent.recent).items())[1 - REMEMBERED :]
+        known = {} if parent is None else parent.recent
+        # Snapshots and the highest batch number are never forgotten; of other ids the newest are kept.
+        lasting = {k: v for k, v in known.items() if k == HIGHEST or k.startswith("snapshot-")}
+        recent = list({k: v for k, v in known.items() if k not in lasting}.items())[1 - REMEMBERED :]
+        number = _batch_number(batch_id)
+        if number is not None:
+            lasting[HIGHEST] = max(number, lasting.get(HIGHEST, -1))
         body = {
             "version": version,
             "parent": None if parent is None else parent.version,
@@ -214,7 +231,7 @@ class LakeTable:
             "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
             "layers": layers,
             "counts": counts,
-            "recent": dict([*recent, (batch_id, version)]),
+            "recent": lasting | dict([*recent, (batch_id, version)]),
         }
         self.folder.publish(self._file(version), json.dumps(body))
         self.folder.write("_commits/hint", str(version))

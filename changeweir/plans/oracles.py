@@ -9,12 +9,17 @@ WITH c AS (
          lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example.com' AS email,
          TIMESTAMP '1995-01-01 00:00:00' AS created_at
   FROM customer
+  UNION ALL
+  SELECT c_custkey + 10000000, c_name || '.idle',
+         'idle.' || lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example.com',
+         TIMESTAMP '1995-01-01 00:00:00'
+  FROM customer WHERE c_custkey % 3 = 0
 ), o AS (
   SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
          CAST(o_totalprice AS DECIMAL(10,2)) AS amount,
          CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'shipped' END AS status,
          o_orderdate AS created_at
-  FROM orders WHERE o_custkey % 3 <> 0
+  FROM orders
 ), c3 AS (
   SELECT id AS customer_id, email, name, created_at, created_at AS updated_at FROM c
 ), p AS (
@@ -31,7 +36,8 @@ WITH c AS (
   SELECT 'INSERT' AS mod_type, CAST(1 AS BIGINT) AS seq, id, customer_id, order_date, amount, status, created_at,
          created_at AS commit_ts FROM o
   UNION ALL
-  SELECT 'UPDATE', CAST(2 AS BIGINT), id, customer_id, order_date, CAST(amount * 1.1 AS DECIMAL(10,2)), 'delivered',
+  SELECT 'UPDATE', CAST(2 AS BIGINT), id,
+         CASE WHEN id % 9 = 0 THEN GREATEST(customer_id - 1, 1) ELSE customer_id END, order_date, CAST(amount * 1.1 AS DECIMAL(10,2)), 'delivered',
          created_at, created_at + INTERVAL '1' DAY FROM o WHERE id % 3 = 0
   UNION ALL
   SELECT 'DELETE', CAST(3 AS BIGINT), id, customer_id, order_date, amount, status, created_at,
@@ -132,7 +138,8 @@ FEED_JSON = """'{"customer_id":"' || customer_id || '","product_id":' || product
              ',"created_at":"' || strftime(created_at, '%Y-%m-%d %H:%M:%S') || '"' END || '}'"""
 # Rows before (b) and after (a) each change; no row stands before an insert or after a delete.
 IMAGES = """SELECT id, mod_type, seq, commit_ts, lag(a_amount) OVER w AS b_amount, lag(a_status) OVER w AS b_status,
-        a_amount, a_status FROM (SELECT *, CASE WHEN mod_type <> 'DELETE' THEN amount END AS a_amount,
+        lag(a_customer) OVER w AS b_customer, a_amount, a_status, a_customer FROM (SELECT *,
+          CASE WHEN mod_type <> 'DELETE' THEN customer_id END AS a_customer, CASE WHEN mod_type <> 'DELETE' THEN amount END AS a_amount,
           CASE WHEN mod_type <> 'DELETE' THEN status END AS a_status FROM chg)
         WINDOW w AS (PARTITION BY id ORDER BY commit_ts, seq)"""
 
@@ -273,6 +280,7 @@ BODIES: dict[str, str] = {
     "change_audit_images": f"""SELECT id, mod_type, seq, b_amount AS before_amount, b_status AS before_status,
         a_amount AS after_amount, a_status AS after_status FROM ({IMAGES})""",
     "change_audit_diff": f"""SELECT id, commit_ts, seq, concat_ws(',',
+        CASE WHEN b_customer IS DISTINCT FROM a_customer THEN 'customer_id' END,
         CASE WHEN b_amount IS DISTINCT FROM a_amount THEN 'amount' END,
         CASE WHEN b_status IS DISTINCT FROM a_status THEN 'status' END) AS changed
         FROM ({IMAGES}) WHERE mod_type = 'UPDATE'""",

@@ -15,18 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(
+    """Every customer, and for each third one another who never orders."""
+    rows = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS id",
         "c_name AS name",
         "lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example.com' AS email",
         f"{_EPOCH} AS created_at",
     )
+    return rows.selectExpr(
+        "inline(array(struct(id, name, email, created_at), IF(id % 3 = 0, struct(id + 10000000 AS id,"
+        " name || '.idle' AS name, 'idle.' || email AS email, created_at), NULL)))"
+    ).filter("id IS NOT NULL")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
-        .filter("o_custkey % 3 <> 0")
         .selectExpr(
             "o_orderkey AS id",
             "o_custkey AS customer_id",
@@ -92,7 +96,11 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders(spark, sf_dir),
         update_when="id % 3 = 0",
         delete_when="id % 5 = 0",
-        updated={"amount": "CAST(amount * 1.1 AS DECIMAL(10,2))", "status": "'delivered'"},
+        updated={
+            "amount": "CAST(amount * 1.1 AS DECIMAL(10,2))",
+            "status": "'delivered'",
+            "customer_id": "IF(id % 9 = 0, GREATEST(customer_id - 1, 1), customer_id)",  # some move
+        },
     )
 
 

@@ -112,13 +112,13 @@ class ChangePipeline:
     def snapshot(self, tables: Mapping[str, DataFrame], commit_ts: Column) -> list[str]:
         """Load whole tables, in the order given, before the stream starts.
 
-        A table that already has a commit was loaded before, and is skipped; the
-        tables loaded now are returned. Snapshot rows lose to any change after
+        A table whose snapshot was committed before is skipped, whatever the stream has
+        written; the tables loaded now are returned. Snapshot rows lose to any change after
         ``commit_ts``, so the stream may start earlier than the snapshot was taken.
         """
         loaded = []
         for name, rows in tables.items():
-            if self.tables[name].latest().version > 0:
+            if self.tables[name].committed(f"snapshot-{name}"):
                 continue
             changes = snapshot_as_changes(rows, name, commit_ts)
             self.tables[name].merge(with_meta(changes, self.specs[name]), f"snapshot-{name}")

@@ -281,11 +281,14 @@ class MaintainedMarts:
 
     def _refresh_high_value(self, o: DataFrame, c: DataFrame, staged: DataFrame) -> None:
         """Changed orders, and all orders of changed customers, against the threshold."""
-        of_changed_customers = self.orders_by_customer.lookup(c.select(F.col("id").alias("customer_id")))
+        # A tombstone under a customer is an order that moved away: alive elsewhere, and not this customer's to remove.
+        of_changed_customers = self.orders_by_customer.lookup(c.select(F.col("id").alias("customer_id"))).filter(
+            F.col("_op") != "DELETE"
+        )
         candidates = (
             o.filter(F.col("_op") != "DELETE")
             .select(*ORDERS.columns)
-            .unionByName(of_changed_customers.filter(F.col("_op") != "DELETE").select(*ORDERS.columns))
+            .unionByName(of_changed_customers.select(*ORDERS.columns))
             .dropDuplicates(["id"])
         )
         seen = (

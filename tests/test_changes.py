@@ -76,11 +76,15 @@ def test_every_record_is_stored_or_set_aside(spark):
         ("orders", "DELETE", '{"customer_id":9}'),
         ("invoices", "INSERT", good),
         (None, "INSERT", good),
+        ("orders", "row_delete", '{"id":8}'),
+        ("orders", "delete", '{"id":7}'),
+        ("orders", "unknown op", good),
     )
     decoded = decode.decode_all(records, SALES)
     stored = {r.seq: r for r in decode.accepted(decoded["orders"], ORDERS).collect()}
     aside = {r.seq: r.reason for r in decode.rejected(records, decoded).collect()}
-    assert set(stored) == {0, 6}
+    assert set(stored) == {0, 5, 6, 10, 11}
+    assert [stored[i].mod_type for i in (5, 10, 11)] == ["INSERT", "DELETE", "DELETE"]
     assert (stored[0].customer_id, str(stored[0].amount)) == (2, "10.50")
     assert stored[0].created_at == stored[0].commit_ts  # defaulted from the commit, not the clock
     assert aside == {
@@ -88,10 +92,10 @@ def test_every_record_is_stored_or_set_aside(spark):
         2: "not json",
         3: "not json",
         4: "bad amount",
-        5: "unknown mod type",
         7: "missing id",
         8: "unknown table",
         9: "unknown table",
+        12: "unknown mod type",
     }
 
 

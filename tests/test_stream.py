@@ -264,3 +264,48 @@ def test_complete_days_are_emitted(spark):
     complete = want.filter(F.col("window_end") < F.lit(last) - F.expr("INTERVAL 1 DAY"))
     assert got.exceptAll(want).count() == 0
     assert complete.exceptAll(got).count() == 0
+
+
+def test_mart_keeps_an_order_that_moved_when_its_old_owner_changes(spark):
+    """The order lives under its new customer; a later change of the old one must not take it away."""
+    root = scratch_folder(spark, "moved")
+    pipeline = ChangePipeline(spark, root, marts=True)
+    order = '{"id":1,"customer_id":%d,"order_date":"2025-01-15","amount":"300.00","status":"pending"}'
+    customer = '{"id":%d,"name":"%s","email":"a@b.example"}'
+    steps = [
+        [("customers", "INSERT", customer % (1, "one")), ("customers", "INSERT", customer % (2, "two")), ("orders", "INSERT", order % 1)],
+        [("orders", "UPDATE", order % 2)],
+        [("customers", "UPDATE", customer % (1, "uno"))],
+    ]
+    for n, step in enumerate(steps):
+        rows = [(t, m, d, None, 10 * n + i) for i, (t, m, d) in enumerate(step)]
+        batch = spark.createDataFrame(rows, "table_name STRING, mod_type STRING, data STRING, old_data STRING, seq BIGINT")
+        pipeline.process(batch.withColumn("commit_ts", F.expr(f"TIMESTAMP_NTZ'2025-01-0{n + 1} 00:00:00'")), n)
+    kept = pipeline.marts.read("fct_high_value_orders").collect()
+    assert [(r.order_id, r.customer_name) for r in kept] == [(1, "two")]
+
+
+def test_snapshot_is_taken_after_the_stream_has_written_other_tables(spark):
+    pipeline = ChangePipeline(spark, scratch_folder(spark, "late-snapshot"))
+    row = ("customers", "INSERT", '{"id":1,"name":"one","email":"a@b.example"}', None, 1)
+    batch = spark.createDataFrame([row], "table_name STRING, mod_type STRING, data STRING, old_data STRING, seq BIGINT")
+    pipeline.process(batch.withColumn("commit_ts", F.expr("TIMESTAMP_NTZ'2025-01-01 00:00:00'")), 0)
+    orders = spark.sql(
+        "SELECT 7L AS id, 1L AS customer_id, DATE'2025-01-01' AS order_date, CAST(5 AS DECIMAL(10,2)) AS amount,"
+        " 'pending' AS status, TIMESTAMP_NTZ'2025-01-01 00:00:00' AS created_at"
+    )
+    at = F.expr("TIMESTAMP_NTZ'2024-12-31 00:00:00'")
+    assert pipeline.snapshot({"orders": orders}, at) == ["orders"]
+    assert [r.id for r in pipeline.tables["orders"].read().collect()] == [7]
+    assert pipeline.snapshot({"orders": orders}, at) == []
+
+
+def test_old_batches_stay_known(spark, monkeypatch):
+    from changeweir.operators import lake
+
+    monkeypatch.setattr(lake, "REMEMBERED", 2)
+    table = lake.LakeTable(spark, scratch_folder(spark, "replay"), spark.range(0).withColumnRenamed("id", "x").schema, kind="log").create()
+    for n in range(5):
+        table.append(spark.range(1).withColumnRenamed("id", "x"), f"batch-{n}")
+    table.append(spark.range(1).withColumnRenamed("id", "x"), "batch-0")
+    assert table.read().count() == 5
