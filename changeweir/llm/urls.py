@@ -33,7 +33,7 @@ SEEDS = frozenset(
     "lottery pharmacy pills poker porn replica sex slots spam tracker track viagra warez win xxx".split()
 )
 #: Words of the segmentation dictionary (the most frequent ones), buckets of the model, weight of the prior.
-DICTIONARY, BUCKETS, PRIOR = 50_000, 1 << 16, 50.0
+DICTIONARY, BUCKETS, PRIOR = 50_000, 1 << 16, 5.0
 MAX_WORD = 24
 
 
