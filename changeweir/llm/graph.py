@@ -47,23 +47,35 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of ``sets(cid, root, shingles)`` with different roots that can reach a similarity of ``percent``; exact.
 
-    Sets that do share one of their rarest members: of n, the first n - ceil(n * percent / 100) + 1 in one order of all
-    members by count; and they share at most as many as each has that others have too. Copies that differ by edits are full of members of their own, which come first and pair with nothing, so
-    a large group of texts that are alike but not alike enough gives few pairs.
+    All members stand in one order, the rarest first. Two sets of n and m members that are linked share at least
+    percent * (n + m) / (100 + percent) of them, so the first one they share has at least that many members from there on
+    (its reach) in both. That bounds where it can be: near the front of the longer set, and nearer still in the shorter
+    one, which alone is looked up. Members that no other set has come first in the order and use up a set's reach, so a large
+    group of texts that are alike but not alike enough gives few pairs.
     """
-    each = sets.select("cid", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("x"))
-    counts = each.groupBy("x").agg(F.count("*").alias("f"))
+    whole = 100 + percent
+    each = sets.select("cid", "root", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("x"))
+    counts = each.groupBy("x").agg(F.count("*").alias("f")).where("f > 1")
     ordered = each.join(counts, "x").groupBy("cid", "root", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("all"))
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    common = F.size(F.filter("all", lambda e: e["f"] > 1)).alias("c")
-    rare = ordered.select("cid", "root", "n", common, F.explode(F.slice("all", F.lit(1), length)).alias("e"))
-    rare = saved(rare.where("e.f > 1").select("cid", "root", "n", "c", "e.x"), "bucket-rare")
-    # By member and root first, so that sets of one component never pair up.
-    parts = rare.select("x", F.col("root").alias("other")).distinct()
-    others = rare.select("x", F.col("root").alias("other"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    pairs = rare.withColumnRenamed("cid", "b").join(parts, "x").where("other < root").join(others, ["x", "other"])
-    # What two sets share, none has alone: that bounds their similarity.
-    pairs = pairs.where(F.least("c", "ca") * (100 + percent) >= (F.col("n") + F.col("na")) * percent)
+    size = F.size("all")
+    front = F.slice("all", F.lit(1), F.greatest(size - F.ceil(F.col("n") * percent / 100).cast("int") + 1, F.lit(0)))
+    rare = ordered.select("cid", "root", "n", size.alias("c"), F.posexplode(front).alias("k", "e"))
+    rare = saved(rare.select("cid", "root", "n", (F.col("c") - F.col("k")).cast("long").alias("reach"), "e.x"), "bucket-rare")
+    shorter = rare.where(F.col("reach") * whole >= F.col("n") * 2 * percent).withColumnRenamed("root", "other")
+    # By component first: the members of one never pair up, and a component that can't be reached gives no row.
+    parts = shorter.groupBy("x", "other").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("reach").alias("most"))
+    met = rare.withColumnRenamed("cid", "b").join(parts, "x").where(
+        (F.col("other") != F.col("root"))
+        & (F.col("lo") <= F.col("n"))
+        & (F.col("hi") * 100 >= F.col("n") * percent)
+        & (F.least("reach", "most") * whole >= (F.col("n") + F.col("lo")) * percent)
+    )
+    partner = shorter.select("x", "other", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("reach").alias("reach_a"))
+    pairs = met.join(partner, ["x", "other"]).where(
+        ((F.col("na") < F.col("n")) | ((F.col("na") == F.col("n")) & (F.col("a") < F.col("b"))))
+        & (F.col("na") * 100 >= F.col("n") * percent)
+        & (F.least("reach", "reach_a") * whole >= (F.col("n") + F.col("na")) * percent)
+    )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

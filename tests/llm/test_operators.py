@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from changeweir.llm import cascade, decontaminate, language, lpf, packing, paragraphs, pii, queries, setsketch, templates, urls
+from changeweir.llm import cascade, decontaminate, graph, language, lpf, packing, paragraphs, pii, queries, setsketch, templates, urls
 
 random.seed(11)
 VOCABULARY = [f"w{i}" for i in range(400)]
@@ -297,3 +297,28 @@ def test_pipeline(spark):
     docs = queries.table(spark, sf, "documents")
     alone = {r.doc_id for r in setsketch.near_duplicates(cascade.kept_only(docs)).where("kept").collect()}
     assert ids <= alone and len(ids) > 0.95 * len(alone)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_prefix_pairs_lose_no_link(spark, percent):
+    """Every pair of sets of different components that reaches the threshold is among the pairs; none comes from one component."""
+    pick = random.Random(percent)
+    sets = []
+    for group in range(6):
+        base = pick.sample(range(group * 1000, group * 1000 + 900), pick.choice([5, 20, 45]))
+        for _ in range(12):
+            kept = [x for x in base if pick.random() > 0.08]
+            mine = kept + [10_000_000 * len(sets) + i for i in range(1, pick.randint(1, 6))]
+            sets.append((len(sets), len(sets) // 2 * 2 if pick.random() < 0.2 else len(sets), sorted(set(mine))))
+    sets += [(len(sets), len(sets), [7]), (len(sets) + 1, len(sets) + 1, [7])]
+    found = graph.prefix_pairs(spark.createDataFrame(sets, "cid long, root long, shingles array<long>"), percent)
+    found = {tuple(r) for r in found.collect()}
+    wanted = set()
+    for a, ra, sa in sets:
+        for b, rb, sb in sets:
+            common = len(set(sa) & set(sb))
+            if a < b and ra != rb and common * 100 >= percent * (len(sa) + len(sb) - common):
+                wanted.add((a, b))
+    assert wanted and wanted <= found
+    root = {cid: r for cid, r, _ in sets}
+    assert all(root[a] != root[b] for a, b in found)
