@@ -89,9 +89,10 @@ def linked_in_buckets(
     """Verified links ``(a, b)`` that join all that the links within the buckets of ``keys(key, cid)`` would join.
 
     ``verify`` takes pairs ``(a, b)`` and returns those that are linked; ``sets_of`` takes ``cid`` and returns
-    ``cid, shingles``. In each round a bucket's hub is held against every member of another component than its own: the
-    member that most others meet in buckets, which among copies of one text is the text that they come from. So a large
-    group costs a star a round. After the rounds, what still shares a bucket with another component goes through an
+    ``cid, shingles``. A bucket's hub is the member that most others meet in buckets, which among copies of one text is
+    the text that they come from. In each round a class is held against the first of its buckets' hubs, where that is of
+    another component; so a large group costs a star a round, however many bands it has. After the rounds, what still
+    shares a bucket with another component, whether it met that hub or not, goes through an
     exact prefix filter (``prefix_pairs``); no pair is cut off.
     """
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -102,8 +103,10 @@ def linked_in_buckets(
     for _ in range(rounds):
         best = F.max(F.struct("fame", (-F.col("cid")).alias("minus"), "root")).alias("h")
         hubs = left.where("not used").groupBy("key").agg(best)
-        hubs = hubs.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.root").alias("hub_root"))
+        hubs = hubs.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.root").alias("hub_root"), F.col("h.fame").alias("hub_fame"))
         stars = left.join(hubs, "key").where("root <> hub_root and not used")
+        stars = stars.groupBy("cid").agg(F.max(F.struct("hub_fame", (-F.col("hub")).alias("minus"))).alias("h"))
+        stars = stars.select("cid", (-F.col("h.minus")).alias("hub"))
         stars = stars.select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct()
         found = verify(stars)
         links = found if links is None else saved(links.union(found).distinct(), "bucket-links")

@@ -20,6 +20,8 @@ from changeweir.llm.graph import components, linked_in_buckets
 BANDS, ROWS = 14, 3
 #: Shorter lines (headings, licence lines, list entries) stay as they are.
 MIN_WORDS = 20
+#: Characters of paragraphs that are hashed at once; a word of them takes 42 values of eight bytes.
+BLOCK_CHARS = 60_000
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -33,14 +35,30 @@ def long_enough(text, min_words: int):
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")) >= min_words
 
 
+def _blocks(sizes: list[int], most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
+    """Stretches of paragraphs of at most ``most`` characters together; a longer paragraph is a stretch of its own."""
+    at = total = 0
+    for i, size in enumerate(sizes):
+        if i > at and total + size > most:
+            yield at, i
+            at, total = i, 0
+        total += size
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
 def _banded(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, minima = Words(), Minima(BANDS * ROWS)
         salts = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
-            for at in range(0, len(batch), 100):
-                part = batch.iloc[at : at + 100]
-                least = minima.of_each(*word_lists([lower_words(t) for t in part["text"]], k, cache))
+            for at, to in _blocks(batch["text"].str.len().tolist()):
+                part = batch.iloc[at:to]
+                words = [lower_words(t) for t in part["text"]]
+                if len(words) == 1:
+                    least = minima.of(shingles(words[0], k, cache))[None, :]
+                else:
+                    least = minima.of_each(*word_lists(words, k, cache))
                 keys = np.zeros((len(part), BANDS), np.uint64) + salts
                 for row in range(ROWS):
                     keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS])
