@@ -11,6 +11,8 @@ from changeweir.llm.common import saved
 
 #: Rounds of hubs before the exact filter takes over what is left.
 HUB_ROUNDS = 2
+#: 64-bit words of a set's parities in the exact filter.
+PARITY_WORDS = 4
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -52,15 +54,22 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     (its reach) in both. That bounds where it can be: near the front of the longer set, and nearer still in the shorter
     one, which alone is looked up. Members that no other set has come first in the order and use up a set's reach, so a large
     group of texts that are alike but not alike enough gives few pairs.
+    Each set also carries the parity of its shared members in ``PARITY_WORDS`` * 64 classes: where two sets' parities differ,
+    one has a member that the other lacks, and so is each member that no other set has. That bounds what they share.
     """
     whole = 100 + percent
+    parities = [f"p{w}" for w in range(PARITY_WORDS)]
+    parity = lambda w: F.expr(f"bit_xor(if(pmod(shiftright(x, 6), {PARITY_WORDS}) = {w}, shiftleft(1L, cast(x & 63 as int)), 0L))")
     each = sets.select("cid", "root", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("x"))
     counts = each.groupBy("x").agg(F.count("*").alias("f")).where("f > 1")
-    ordered = each.join(counts, "x").groupBy("cid", "root", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("all"))
+    ordered = each.join(counts, "x").groupBy("cid", "root", "n").agg(
+        F.array_sort(F.collect_list(F.struct("f", "x"))).alias("all"), *[parity(w).alias(p) for w, p in enumerate(parities)]
+    )
     size = F.size("all")
     front = F.slice("all", F.lit(1), F.greatest(size - F.ceil(F.col("n") * percent / 100).cast("int") + 1, F.lit(0)))
-    rare = ordered.select("cid", "root", "n", size.alias("c"), F.posexplode(front).alias("k", "e"))
-    rare = saved(rare.select("cid", "root", "n", (F.col("c") - F.col("k")).cast("long").alias("reach"), "e.x"), "bucket-rare")
+    rare = ordered.select("cid", "root", "n", size.alias("c"), F.posexplode(front).alias("k", "e"), *parities)
+    reach = (F.col("c") - F.col("k")).cast("long").alias("reach")
+    rare = saved(rare.select("cid", "root", "n", (F.col("n") - F.col("c")).alias("own"), reach, "e.x", *parities), "bucket-rare")
     shorter = rare.where(F.col("reach") * whole >= F.col("n") * 2 * percent).withColumnRenamed("root", "other")
     # By component first: the members of one never pair up, and a component that can't be reached gives no row.
     parts = shorter.groupBy("x", "other").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("reach").alias("most"))
@@ -70,11 +79,16 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
         & (F.col("hi") * 100 >= F.col("n") * percent)
         & (F.least("reach", "most") * whole >= (F.col("n") + F.col("lo")) * percent)
     )
-    partner = shorter.select("x", "other", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("reach").alias("reach_a"))
+    theirs = {"cid": "a", "n": "na", "reach": "reach_a", "own": "own_a"} | {p: f"{p}_a" for p in parities}
+    partner = shorter.withColumnsRenamed(theirs)
+    differ = F.col("own") + F.col("own_a")
+    for p in parities:
+        differ = differ + F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_a")))
     pairs = met.join(partner, ["x", "other"]).where(
         ((F.col("na") < F.col("n")) | ((F.col("na") == F.col("n")) & (F.col("a") < F.col("b"))))
         & (F.col("na") * 100 >= F.col("n") * percent)
         & (F.least("reach", "reach_a") * whole >= (F.col("n") + F.col("na")) * percent)
+        & ((F.col("n") + F.col("na") - differ) * whole >= (F.col("n") + F.col("na")) * 2 * percent)
     )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
