@@ -60,10 +60,12 @@ def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     Grams are ordered by 40 bits of their hash, then by place, so one minimum over a window names its
     gram. Long texts are looked at in pieces that overlap by ``length`` - 1; starts are dealt to pieces once.
     """
-    if len(raw) > _PIECE:
-        found = [(at, anchors(raw[at : at + _PIECE + length - 1], length)) for at in range(0, len(raw), _PIECE)]
-        grams, first, end = zip(*[(g, f + at, e + at) for at, (g, f, e) in found], strict=True)
-        return np.concatenate(grams), np.concatenate(first), np.concatenate(end)
+    found = [(at, _anchors_of_piece(raw[at : at + _PIECE + length - 1], length)) for at in range(0, max(len(raw), 1), _PIECE)]
+    grams, first, end = zip(*[(g, f + at, e + at) for at, (g, f, e) in found], strict=True)
+    return np.concatenate(grams), np.concatenate(first), np.concatenate(end)
+
+
+def _anchors_of_piece(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(raw) < length:
         none = np.empty(0, np.int64)
         return none.view(np.uint64), none, none

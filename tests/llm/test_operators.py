@@ -132,6 +132,36 @@ def test_byte_repeats(docs, empty):
     assert lpf.without_repeats(empty).count() == 0
 
 
+def test_anchors_of_pieces(monkeypatch):
+    """Texts over a piece: every start has one anchor, whose gram is the least of the string wherever pieces end."""
+    for size in (1, 50, 64, 333, 1000):
+        raw = "".join(random.choice("abcdefgh") for _ in range(700)).encode()
+        raw = raw + raw[100:300] + raw
+        whole = lpf.anchors(raw, 60)
+        monkeypatch.setattr(lpf, "_PIECE", size)
+        gram, first, end = lpf.anchors(raw, 60)
+        monkeypatch.undo()
+        assert [i for s, e in zip(first, end) for i in range(s, e)] == list(range(len(raw) - 59))
+        assert np.repeat(gram, end - first).tolist() == np.repeat(whole[0], whole[2] - whole[1]).tolist()
+        of = defaultdict(set)
+        for i, g in enumerate(np.repeat(gram, end - first).tolist()):
+            of[raw[i : i + 60]].add(g)
+        assert all(len(g) == 1 for g in of.values())
+
+
+def test_byte_repeats_of_a_very_long_text(spark):
+    """A text over a piece ends no run, and a repeat over the piece's end is found."""
+    pick = random.Random(5)
+    raw = bytearray(pick.choices(b"abcdefghijklmnopqrstuvwxyz ", k=lpf._PIECE + 50_000))
+    at = lpf._PIECE - 450
+    other = b"#" + bytes(raw[at : at + 900]) + b"#"
+    raw[at - 1 : at], raw[at + 900 : at + 901] = b"<", b">"
+    df = spark.createDataFrame([(1, raw.decode()), (2, other.decode())], "doc_id LONG, text STRING")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in lpf.without_repeats(df).collect()}
+    assert got[1] == (len(raw), 900, 1, hashlib.sha256(raw[:at] + raw[at + 900 :]).hexdigest())
+    assert got[2] == (902, 900, 1, hashlib.sha256(b"##").hexdigest())
+
+
 def test_longest_previous():
     for _ in range(100):
         t = np.array([random.choice([0, 1, 2]) for _ in range(random.randint(1, 40))])
