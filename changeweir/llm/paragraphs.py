@@ -1,6 +1,7 @@
 """Paragraph dedup by MinHash banding: band, join, verify exact Jaccard, cluster, remove all but the first of a cluster.
 
-A paragraph is a line of at least ``MIN_WORDS`` words. Exact copies are one class before banding, so they meet
+A paragraph is a line of at least ``MIN_WORDS`` words, or a run of shorter lines that has as many together (``cut``).
+Exact copies are one class before banding, so they meet
 by digest alone. Bands are tuned for recall: with 14 bands of 3 rows a pair at Jaccard 0.8 is missed once in
 20,000, at 0.85 once in 10^6, at 0.9 once in 10^8.
 """
@@ -11,28 +12,67 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import Minima, Words, lower_words, member_bits, mixed, only_members, saved, shingles, signed, word_lists
+from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, saved, shingles, signed, word_lists
 from changeweir.llm.graph import components, linked_in_buckets
 
 BANDS, ROWS = 14, 3
-#: Shorter lines (headings, licence lines, list entries) stay as they are.
+#: Shorter paragraphs (a heading or list entry between long lines) stay as they are.
 MIN_WORDS = 20
 #: Characters of paragraphs that are hashed at once; a word of them takes 42 values of eight bytes.
 BLOCK_CHARS = 60_000
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, text`` for every line, and its digest as two longs of independent seeds."""
-    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    return each.withColumns({"d1": F.xxhash64("text"), "d2": F.xxhash64(F.lit(7), F.col("text"))})
+def cut(text: str | None, min_words: int) -> list[tuple[list[int], str]]:
+    """(line numbers, text) of each paragraph of a text: its lines joined by a blank, at least ``min_words`` words.
 
-
-def long_enough(text, min_words: int):
-    """A line with that many words: as many runs of non-blanks, counted where they begin."""
-    return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")) >= min_words
+    A line with that many words is a paragraph. Shorter lines are joined up to a blank line, a long line or the text's
+    end; where neighbouring runs have too few words each, they are joined over blank lines up to the next paragraph.
+    """
+    found: list[list[int]] = []
+    loose: list[int] = []
+    run: list[int] = []
+    n_loose = n_run = 0
+    lines = (text or "").split("\n")
+    # The last entry stands for a long line after the end.
+    for i, n in enumerate([*(len(line.encode().split()) for line in lines), min_words]):
+        if 0 < n < min_words:
+            run.append(i)
+            n_run += n
+            continue
+        if n_run < min_words:
+            loose += run
+            n_loose += n_run
+        if n_run >= min_words or n >= min_words:
+            if n_loose >= min_words:
+                found.append(loose)
+            loose, n_loose = [], 0
+        if n_run >= min_words:
+            found.append(run)
+        if n >= min_words and i < len(lines):
+            found.append([i])
+        run, n_run = [], 0
+    return [(p, " ".join(lines[i] for i in p)) for p in found]
+
+
+def _cut(batch: pa.RecordBatch, min_words: int) -> tuple[np.ndarray, list[list[int]], list[str], np.ndarray]:
+    """Rows, line numbers, texts, and digests (as two longs) of the paragraphs of a batch's ``text``."""
+    rows, lines, texts = [], [], []
+    for row, text in enumerate(batch.column("text").to_pylist()):
+        for numbers, paragraph in cut(text, min_words):
+            rows.append(row)
+            lines.append(numbers)
+            texts.append(paragraph)
+    digests = b"".join(xxhash.xxh3_128_digest(t.encode()) for t in texts)
+    return np.array(rows, np.int64), lines, texts, np.frombuffer(digests, "<i8").reshape(-1, 2)
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray | list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values))
 
 
 def _blocks(sizes: list[int], most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
@@ -47,22 +87,71 @@ def _blocks(sizes: list[int], most: int = BLOCK_CHARS) -> Iterator[tuple[int, in
         yield at, len(sizes)
 
 
-def _banded(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _banded(k: int, min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, minima = Words(), Minima(BANDS * ROWS)
         salts = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
-            for at, to in _blocks(batch["text"].str.len().tolist()):
-                part = batch.iloc[at:to]
-                words = [lower_words(t) for t in part["text"]]
+            rows, lines, texts, digests = _cut(batch, min_words)
+            for at, to in _blocks([len(t) for t in texts]):
+                words = [lower_words(t) for t in texts[at:to]]
                 if len(words) == 1:
                     least = minima.of(shingles(words[0], k, cache))[None, :]
                 else:
                     least = minima.of_each(*word_lists(words, k, cache))
-                keys = np.zeros((len(part), BANDS), np.uint64) + salts
+                keys = np.zeros((to - at, BANDS), np.uint64) + salts
                 for row in range(ROWS):
                     keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS])
-                yield part.drop(columns="text").assign(keys=list(signed(keys)))
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch.column("doc_id").take(pa.array(rows[at:to])),
+                    "line": pa.array([p[0] for p in lines[at:to]], pa.int32()),
+                    "d1": digests[at:to, 0], "d2": digests[at:to, 1],
+                    "keys": _lists(signed(keys).ravel(), [BANDS] * (to - at)),
+                })
+
+    return run
+
+
+def _placed(min_words: int):
+    """Every paragraph's place, line numbers and digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, lines, _, digests = _cut(batch, min_words)
+            numbers = np.array([i for p in lines for i in p], np.int32)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id").take(pa.array(rows)), "tid": batch.column("tid").take(pa.array(rows)),
+                "line": pa.array([p[0] for p in lines], pa.int32()), "lines": _lists(numbers, [len(p) for p in lines]),
+                "d1": digests[:, 0], "d2": digests[:, 1],
+            })
+
+    return run
+
+
+def _chosen(min_words: int, bits: bytes):
+    """Paragraphs whose digest may be among the filter's, with their text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, lines, texts, digests = _cut(batch, min_words)
+            at = np.flatnonzero(maybe_member(bits, digests[:, 0] & (MEMBER_BITS - 1)))
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id").take(pa.array(rows[at])),
+                "line": pa.array([lines[i][0] for i in at], pa.int32()),
+                "d1": digests[at, 0], "d2": digests[at, 1], "text": pa.array([texts[i] for i in at], pa.string()),
+            })
+
+    return run
+
+
+def _counted(min_words: int, bits: bytes, inside: bool):
+    """``doc_id, text, tid`` that may be (or surely aren't) among the filter's, with the number of their paragraphs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.filter(pa.array(maybe_member(bits, batch.column("place").to_numpy()) == inside))
+            counts = [len(cut(t, min_words)) for t in kept.column("text").to_pylist()]
+            yield kept.drop_columns(["place"]).append_column("n_paragraphs", pa.array(counts, pa.int64()))
 
     return run
 
@@ -84,8 +173,9 @@ def _alike(k: int, percent: int):
 def _texts(cids: DataFrame, classes: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
     """``cid, text`` of the given classes, read again from their first places."""
     wanted = saved(classes.join(cids, "cid").select("cid", "d1", "d2", "doc_id", "line"), "paragraph-wanted")
-    # Most lines are no candidate's: a filter of fixed size drops them before the join deals out texts.
-    texts = only_members(lines(docs).where(long_enough(F.col("text"), min_words)), member_bits(wanted, "d1"), "d1")
+    # Most paragraphs are no candidate's: a filter of fixed size drops them before the join deals out texts.
+    bits = member_bits(wanted.select(F.col("d1").bitwiseAND(MEMBER_BITS - 1).cast("int").alias("p")), "p", MEMBER_BITS)
+    texts = docs.select("doc_id", "text").mapInArrow(_chosen(min_words, bits), "doc_id long, line int, d1 long, d2 long, text string")
     same = [texts[c].eqNullSafe(wanted[c]) for c in ("d1", "d2", "doc_id", "line")]
     found = texts.join(wanted, same[0] & same[1] & same[2] & same[3]).select("cid", texts["text"])
     return saved(found.dropDuplicates(["cid"]), "paragraph-texts")
@@ -115,8 +205,7 @@ def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MI
 
     Buckets are joined by hubs (``linked_in_buckets``): no group is cut off, and none is expanded into all its pairs.
     """
-    found = lines(docs).where(long_enough(F.col("text"), min_words))
-    found = found.mapInPandas(_banded(k), "doc_id long, line int, d1 long, d2 long, keys array<long>")
+    found = docs.select("doc_id", "text").mapInArrow(_banded(k, min_words), "doc_id long, line int, d1 long, d2 long, keys array<long>")
     classes = found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("place"), F.first("keys").alias("keys"))
     classes = classes.withColumn("cid", F.monotonically_increasing_id())
     classes = saved(classes.select("cid", "d1", "d2", "place.doc_id", "place.line", "keys"), "paragraph-classes")
@@ -139,30 +228,35 @@ def without_repeats(docs: DataFrame, k: int = 5, percent: int = 80, min_words: i
     """Per row of ``docs(doc_id, text)``: ``doc_id, n_paragraphs, n_removed, removed_lines, copies_of, kept_sha256`` (``kept``).
 
     Of each cluster of paragraphs (5-word shingles, Jaccard of 0.8 or more, linked through others) the first place by
-    doc_id (nulls first), then line, stays; the others go. ``removed_lines`` are the line numbers from 0, ``copies_of``
-    the distinct doc_ids where the kept copies stand, the document's own included.
+    doc_id (nulls first), then line, stays; the others go. A paragraph of several lines goes with all of them; blank lines
+    stay. ``n_removed`` counts paragraphs, ``removed_lines`` are their line numbers from 0, ``copies_of`` the distinct doc_ids where the kept copies stand, the document's own included.
     Null texts count as empty: no paragraphs, nothing removed. Rows that repeat doc_id and text are one document and
-    each get its row; a paragraph that rows of one doc_id have at the same line counts as one place. An empty table gives no rows;
+    each get its row; a paragraph that rows of one doc_id begin at the same line counts as one place. An empty table gives no rows;
     other columns are ignored. Lines of a document meet again by document: at most the lines of one text, in order.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = saved(clusters(docs, k, percent, min_words), "paragraph-clusters")
     # Places with a copy elsewhere are few; the rest of the work is on those alone.
     again = found.withColumnsRenamed({"doc_id": "first_doc", "line": "first_line"})
-    each = docs.select("doc_id", F.md5("text").alias("tid"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
-    each = each.where(long_enough(F.col("t"), min_words))
-    each = each.select("doc_id", "tid", "line", F.xxhash64("t").alias("d1"), F.xxhash64(F.lit(7), F.col("t")).alias("d2"))
+    each = docs.select("doc_id", F.md5("text").alias("tid"), "text")
+    each = each.mapInArrow(_placed(min_words), "doc_id long, tid string, line int, lines array<int>, d1 long, d2 long")
     away = ~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line") == F.col("first_line")))
     gone = each.join(again, ["d1", "d2"]).where(away).groupBy("doc_id", "tid").agg(
-        F.array_sort(F.collect_set("line")).alias("removed_lines"), F.array_sort(F.collect_set("first_doc")).alias("copies_of")
+        F.collect_set("lines").alias("gone"), F.array_sort(F.collect_set("first_doc")).alias("copies_of")
+    )
+    gone = gone.select(
+        "doc_id", "tid", F.size("gone").cast("long").alias("n_removed"), F.array_sort(F.flatten("gone")).alias("removed_lines"), "copies_of"
     )
     gone = saved(gone.withColumnsRenamed({"doc_id": "d", "tid": "t"}), "paragraph-removed")
     text = F.coalesce("text", F.lit(""))
     rows, bits = docs.select("doc_id", text.alias("text"), F.md5(text).alias("tid")), member_bits(gone, "t")
-    none = {"removed_lines": F.array().cast("array<int>"), "copies_of": F.array().cast("array<long>")}
-    met = only_members(rows, bits, "tid").join(gone, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
-    plain = only_members(rows, bits, "tid", inside=False).select("doc_id", "text", *[v.alias(c) for c, v in none.items()])
-    rows = plain.union(met.select("doc_id", "text", *[F.coalesce(c, v).alias(c) for c, v in none.items()]))
+    rows, schema = rows.withColumn("place", member_place("tid")), "doc_id long, text string, tid string, n_paragraphs long"
+    none = {"n_removed": F.lit(0).cast("long"), "removed_lines": F.array().cast("array<int>"), "copies_of": F.array().cast("array<long>")}
+    met = rows.mapInArrow(_counted(min_words, bits, True), schema)
+    met = met.join(gone, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    plain = rows.mapInArrow(_counted(min_words, bits, False), schema)
+    plain = plain.select("doc_id", "text", "n_paragraphs", *[v.alias(c) for c, v in none.items()])
+    rows = plain.union(met.select("doc_id", "text", "n_paragraphs", *[F.coalesce(c, v).alias(c) for c, v in none.items()]))
     split = F.split("text", "\n")
     kept = F.when(F.size("removed_lines") == 0, F.col("text")).otherwise(
         F.array_join(F.filter(split, lambda x, i: ~F.array_contains("removed_lines", i)), "\n")
@@ -170,8 +264,8 @@ def without_repeats(docs: DataFrame, k: int = 5, percent: int = 80, min_words: i
     rows = rows.withColumn("kept", kept)
     rows = rows.select(
         "doc_id",
-        F.size(F.filter(split, lambda x: long_enough(x, min_words))).cast("long").alias("n_paragraphs"),
-        F.size("removed_lines").cast("long").alias("n_removed"),
+        "n_paragraphs",
+        "n_removed",
         "removed_lines",
         "copies_of",
         F.sha2("kept", 256).alias("kept_sha256"),

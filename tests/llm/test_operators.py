@@ -117,6 +117,36 @@ def test_paragraphs(docs, empty):
     assert paragraphs.without_repeats(empty).count() == 0
 
 
+def test_paragraph_cut():
+    """Every word but those of stretches under the limit is in one paragraph; joins stop where they must."""
+    text = "a b\nc d\n\ne f g h i\nj\n\nk\n \nl m\n\nn o p q\nr\ns\n\nt"
+    four = [([0, 1], "a b c d"), ([3], "e f g h i"), ([4, 6, 8], "j k l m"), ([10], "n o p q")]
+    assert paragraphs.cut(text, 4) == four
+    assert paragraphs.cut(text, 3) == [*four, ([11, 12, 14], "r s t")]
+    assert paragraphs.cut(None, 4) == paragraphs.cut("", 4) == paragraphs.cut("a\nb\n\nc", 4) == []
+
+
+def test_paragraphs_of_short_lines(spark):
+    """A shared passage in lines under 20 words is found, wrapped alike or not, and goes with all its lines."""
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    passage, steps = prose(60), "\n\n".join(prose(8) for _ in range(6))
+    df = spark.createDataFrame([
+        (1, prose(30) + "\n" + wrap(passage, 10)),
+        (2, wrap(passage, 10) + "\n" + prose(25)),
+        (3, "Title\n\n" + wrap(passage, 12) + "\n\nend"),
+        (4, passage),
+        (5, steps), (6, steps),
+        (7, "one two\nthree"), (8, "one two\nthree"),
+    ], "doc_id LONG, text STRING")
+    got = {r.doc_id: r for r in paragraphs.without_repeats(df, with_text=True).collect()}
+    assert {i: r.removed_lines for i, r in got.items()} == {
+        1: [], 2: list(range(6)), 3: [2, 3, 4, 5, 6], 4: [0], 5: [], 6: [0, 2, 4, 6, 8, 10], 7: [], 8: [],
+    }
+    assert [got[i].n_removed for i in range(1, 9)] == [0, 1, 1, 1, 0, 1, 0, 0]
+    assert [got[i].n_paragraphs for i in range(1, 9)] == [2, 2, 1, 1, 1, 1, 0, 0]
+    assert got[2].copies_of == [1] and got[3].kept == "Title\n\n\nend" and got[8].kept == "one two\nthree"
+
+
 def test_byte_repeats(docs, empty):
     raws = [(i, (t or "").encode()) for i, t in TEXTS]
     counts = Counter(r[i : i + 400] for _, r in raws for i in range(len(r) - 399))
