@@ -2,7 +2,8 @@
 
 Rules by host and path come first; what no rule fits is judged by the model. Word frequencies are counted over all
 pages. Labels are weak: a URL with a word of the seed list is taken as bad, and the model learns from
-all pages which other words of hosts and paths go with that.
+all pages which other words of hosts and paths go with that. Word counts and token counts are whole tables: each
+distinct part of a URL is joined with the counts of just its own substrings, each token with its own odds.
 """
 
 from __future__ import annotations
@@ -11,12 +12,11 @@ import math
 import re
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeweir.llm.common import saved
 from changeweir.llm.templates import host
 
 # The contract's rules.
@@ -32,8 +32,8 @@ SEEDS = frozenset(
     "adult ads adserver bet bets betting bingo casino casinos cheap dating doubleclick escort gambling jackpot loan loans "
     "lottery pharmacy pills poker porn replica sex slots spam tracker track viagra warez win xxx".split()
 )
-#: Words of the segmentation dictionary (the most frequent ones), buckets of the model, weight of the prior.
-DICTIONARY, BUCKETS, PRIOR = 50_000, 1 << 16, 5.0
+#: Weight of the model's prior.
+PRIOR = 5.0
 MAX_WORD = 24
 
 
@@ -52,17 +52,17 @@ def rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 class Segmenter:
-    """Splits a name into the words with the largest product of probabilities; unknown stretches cost by length."""
+    """Splits a name into the words with the largest product of probabilities; unknown stretches cost by length.
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1.0
+    ``total`` is the sum of all counts, where ``counts`` holds only those that names can need.
+    """
+
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = (sum(counts.values()) if total is None else total) + 1.0
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
         self.unknown = math.log(total) + 2.0
-        self.known: dict[str, list[str]] = {}
 
     def split(self, name: str) -> list[str]:
-        if name in self.known:
-            return self.known[name]
         n = len(name)
         best, back = [0.0] + [math.inf] * n, [0] * (n + 1)
         for end in range(1, n + 1):
@@ -75,107 +75,113 @@ class Segmenter:
         while end:
             out.append(name[back[end] : end])
             end = back[end]
-        if len(self.known) >= 100_000:
-            self.known.clear()
-        self.known[name] = out[::-1]
-        return self.known[name]
+        return out[::-1]
+
 
-    def tokens(self, host_: str, path_: str) -> list[str]:
-        """Words of the host's labels, marked with their side; numbers are one token; the top-level domain is one."""
-        labels = host_.split(".")
-        words = [w for label in labels[:-1] for part in re.findall(r"[^\W\d_]+|\d+", label) for w in self.part(part)]
-        out = ["h:" + w for w in words] + ["t:" + labels[-1]]
-        return out + ["p:" + w for part in re.findall(r"[^\W\d_]+|\d+", path_.lower()) for w in self.part(part)]
+def pieces(host_: str, path_: str) -> list[tuple[str, str]]:
+    """(side, part) of the host's labels and the path, in order: runs of letters or of digits; the top-level domain is one."""
+    labels = host_.split(".")
+    found = [("h:", part) for label in labels[:-1] for part in re.findall(r"[^\W\d_]+|\d+", label)] + [("t:", labels[-1])]
+    return found + [("p:", part) for part in re.findall(r"[^\W\d_]+|\d+", path_.lower())]
 
-    def part(self, part: str) -> list[str]:
-        return ["#"] if part.isdigit() else self.split(part)
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's pieces: either a token (a number is ``#``) or a part that is to be split."""
+    for batch in batches:
+        found = [
+            (uid, pos, side, part, "#" if part.isdigit() and side != "t:" else part if side == "t:" else None)
+            for uid, h, p in zip(*(batch.column(c).to_pylist() for c in ("uid", "host", "path")), strict=True)
+            for pos, (side, part) in enumerate(pieces(h, p))
+        ]
+        columns = list(zip(*found, strict=True)) or [()] * 5
+        kinds = {"uid": pa.int64(), "pos": pa.int32(), "side": pa.string(), "part": pa.string(), "token": pa.string()}
+        yield pa.RecordBatch.from_pydict({c: pa.array(v, kind) for (c, kind), v in zip(kinds.items(), columns, strict=True)})
+
+
+def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each part with its distinct substrings that may be words."""
+    for batch in batches:
+        for part in batch.column("part").to_pylist():
+            n = len(part)
+            words = list({part[i:j] for i in range(n) for j in range(i + 2, min(n, i + MAX_WORD) + 1)})
+            if words:
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(words)), "word": pa.array(words)})
+
+
+def _split(total: int, seeds: dict[str, int]):
+    """Each part with its words, by the counts that came with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("part").to_pylist()
+            own = [{x["word"]: x["n"] for x in known or ()} for known in batch.column("known").to_pylist()]
+            words = [Segmenter(counts | seeds, total).split(part) for part, counts in zip(parts, own, strict=True)]
+            yield pa.RecordBatch.from_pydict({"part": pa.array(parts, pa.string()), "words": pa.array(words, pa.list_(pa.string()))})
 
-def bucket(token: str) -> int:
-    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")) % BUCKETS
+    return run
 
 
-def word_counts(pages: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
-    """The ``size`` most frequent lower-case words of all pages, counted before the shuffle; seeds are always in."""
+def word_counts(pages: DataFrame) -> DataFrame:
+    """``word, n`` of all lower-case words of all pages, counted before the shuffle."""
     words = F.explode(F.regexp_extract_all(F.lower("html"), F.lit(r"[\p{L}]{2,24}"), F.lit(0))).alias("word")
-    top = pages.select(words).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    counts = {r.word: r.n for r in top.collect()}
-    floor = max(1, sum(counts.values()) // 20_000)
-    return counts | {w: max(floor, counts.get(w, 0)) for w in SEEDS}
+    return pages.select(words).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def _counted(segmenter_of, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    segmenter = segmenter_of()
-    for batch in batches:
-        rows = np.zeros((2, BUCKETS), np.int64)
-        pages = np.zeros(2, np.int64)
-        for h, p in zip(batch["host"], batch["path"], strict=True):
-            tokens = segmenter.tokens(h, p)
-            bad = int(any(t[2:] in SEEDS for t in tokens if t[0] == "h"))
-            pages[bad] += 1
-            for t in tokens:
-                rows[bad, bucket(t)] += 1
-        label, at = rows.nonzero()
-        found = pd.DataFrame({"bad": label, "bucket": at, "n": rows[label, at]})
-        yield pd.concat([found, pd.DataFrame({"bad": [0, 1], "bucket": [-1, -1], "n": pages})])
-
-
-class NaiveBayes:
-    """Log odds of bad by hashed token; unseen words say nothing. Counts are smoothed towards the words' overall shares."""
-
-    def __init__(self, counts: np.ndarray, pages: np.ndarray):
-        seeds = np.zeros(BUCKETS)
-        for w in SEEDS:
-            seeds[bucket("h:" + w)] += 1
-        bad, good = counts[1] + seeds, counts[0].astype(float)
-        overall = (bad + good) / max(1.0, (bad + good).sum())
-        smooth = lambda c: (c + PRIOR * overall) / (c.sum() + PRIOR)
-        seen = overall > 0
-        self.odds = np.zeros(BUCKETS)
-        self.odds[seen] = np.log(smooth(bad)[seen]) - np.log(smooth(good)[seen])
-        self.prior = math.log((pages[1] + 1) / (pages[0] + 1))
-
-    def score(self, tokens: list[str]) -> float:
-        return self.prior + float(sum(self.odds[bucket(t)] for t in tokens))
+def split_parts(parts: DataFrame, counts: DataFrame) -> DataFrame:
+    """``part, words`` for every row of ``parts(part)`` (distinct), by ``counts(word, n)``; seeds have a least count."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = {r.word: r.n for r in counts.where(F.col("word").isin(*SEEDS)).collect()}  # the seeds at most
+    seeds = {w: max(1, total // 20_000, found.get(w, 0)) for w in SEEDS}
+    total += sum(n - found.get(w, 0) for w, n in seeds.items())
+    known = parts.mapInArrow(_substrings, "part string, word string").join(counts, "word")
+    known = known.groupBy("part").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    return parts.join(known, "part", "left").select("part", "known").mapInArrow(_split(total, seeds), "part string, words array<string>")
+
+
+def odds(tokens: DataFrame) -> tuple[DataFrame, float]:
+    """``token, odds`` (log odds of bad) of every token of ``tokens(tokens)``, and the prior's log odds.
+
+    Counts are exact and smoothed towards the tokens' overall shares; each seed counts once as bad.
+    """
+    labelled = tokens.select("tokens", F.exists("tokens", lambda t: t.isin(*["h:" + w for w in SEEDS])).cast("long").alias("bad"))
+    pages = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    counts = labelled.select(F.explode("tokens").alias("token"), "bad").groupBy("token")
+    counts = saved(counts.agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")), "url-token-counts")
+    sums = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
+    n_bad, n_good = sums.bad + len(SEEDS), sums.good
+    bad = F.col("bad") + F.col("token").isin(*["h:" + w for w in SEEDS]).cast("long")
+    prior = PRIOR * (bad + F.col("good")) / F.lit(float(n_bad + n_good))
+    smooth = lambda c, n: F.log((c + prior) / F.lit(n + PRIOR))
+    return counts.select("token", (smooth(bad, n_bad) - smooth(F.col("good"), n_good)).alias("odds")), math.log((pages.bad + 1) / (pages.n - pages.bad + 1))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, words, score`` for every row of ``pages(page_id, url, html)``.
 
     A null url, or one without ``://``, has empty host and path, fits no rule and is allowed. ``words`` are the host's and
-    path's tokens, ``score`` the model's log odds of bad. The model is a table of 2 x 65,536 counts, the dictionary
-    50,000 words, whatever the number of pages. Repeated rows each get their row; an empty table gives none.
+    path's tokens, ``score`` the model's log odds of bad. Dictionary and model hold every word and token; they are joined
+    as tables, none is collected. Repeated rows each get their row; an empty table gives none.
     """
-    context = pages.sparkSession.sparkContext
-    shared = context.broadcast(word_counts(pages))
-    built: list[Segmenter] = []
-
-    def segmenter() -> Segmenter:
-        if not built:
-            built.append(Segmenter(shared.value))
-        return built[0]
-
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    counted = rows.mapInPandas(lambda it: _counted(segmenter, it), "bad int, bucket int, n long")
-    counts, totals = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
-    for r in counted.groupBy("bad", "bucket").agg(F.sum("n").alias("n")).collect():  # 2 x (BUCKETS + 1) rows at most
-        if r.bucket < 0:
-            totals[r.bad] += r.n
-        else:
-            counts[r.bad, r.bucket] += r.n
-    model = NaiveBayes(counts, totals)
-    odds = context.broadcast((model.odds, model.prior))
-
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cut = segmenter()
-        nb = NaiveBayes.__new__(NaiveBayes)
-        nb.odds, nb.prior = odds.value
-        for batch in batches:
-            tokens = [cut.tokens(h, p) if h else [] for h, p in zip(batch["host"], batch["path"], strict=True)]
-            scores = [nb.score(t) if t else 0.0 for t in tokens]
-            yield batch.assign(words=[" ".join(t[2:] for t in x) for x in tokens], score=scores)
-
+    rows = saved(rows.withColumn("uid", F.monotonically_increasing_id()), "url-rows")
+    each = saved(rows.select("uid", "host", "path").mapInArrow(_pieces, "uid long, pos int, side string, part string, token string"), "url-pieces")
+    words = split_parts(each.where("token is null").select("part").distinct(), saved(word_counts(pages), "url-words"))
+    cut = each.where("token is null").join(saved(words, "url-parts"), "part")
+    cut = cut.select("uid", "pos", F.transform("words", lambda w: F.concat("side", w)).alias("t"))
+    ready = each.where("token is not null").select("uid", "pos", F.array(F.concat("side", "token")).alias("t"))
+    tokens = cut.union(ready).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("x"))
+    tokens = saved(tokens.select("uid", F.flatten("x.t").alias("tokens")), "url-tokens")
+
+    table, prior = odds(tokens)
+    scored = tokens.select("uid", F.posexplode("tokens").alias("pos", "token")).join(table, "token")
+    # Summed in the tokens' order, so that every run gives the same bits.
+    scored = scored.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("pos", "odds"))).alias("x"))
+    scored = scored.select("uid", F.aggregate("x.odds", F.lit(0.0), lambda a, b: a + b).alias("sum"))
     name, verdict = rule(F.col("host"), F.col("path"), rules)
-    out = rows.mapInPandas(scored, "page_id long, host string, path string, words string, score double")
+    out = rows.join(tokens, "uid").join(scored, "uid").select(
+        "page_id", "host", "path",
+        F.when(F.col("host") == "", F.lit("")).otherwise(F.array_join(F.transform("tokens", lambda t: F.substring(t, 3, 1 << 30)), " ")).alias("words"),
+        F.when(F.col("host") == "", F.lit(0.0)).otherwise(F.lit(prior) + F.col("sum")).alias("score"),
+    )
     by_model = F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, by_model).alias("verdict"), "words", "score")

@@ -348,6 +348,29 @@ def test_urls(spark):
     assert urls.Segmenter({"free": 10, "casino": 5, "bets": 5, "fr": 1}).split("freecasinobets") == ["free", "casino", "bets"]
 
 
+def test_urls_know_every_word(spark):
+    """Words past any rank of frequency are known, and each token has its own odds."""
+    frequent = ["".join(random.choice("bcdfg") for _ in range(9)) for _ in range(52_000)]
+    html = " ".join(w + " " + w for w in frequent) + " quartz lantern"
+    names = [("xyzzy" + "".join(random.choice("klmnp") for _ in range(8))) for _ in range(3000)]
+    rows = [(i, f"http://casino.{n}.org/", "") for i, n in enumerate(names)] + [(i + 5000, f"http://{n[::-1]}.org/", "") for i, n in enumerate(names)]
+    df = spark.createDataFrame([(9000, "http://quartzlantern.org/", html), *rows], "page_id LONG, url STRING, html STRING")
+    got = {r.page_id: r for r in urls.judge(df).collect()}
+    assert got[9000].words == "quartz lantern org"
+    tokens = [(r.page_id < 5000, [("t:" if i == len(r.words.split()) - 1 else "h:") + w for i, w in enumerate(r.words.split())]) for r in got.values()]
+    count = {b: Counter(t for bad, x in tokens if bad == b for t in x) for b in (True, False)}
+    count[True].update("h:" + w for w in urls.SEEDS)
+    n = {b: sum(c.values()) for b, c in count.items()}
+    pages = Counter(bad for bad, _ in tokens)
+
+    def share(t, b):
+        return (count[b][t] + urls.PRIOR * (count[True][t] + count[False][t]) / (n[True] + n[False])) / (n[b] + urls.PRIOR)
+
+    for (_, x), r in zip(tokens, got.values()):
+        want = np.log((pages[True] + 1) / (pages[False] + 1)) + sum(np.log(share(t, True)) - np.log(share(t, False)) for t in x)
+        assert abs(r.score - want) < 1e-9
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
