@@ -14,13 +14,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeweir.llm.common import saved
 
-#: A subtree is template on at least so many different pages of a host, and this share of them.
-MIN_PAGES, MIN_SHARE = 10, 0.1
+#: A subtree is template on at least so many different pages of a host, and this share of them or many pages.
+MIN_PAGES, MIN_SHARE, MANY_PAGES = 10, 0.1, 1000
 
 # HTML element kinds, and class or id words of page furniture.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "canvas", "object")
@@ -196,23 +196,27 @@ def host(url):
 def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for where, source in zip(batch["host"], batch["html"], strict=True):
-            page = xxhash.xxh3_64_intdigest(source.encode("utf-8", "surrogatepass")) - 2**63
+        for where, page, source in zip(batch["host"], batch["page"], batch["html"], strict=True):
             rows += [(where, page, h) for h in {h for _, _, h in Page(source).candidates()}]
         yield pd.DataFrame(rows, columns=["host", "page", "subtree"])
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, subtrees``: hashes that recur on that share of a host's different pages; copies of a page count once.
+def page_digest() -> Column:
+    return F.xxhash64("html")
 
-    A host has at most 1 / ``min_share`` times as many of them as a page has subtrees.
+
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
+    """``host, page, subtrees``: of each different page the hashes that recur on its host; copies of a page count once.
+
+    They stand on ``min_pages`` different pages and on ``min_share`` of the host's, or on ``many_pages`` of however many.
     """
-    known = pages.where("html is not null").select(host(F.col("url")).alias("host"), "html")
-    found = known.mapInPandas(_subtrees, "host string, page long, subtree long").distinct()
+    known = pages.where("html is not null").select(host(F.col("url")).alias("host"), page_digest().alias("page"), "html")
+    found = saved(known.mapInPandas(_subtrees, "host string, page long, subtree long").distinct(), "html-subtrees")
     counts = found.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    sizes = known.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    often = counts.join(sizes, "host").where(F.col("n") >= F.col("pages") * min_share)
-    return often.groupBy("host").agg(F.array_sort(F.collect_set("subtree")).alias("subtrees"))
+    sizes = known.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    often = counts.join(sizes, "host").where((F.col("n") >= F.col("pages") * min_share) | (F.col("n") >= many_pages))
+    often = saved(often.select("host", "subtree"), "html-often")
+    return found.join(often, ["host", "subtree"]).groupBy("host", "page").agg(F.collect_list("subtree").alias("subtrees"))
 
 
 def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,15 +228,15 @@ def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``.
 
     Blocks are joined by an empty line; references are decoded and white space inside a block is one space. A null or empty page has an
     empty text; a null url or one without ``://`` has the empty host. Pages that end early are read as far as they go. Repeated
-    rows each get their row; other columns are ignored; an empty table gives no rows. Templates are written
-    first, so that the join's strategy follows their real size, whatever a host's share of the pages.
+    rows each get their row; other columns are ignored; an empty table gives no rows. Each page's templates are
+    written first, so that the join's strategy follows their real size, whatever a host's share of the pages.
     """
-    found = saved(templates(pages, min_pages, min_share), "html-templates")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"))
-    rows = rows.join(found, "host", "left").select("page_id", "url", "html", "subtrees")
+    found = saved(templates(pages, min_pages, min_share, many_pages), "html-templates")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"), page_digest().alias("page"))
+    rows = rows.join(found, ["host", "page"], "left").select("page_id", "url", "html", "subtrees")
     return rows.mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")

@@ -328,6 +328,15 @@ def test_extraction(spark):
     assert templates.extract(df).count() == len(rows) and templates.extract(df.limit(0)).count() == 0
 
 
+def test_templates_of_a_section(spark):
+    """A menu on many pages goes although they are under a tenth of the host's; one on few of them stays."""
+    page = "<html><body>{1}<p>Story {0}</p></body></html>"
+    menus = lambda i: "<div>Section menu</div>" if i < 1100 else "<div>Rare box</div>" if i < 1900 else ""
+    df = spark.createDataFrame([(i, "http://big.example/", page.format(i, menus(i))) for i in range(12_000)], "page_id LONG, url STRING, html STRING")
+    got = {r.page_id: r.text for r in templates.extract(df).collect()}
+    assert got == {i: "Rare box\n\n" * (1100 <= i < 1900) + f"Story {i}" for i in range(12_000)}
+
+
 def test_urls(spark):
     rows = [
         (1, "http://Free-Casino.example.org/a?x", "free-casino.example.org", "/a", None, "block"),
