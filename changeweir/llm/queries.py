@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from changeweir.llm import cascade, decontaminate, language, lpf, packing, paragraphs, pii, setsketch, templates, urls
+from changeweir.llm import alignment, cascade, decontaminate, language, lpf, negatives, packing, paragraphs, pii, setsketch, templates, tiers, urls
 
-#: Vocabulary file of a public tokenizer; a parameter of the packing operator.
+#: Vocabulary files of public tokenizers; parameters of the packing and alignment operators.
 TOKENIZER = "word_bpe_49k.json"
+BYTES_TOKENIZER = "byte_bpe_50k.json"
+PIECES_TOKENIZER = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +63,20 @@ def op10_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiers.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BYTES_TOKENIZER))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(BYTES_TOKENIZER), tokenizer_path(PIECES_TOKENIZER))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_paragraph_minhash,
     op2_host_segmentation,
@@ -71,6 +88,9 @@ QUERIES = {f.__name__: f for f in (
     op8_string_kernel,
     op9_quality_cascade,
     op10_vector_best_fit,
+    op11_tiered_packing,
+    op12_tokenizer_alignment,
+    op13_hard_negatives,
 )}
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -150,9 +170,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM s
 """
 
+OP13_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT * FROM n WHERE rank <= 10
+"""
+
 #: What SQL can't say (segmentation, kernels, tokens, spans, markup, byte strings) is tested against brute force instead.
 ORACLES = {
     "op3_setsketch_near_duplicates": OP3_SQL,
     "op4_suffix_automaton": OP4_SQL,
     "op9_quality_cascade": OP9_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
