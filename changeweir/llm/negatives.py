@@ -53,6 +53,8 @@ def nearest(half: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 def fitted(half: np.ndarray, codes: int = CODES, rounds: int = FIT_ROUNDS) -> np.ndarray:
     """Centroids of a half by k-means from evenly spaced rows; an empty cluster keeps its centroid."""
+    if not len(half):
+        return np.zeros((1, half.shape[1]))
     centres = half[np.linspace(0, len(half) - 1, min(codes, len(half))).astype(int)].copy()
     for _ in range(rounds):
         code = nearest(half, centres)
@@ -81,6 +83,7 @@ class Half:
         norm = np.sqrt((q**2).sum())
         bound = self.centres @ q + norm * self.radii
         bound += 1e-9 * norm * self.norms + 1e-3
+        bound = np.maximum(np.where(np.isnan(bound), np.inf, bound), float(LONG.min))  # of components whose squares overflow
         order = np.argsort(-bound)
         return self.used[order], bound[order]
 
@@ -210,6 +213,7 @@ def _searched(width: int, books: tuple[np.ndarray, np.ndarray], mining: Mining,
     """Rows sorted by shard, a shard's rows before the anchors (which have a number): each anchor against each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore", invalid="ignore")  # bounds are then infinite
         shard = index = None
         ids, labels, vectors, out = [], [], [], []
         for batch in batches:
