@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.bytelevel import byte_level, pieces, small_batches
-from changeweir.llm.common import saved
+from changeweir.llm.bytelevel import byte_level, pieces
+from changeweir.llm.common import saved, small_batches
 
 #: Runs of a block: one for each value of the low bits of the B id.
 RADIX_BITS = 6

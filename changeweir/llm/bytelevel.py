@@ -6,18 +6,9 @@ import functools
 import json
 
 import numpy as np
-from pyspark.sql import SparkSession
 
 #: How a byte-level vocabulary cuts text before its merges (the cut that its file names as "ByteLevel").
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Rows and bytes of a batch that Python workers get: what a task holds beside its own state.
-BATCH_ROWS, BATCH_BYTES = 1000, 4 * 1024 * 1024
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Whole texts go to Python in batches of a few MB, so long texts don't fill a worker a thousand at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeweir.llm.common import small_batches
+
 
 #: Bytes of benchmark text that one automaton may hold on each executor; checked before anything is broadcast.
 MAX_ITEM_BYTES = 64 * 1024 * 1024
@@ -163,6 +165,7 @@ def load_items(benchmark: DataFrame) -> list[tuple[object, str | None]]:
 
 def _shared(docs: DataFrame, benchmark: DataFrame, window: int):
     """The built automaton is made once in each worker from the broadcast items."""
+    small_batches(docs.sparkSession)
     items = docs.sparkSession.sparkContext.broadcast((load_items(benchmark), window))
     built: list[Benchmark] = []
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import mixed
+from changeweir.llm.common import mixed, small_batches
 
 #: Hashed n-gram space, n-gram lengths, ridge.
 SPACE, LENGTHS, RIDGE = 1 << 15, (2, 3, 4), 1e-3
@@ -144,4 +144,5 @@ def predict(docs: DataFrame, model: Classifier | None) -> DataFrame:
 
 def identify(docs: DataFrame) -> DataFrame:
     """Trains on the labelled documents that are not held out and predicts every document."""
+    small_batches(docs.sparkSession)
     return predict(docs, train(docs))

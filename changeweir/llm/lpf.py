@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import MEMBER_BITS, maybe_member, member_bits, mixed, only_members, saved, signed
+from changeweir.llm.common import MEMBER_BITS, maybe_member, member_bits, mixed, only_members, saved, signed, small_batches
 
 GRAM = 32
 #: Groups of more different texts than this are counted string by string in Spark instead of in one suffix array.
@@ -361,6 +361,7 @@ def without_repeats(docs: DataFrame, length: int = 400, keep_first: bool = False
     character leaves its bytes out of ``kept`` text, not out of the digest. Repeated rows each get their row; other
     columns are ignored; an empty table gives no rows. Only texts that may have repeats meet their spans in a shuffle.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     column = "later" if keep_first else "copied"
     spans = saved(repeats(docs, length).select("doc_id", "tid", column), "lpf-spans")

@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeweir.llm.bytelevel import small_batches
-from changeweir.llm.common import saved
+from changeweir.llm.common import saved, small_batches
 
 #: Rows of a shard: what one task indexes.
 SHARD_ROWS = 16_384

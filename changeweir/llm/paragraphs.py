@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, saved, shingles, signed, word_lists
+from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, saved, shingles, signed, small_batches, word_lists
 from changeweir.llm.graph import components, linked_in_buckets
 
 BANDS, ROWS = 14, 3
@@ -234,6 +234,7 @@ def without_repeats(docs: DataFrame, k: int = 5, percent: int = 80, min_words: i
     each get its row; a paragraph that rows of one doc_id begin at the same line counts as one place. An empty table gives no rows;
     other columns are ignored. Lines of a document meet again by document: at most the lines of one text, in order.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = saved(clusters(docs, k, percent, min_words), "paragraph-clusters")
     # Places with a copy elsewhere are few; the rest of the work is on those alone.

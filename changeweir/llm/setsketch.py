@@ -30,6 +30,7 @@ from changeweir.llm.common import (
     saved,
     shingles,
     signed,
+    small_batches,
 )
 from changeweir.llm.graph import components, linked_in_buckets
 
@@ -183,6 +184,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     Repeated rows, also of one doc_id with several texts, each get their row; rows of one doc_id are one node.
     Other columns are ignored; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_shingles long, digest binary, registers binary"
     rows = saved(docs.mapInPandas(_sketched(k), schema), "setsketch-rows")

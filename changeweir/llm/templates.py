@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import saved
+from changeweir.llm.common import saved, small_batches
 
 #: A subtree is template on at least so many different pages of a host, and this share of them or many pages.
 MIN_PAGES, MIN_SHARE, MANY_PAGES = 10, 0.1, 1000
@@ -236,6 +236,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     rows each get their row; other columns are ignored; an empty table gives no rows. Each page's templates are
     written first, so that the join's strategy follows their real size, whatever a host's share of the pages.
     """
+    small_batches(pages.sparkSession)
     found = saved(templates(pages, min_pages, min_share, many_pages), "html-templates")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"), page_digest().alias("page"))
     rows = rows.join(found, ["host", "page"], "left").select("page_id", "url", "html", "subtrees")

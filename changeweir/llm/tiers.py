@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.bytelevel import byte_level, small_batches
+from changeweir.llm.bytelevel import byte_level
+from changeweir.llm.common import small_batches
 
 END_ID = 1
 #: Context sizes, powers of two: a full window of any of them needs no padding.

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import saved
+from changeweir.llm.common import saved, small_batches
 from changeweir.llm.templates import host
 
 # The contract's rules.
@@ -162,6 +162,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     path's tokens, ``score`` the model's log odds of bad. Dictionary and model hold every word and token; they are joined
     as tables, none is collected. Repeated rows each get their row; an empty table gives none.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     rows = saved(rows.withColumn("uid", F.monotonically_increasing_id()), "url-rows")
     each = saved(rows.select("uid", "host", "path").mapInArrow(_pieces, "uid long, pos int, side string, part string, token string"), "url-pieces")
