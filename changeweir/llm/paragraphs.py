@@ -4,10 +4,15 @@ A paragraph is a line of at least ``MIN_WORDS`` words, or a run of shorter lines
 Exact copies are one class before banding, so they meet
 by digest alone. Bands are tuned for recall: with 14 bands of 3 rows a pair at Jaccard 0.8 is missed once in
 20,000, at 0.85 once in 10^6, at 0.9 once in 10^8.
+
+A passage may be shared by paragraphs that differ in the rest, or go over their ends. So each text's words, taken in a row, are also cut
+into pieces at places that the words themselves choose (``places``): whoever holds the passage has the pieces inside it. They are
+classes by digest like paragraphs, but take no part in banding, which their paragraphs do.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,12 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, saved, shingles, signed, small_batches, word_lists
+from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, only_members, saved, shingles, signed, small_batches, word_lists
 from changeweir.llm.graph import components, linked_in_buckets
 
 BANDS, ROWS = 14, 3
-#: Shorter paragraphs (a heading or list entry between long lines) stay as they are.
+#: Shorter paragraphs (a heading or list entry between long lines) stay as they are, and so do shorter runs of pieces.
 MIN_WORDS = 20
+#: A cut between pieces is the least of so many word pairs on either side; pieces at a text's ends with fewer words are left out.
+CUT_WINDOW = 8
 #: Characters of paragraphs that are hashed at once; a word of them takes 42 values of eight bytes.
 BLOCK_CHARS = 60_000
 
@@ -59,16 +66,70 @@ def cut(text: str | None, min_words: int) -> list[tuple[list[int], str]]:
     return [(p, " ".join(lines[i] for i in p)) for p in found]
 
 
-def _cut(batch: pa.RecordBatch, min_words: int) -> tuple[np.ndarray, list[list[int]], list[str], np.ndarray]:
-    """Rows, line numbers, texts, and digests (as two longs) of the paragraphs of a batch's ``text``."""
-    rows, lines, texts = [], [], []
-    for row, text in enumerate(batch.column("text").to_pylist()):
-        for numbers, paragraph in cut(text, min_words):
-            rows.append(row)
-            lines.append(numbers)
-            texts.append(paragraph)
-    digests = b"".join(xxhash.xxh3_128_digest(t.encode()) for t in texts)
-    return np.array(rows, np.int64), lines, texts, np.frombuffer(digests, "<i8").reshape(-1, 2)
+def places(words: list[bytes], cache: Words, window: int = CUT_WINDOW) -> list[int]:
+    """Word numbers before which a text is cut: pairs of words whose hash is the first least of ``window`` on either side.
+
+    The choice looks at no more words than those, so texts that share a passage share its cuts, but for those near its ends.
+    """
+    x = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+    if len(x) < 2:
+        return []
+    x = mixed(x[:-1] * np.uint64(0x9E3779B97F4A7C15) + x[1:])  # the pair that ends a piece and begins the next
+    top = np.full(window, np.iinfo(np.uint64).max, np.uint64)
+    around = np.lib.stride_tricks.sliding_window_view(np.concatenate((top, x, top)), window).min(axis=1)
+    # around[i] is the least of the pairs before i, around[i + window + 1] of those behind.
+    return (np.flatnonzero((x < around[: len(x)]) & (x <= around[window + 1 :])) + 1).tolist()
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+class Pieces:
+    """Paragraphs of a batch's texts, then their pieces, as stretches of UTF-8 bytes."""
+
+    def __init__(self, texts: list[str | None], min_words: int, cache: Words):
+        self.rows: list[int] = []
+        self.start: list[int] = []
+        self.end: list[int] = []
+        self.n_words: list[int] = []  # of a piece; 0 for a paragraph
+        self.raw: list[bytes] = []
+        raws = [(text or "").encode() for text in texts]
+        for row, (text, raw) in enumerate(zip(texts, raws, strict=True)):
+            self._paragraphs(row, text, raw, min_words)
+        self.n_paragraphs = len(self.rows)
+        for row, raw in enumerate(raws):
+            self._pieces(row, raw, min_words, cache)
+        digests = b"".join(map(xxhash.xxh3_128_digest, self.raw))
+        self.digests = np.frombuffer(digests, "<i8").reshape(-1, 2)
+
+    def _put(self, row: int, start: int, end: int, n_words: int, raw: bytes) -> None:
+        self.rows.append(row)
+        self.start.append(start)
+        self.end.append(end)
+        self.n_words.append(n_words)
+        self.raw.append(raw)
+
+    def _paragraphs(self, row: int, text: str | None, raw: bytes, min_words: int) -> None:
+        if not (found := cut(text, min_words)):
+            return
+        lines = raw.split(b"\n")
+        begins = [0, *itertools.accumulate(len(x) + 1 for x in lines)]
+        for numbers, _ in found:
+            last = numbers[-1]
+            self._put(row, begins[numbers[0]], begins[last] + len(lines[last]), 0, b" ".join([lines[i] for i in numbers]))
+
+    def _pieces(self, row: int, raw: bytes, min_words: int, cache: Words) -> None:
+        words = raw.lower().split()
+        if len(words) < min_words:
+            return
+        cuts = [0, *places(words, cache), len(words)]
+        blank = _BLANK[np.frombuffer(raw, np.uint8)]
+        begins = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
+        at = [*begins[cuts[:-1]].tolist(), len(raw)]
+        for k, (a, b) in enumerate(itertools.pairwise(cuts)):
+            if b - a > CUT_WINDOW:
+                self._put(row, at[k], at[k + 1], b - a, b" ".join(words[a:b]))
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray | list[int]) -> pa.ListArray:
@@ -88,13 +149,24 @@ def _blocks(sizes: list[int], most: int = BLOCK_CHARS) -> Iterator[tuple[int, in
 
 
 def _banded(k: int, min_words: int):
+    """Paragraphs with the keys of their bands, pieces without."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, minima = Words(), Minima(BANDS * ROWS)
         salts = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
+
+        def batch_of(batch: pa.RecordBatch, found: Pieces, at: np.ndarray, keys: pa.Array) -> pa.RecordBatch:
+            rows, start = np.array(found.rows, np.int64)[at], np.array(found.start, np.int32)[at]
+            return pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id").take(pa.array(rows)), "start": start,
+                "d1": found.digests[at, 0], "d2": found.digests[at, 1], "keys": keys,
+            })
+
         for batch in batches:
-            rows, lines, texts, digests = _cut(batch, min_words)
-            for at, to in _blocks([len(t) for t in texts]):
-                words = [lower_words(t) for t in texts[at:to]]
+            found = Pieces(batch.column("text").to_pylist(), min_words, cache)
+            whole = np.arange(found.n_paragraphs)
+            for at, to in _blocks([len(found.raw[i]) for i in whole]):
+                words = [found.raw[i].lower().split() for i in whole[at:to]]
                 if len(words) == 1:
                     least = minima.of(shingles(words[0], k, cache))[None, :]
                 else:
@@ -102,56 +174,130 @@ def _banded(k: int, min_words: int):
                 keys = np.zeros((to - at, BANDS), np.uint64) + salts
                 for row in range(ROWS):
                     keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS])
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column("doc_id").take(pa.array(rows[at:to])),
-                    "line": pa.array([p[0] for p in lines[at:to]], pa.int32()),
-                    "d1": digests[at:to, 0], "d2": digests[at:to, 1],
-                    "keys": _lists(signed(keys).ravel(), [BANDS] * (to - at)),
-                })
+                yield batch_of(batch, found, whole[at:to], _lists(signed(keys).ravel(), [BANDS] * (to - at)))
+            parts = np.arange(found.n_paragraphs, len(found.rows))
+            yield batch_of(batch, found, parts, pa.nulls(len(parts), pa.list_(pa.int64())))
 
     return run
 
 
-def _placed(min_words: int):
-    """Every paragraph's place, line numbers and digest."""
+def _chosen(min_words: int, docs_bits: bytes, bits: bytes):
+    """Paragraphs and pieces whose document and digest may be among the filters', with their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Words()
         for batch in batches:
-            rows, lines, _, digests = _cut(batch, min_words)
-            numbers = np.array([i for p in lines for i in p], np.int32)
+            batch = batch.filter(pa.array(maybe_member(docs_bits, batch.column("place").to_numpy())))
+            found = Pieces(batch.column("text").to_pylist(), min_words, cache)
+            at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (MEMBER_BITS - 1)))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(pa.array(rows)), "tid": batch.column("tid").take(pa.array(rows)),
-                "line": pa.array([p[0] for p in lines], pa.int32()), "lines": _lists(numbers, [len(p) for p in lines]),
-                "d1": digests[:, 0], "d2": digests[:, 1],
+                "doc_id": batch.column("doc_id").take(pa.array(np.array(found.rows, np.int64)[at])),
+                "start": np.array(found.start, np.int32)[at], "d1": found.digests[at, 0], "d2": found.digests[at, 1],
+                "text": pa.array([found.raw[i].decode() for i in at], pa.string()),
             })
 
     return run
 
 
-def _chosen(min_words: int, bits: bytes):
-    """Paragraphs whose digest may be among the filter's, with their text."""
+_SHARED = "doc_id long, tid string, start int, end int, n_words int, d1 long, d2 long"
+
+
+def _placed(min_words: int, bits: bytes):
+    """Places of paragraphs and pieces whose digest may be among the filter's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = Words()
         for batch in batches:
-            rows, lines, texts, digests = _cut(batch, min_words)
-            at = np.flatnonzero(maybe_member(bits, digests[:, 0] & (MEMBER_BITS - 1)))
+            found = Pieces(batch.column("text").to_pylist(), min_words, cache)
+            at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (MEMBER_BITS - 1)))
+            rows = pa.array(np.array(found.rows, np.int64)[at])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(pa.array(rows[at])),
-                "line": pa.array([lines[i][0] for i in at], pa.int32()),
-                "d1": digests[at, 0], "d2": digests[at, 1], "text": pa.array([texts[i] for i in at], pa.string()),
+                "doc_id": batch.column("doc_id").take(rows), "tid": batch.column("tid").take(rows),
+                **{c: np.array(getattr(found, c), np.int32)[at] for c in ("start", "end", "n_words")},
+                "d1": found.digests[at, 0], "d2": found.digests[at, 1],
             })
 
     return run
 
 
-def _counted(min_words: int, bits: bytes, inside: bool):
-    """``doc_id, text, tid`` that may be (or surely aren't) among the filter's, with the number of their paragraphs."""
+def long_enough(pieces: list[dict], min_words: int) -> list[tuple[int, int]]:
+    """Stretches of paragraphs, and of runs of pieces (each next to the one before) of ``min_words`` words or more; merged."""
+    found = [(p["start"], p["end"]) for p in pieces if not p["n_words"]]
+    run: list[dict] = []
+    for p in [*sorted((p for p in pieces if p["n_words"]), key=lambda p: p["start"]), None]:
+        if run and (p is None or p["start"] != run[-1]["end"]):
+            if sum(x["n_words"] for x in run) >= min_words:
+                found.append((run[0]["start"], run[-1]["end"]))
+            run = []
+        if p is not None:
+            run.append(p)
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(found):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
+def without(raw: bytes, gone: list[tuple[int, int]]) -> tuple[list[int], bytes]:
+    """(lines that go whole, what is left) of a text without stretches of it (in order, apart); blank lines stay."""
+    dropped, kept, at, k = [], [], 0, 0
+    for number, line in enumerate(raw.split(b"\n")):
+        end, parts, here = at + len(line), [], at
+        while k < len(gone) and gone[k][1] <= at:
+            k += 1
+        for s, e in gone[k:]:
+            if s >= end:
+                break
+            parts.append(raw[here : max(s, here)])
+            here = min(e, end)
+        parts.append(raw[here:end])
+        left = b"".join(parts)
+        if not line.strip():
+            kept.append(line)
+        elif left.strip():
+            kept.append(left)
+        else:
+            dropped.append(number)
+        at = end + 1
+    return dropped, b"\n".join(kept)
+
+
+_COLUMNS = (
+    "doc_id long, n_paragraphs long, n_shared_words long, n_removed long, n_removed_words long, "
+    "removed_lines array<int>, copies_of array<long>, kept string"
+)
+_KINDS = {"long": pa.int64(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "string": pa.string()}
+_SCHEMA = pa.schema([(c.split()[0], _KINDS[c.split()[1]]) for c in _COLUMNS.split(", ")])
+
+
+def _finished(min_words: int, bits: bytes | None):
+    """Rows without what is gone; with ``bits``, those that surely have no pieces among the filter's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_in = lambda raw, spans: sum(len(raw[s:e].split()) for s, e in spans)
         for batch in batches:
-            kept = batch.filter(pa.array(maybe_member(bits, batch.column("place").to_numpy()) == inside))
-            counts = [len(cut(t, min_words)) for t in kept.column("text").to_pylist()]
-            yield kept.drop_columns(["place"]).append_column("n_paragraphs", pa.array(counts, pa.int64()))
+            if bits is not None:
+                batch = batch.filter(pa.array(~maybe_member(bits, batch.column("place").to_numpy())))
+            rows = []
+            pieces_of = batch.column("pieces").to_pylist() if bits is None else [None] * len(batch)
+            for doc_id, text, pieces in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), pieces_of, strict=True):
+                count = len(cut(text, min_words))
+                if not pieces:
+                    rows.append((doc_id, count, 0, 0, 0, [], [], text))
+                    continue
+                raw, away = text.encode(), [p for p in pieces if p["away"]]
+                shared, gone = long_enough([p for p in pieces if p["shared"]], min_words), long_enough(away, min_words)
+                lines, left = without(raw, gone)
+                whole = [p for p in away if not p["n_words"]]
+                inside = lambda p, spans: any(s <= p["start"] and p["end"] <= e for s, e in spans)
+                spans = [(p["start"], p["end"]) for p in whole]
+                of = {p["first_doc"] for p in whole} | {p["first_doc"] for p in away if inside(p, gone) and not inside(p, spans)}
+                copies, n_removed = sorted(of, key=lambda x: (x is None, x)), len(whole)
+                rows.append((doc_id, count, words_in(raw, shared), n_removed, words_in(raw, gone), lines, copies, left.decode()))
+            columns = zip(*rows, strict=True) if rows else [[] for _ in _SCHEMA]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
     return run
 
@@ -172,11 +318,12 @@ def _alike(k: int, percent: int):
 
 def _texts(cids: DataFrame, classes: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
     """``cid, text`` of the given classes, read again from their first places."""
-    wanted = saved(classes.join(cids, "cid").select("cid", "d1", "d2", "doc_id", "line"), "paragraph-wanted")
-    # Most paragraphs are no candidate's: a filter of fixed size drops them before the join deals out texts.
+    wanted = saved(classes.join(cids, "cid").select("cid", "d1", "d2", "doc_id", "start"), "paragraph-wanted")
+    # Most documents and paragraphs are no candidate's: filters of fixed size drop them before they are cut and dealt out.
     bits = member_bits(wanted.select(F.col("d1").bitwiseAND(MEMBER_BITS - 1).cast("int").alias("p")), "p", MEMBER_BITS)
-    texts = docs.select("doc_id", "text").mapInArrow(_chosen(min_words, bits), "doc_id long, line int, d1 long, d2 long, text string")
-    same = [texts[c].eqNullSafe(wanted[c]) for c in ("d1", "d2", "doc_id", "line")]
+    texts = docs.select("doc_id", "text", member_place("doc_id").alias("place"))
+    texts = texts.mapInArrow(_chosen(min_words, member_bits(wanted, "doc_id"), bits), "doc_id long, start int, d1 long, d2 long, text string")
+    same = [texts[c].eqNullSafe(wanted[c]) for c in ("d1", "d2", "doc_id", "start")]
     found = texts.join(wanted, same[0] & same[1] & same[2] & same[3]).select("cid", texts["text"])
     return saved(found.dropDuplicates(["cid"]), "paragraph-texts")
 
@@ -201,16 +348,19 @@ def _shingled(k: int):
 
 
 def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
-    """``d1, d2, cluster, doc_id, line``: each class of equal paragraphs, its cluster, and the cluster's first place.
+    """``d1, d2, doc_id, start, shared``: each class of equal paragraphs or pieces that has a copy anywhere, the first place of its
+    cluster, and whether the cluster stands in several documents.
 
     Buckets are joined by hubs (``linked_in_buckets``): no group is cut off, and none is expanded into all its pairs.
     """
-    found = docs.select("doc_id", "text").mapInArrow(_banded(k, min_words), "doc_id long, line int, d1 long, d2 long, keys array<long>")
-    classes = found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "line")).alias("place"), F.first("keys").alias("keys"))
+    found = docs.select("doc_id", "text").mapInArrow(_banded(k, min_words), "doc_id long, start int, d1 long, d2 long, keys array<long>")
+    place = F.struct("doc_id", "start")
+    classes = found.groupBy("d1", "d2").agg(F.min(place).alias("place"), F.max(place).alias("last"), F.first("keys", True).alias("keys"))
     classes = classes.withColumn("cid", F.monotonically_increasing_id())
-    classes = saved(classes.select("cid", "d1", "d2", "place.doc_id", "place.line", "keys"), "paragraph-classes")
-    keys = classes.select("cid", F.explode("keys").alias("key"))
-    texts = lambda cids: _texts(cids, classes, docs, min_words)
+    classes = saved(classes.select("cid", "d1", "d2", "place.doc_id", "place.start", "last", "keys"), "paragraph-classes")
+    banded = classes.where("keys is not null")
+    keys = banded.select("cid", F.explode("keys").alias("key"))
+    texts = lambda cids: _texts(cids, banded, docs, min_words)
     links = linked_in_buckets(
         keys,
         lambda pairs: _verified(pairs, texts, k, percent),
@@ -218,58 +368,51 @@ def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MI
         percent,
     )
 
-    roots = components(links, "paragraph-components").withColumnRenamed("node", "cid")
-    named = classes.drop("keys").join(roots, "cid", "left").withColumn("cluster", F.coalesce("root", "cid"))
-    first = named.groupBy("cluster").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    return named.select("d1", "d2", "cluster").join(first, "cluster").select("d1", "d2", "cluster", "first.doc_id", "first.line")
+    # A class alone at one place is nobody's copy; most are, and go before the rest is joined.
+    roots = components(links, "paragraph-components")
+    members = saved(roots.union(roots.select("root", "root")).distinct(), "paragraph-members")
+    named = classes.drop("keys").join(members.withColumnRenamed("node", "cid"), "cid", "left")
+    named = named.where(F.col("root").isNotNull() | (F.struct("doc_id", "start") < F.col("last"))).withColumn("cluster", F.coalesce("root", "cid"))
+    named = saved(named.select("d1", "d2", "cluster", "doc_id", "start", "last"), "paragraph-named")
+    first = named.groupBy("cluster").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("last").alias("last"))
+    shared = ~F.col("first.doc_id").eqNullSafe(F.col("last.doc_id"))
+    return named.select("d1", "d2", "cluster").join(first, "cluster").select("d1", "d2", "first.doc_id", "first.start", shared.alias("shared"))
 
 
 def without_repeats(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MIN_WORDS, with_text: bool = False) -> DataFrame:
-    """Per row of ``docs(doc_id, text)``: ``doc_id, n_paragraphs, n_removed, removed_lines, copies_of, kept_sha256`` (``kept``).
+    """Per row of ``docs(doc_id, text)``: ``doc_id, n_paragraphs, n_shared_words, n_removed, n_removed_words, removed_lines, copies_of,
+    kept_sha256`` (``kept``).
+
+    Of each cluster of paragraphs (5-word shingles, Jaccard of 0.8 or more, linked through others), and of each class of equal
+    pieces, the first place by doc_id (nulls first), then position, stays; the others go, pieces where those next to each other have
+    ``min_words`` words together. A paragraph of several lines goes with all of them; blank lines stay. ``n_removed`` counts paragraphs that
+    go whole, ``n_removed_words`` all words that go; ``n_shared_words`` are the words of paragraphs and passages that other documents have too,
+    kept ones included. ``removed_lines`` are the numbers, from 0, of lines that go whole; ``copies_of`` the distinct doc_ids where
+    the kept copies stand, the document's own included.
 
-    Of each cluster of paragraphs (5-word shingles, Jaccard of 0.8 or more, linked through others) the first place by
-    doc_id (nulls first), then line, stays; the others go. A paragraph of several lines goes with all of them; blank lines
-    stay. ``n_removed`` counts paragraphs, ``removed_lines`` are their line numbers from 0, ``copies_of`` the distinct doc_ids where the kept copies stand, the document's own included.
     Null texts count as empty: no paragraphs, nothing removed. Rows that repeat doc_id and text are one document and
-    each get its row; a paragraph that rows of one doc_id begin at the same line counts as one place. An empty table gives no rows;
-    other columns are ignored. Lines of a document meet again by document: at most the lines of one text, in order.
+    each get its row; paragraphs of rows of one doc_id that begin at the same place count as one place. An empty table gives no rows;
+    other columns are ignored. A document's pieces meet again by document: at most those of one text.
     """
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = saved(clusters(docs, k, percent, min_words), "paragraph-clusters")
     # Places with a copy elsewhere are few; the rest of the work is on those alone.
-    again = found.withColumnsRenamed({"doc_id": "first_doc", "line": "first_line"})
-    each = docs.select("doc_id", F.md5("text").alias("tid"), "text")
-    each = each.mapInArrow(_placed(min_words), "doc_id long, tid string, line int, lines array<int>, d1 long, d2 long")
-    away = ~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line") == F.col("first_line")))
-    gone = each.join(again, ["d1", "d2"]).where(away).groupBy("doc_id", "tid").agg(
-        F.collect_set("lines").alias("gone"), F.array_sort(F.collect_set("first_doc")).alias("copies_of")
-    )
-    gone = gone.select(
-        "doc_id", "tid", F.size("gone").cast("long").alias("n_removed"), F.array_sort(F.flatten("gone")).alias("removed_lines"), "copies_of"
-    )
-    gone = saved(gone.withColumnsRenamed({"doc_id": "d", "tid": "t"}), "paragraph-removed")
+    bits = member_bits(found.select(F.col("d1").bitwiseAND(MEMBER_BITS - 1).cast("int").alias("p")), "p", MEMBER_BITS)
+    again = found.withColumnsRenamed({"doc_id": "first_doc", "start": "first_start"})
     text = F.coalesce("text", F.lit(""))
-    rows, bits = docs.select("doc_id", text.alias("text"), F.md5(text).alias("tid")), member_bits(gone, "t")
-    rows, schema = rows.withColumn("place", member_place("tid")), "doc_id long, text string, tid string, n_paragraphs long"
-    none = {"n_removed": F.lit(0).cast("long"), "removed_lines": F.array().cast("array<int>"), "copies_of": F.array().cast("array<long>")}
-    met = rows.mapInArrow(_counted(min_words, bits, True), schema)
-    met = met.join(gone, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
-    plain = rows.mapInArrow(_counted(min_words, bits, False), schema)
-    plain = plain.select("doc_id", "text", "n_paragraphs", *[v.alias(c) for c, v in none.items()])
-    rows = plain.union(met.select("doc_id", "text", "n_paragraphs", *[F.coalesce(c, v).alias(c) for c, v in none.items()]))
-    split = F.split("text", "\n")
-    kept = F.when(F.size("removed_lines") == 0, F.col("text")).otherwise(
-        F.array_join(F.filter(split, lambda x, i: ~F.array_contains("removed_lines", i)), "\n")
-    )
-    rows = rows.withColumn("kept", kept)
-    rows = rows.select(
-        "doc_id",
-        "n_paragraphs",
-        "n_removed",
-        "removed_lines",
-        "copies_of",
-        F.sha2("kept", 256).alias("kept_sha256"),
-        "kept",
-    )
-    return rows if with_text else rows.drop("kept")
+    rows = docs.select("doc_id", text.alias("text"), F.md5(text).alias("tid"))
+    each = rows.mapInArrow(_placed(min_words, bits), _SHARED).distinct()
+    away = ~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("start") == F.col("first_start")))
+    piece = F.struct("start", "end", "n_words", away.alias("away"), "shared", "first_doc")
+    pieces = each.join(again, ["d1", "d2"]).groupBy(F.col("doc_id").alias("d"), F.col("tid").alias("t")).agg(F.collect_list(piece).alias("pieces"))
+    pieces = saved(pieces, "paragraph-pieces")
+    met_bits = member_bits(pieces, "t")
+    rows = rows.withColumn("place", member_place("tid"))
+    plain = rows.select("doc_id", "text", "place").mapInArrow(_finished(min_words, met_bits), _COLUMNS)
+    met = only_members(rows.select("doc_id", "text", "tid"), met_bits, "tid")
+    met = met.join(pieces, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    met = met.select("doc_id", "text", "pieces").mapInArrow(_finished(min_words, None), _COLUMNS)
+    out = plain.union(met)
+    out = out.select(*[c for c in out.columns if c != "kept"], F.sha2("kept", 256).alias("kept_sha256"), "kept")
+    return out if with_text else out.drop("kept")
