@@ -72,22 +72,6 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def word_lists(texts: list[list[bytes]], k: int, cache: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the k-word shingles of many word lists in one pass, as they come, and where each list's begin.
-
-    The same values as ``shingles``, neither sorted nor distinct. Lists must have ``k`` words or more.
-    """
-    sizes = np.array([len(w) for w in texts])
-    hashes = np.fromiter((cache[w] for words in texts for w in words), np.uint64, sizes.sum())
-    out = np.full(max(len(hashes) - k + 1, 0), k, np.uint64)
-    for j in range(k):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[j : len(hashes) - k + 1 + j])
-    inside = np.ones(len(out), bool)
-    for back in range(1, k):  # shingles that would reach into the next list
-        inside[np.cumsum(sizes)[:-1] - back] = False
-    return out[inside], np.concatenate(([0], np.cumsum(sizes - k + 1)[:-1]))
-
-
 class Minima:
     """Minima of ``m`` independent hash functions over a set of 64-bit hashes."""
 

@@ -18,11 +18,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, only_members, saved, shingles, signed, small_batches, word_lists
+from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, only_members, saved, shingles, signed, small_batches
 from changeweir.llm.graph import components, linked_in_buckets
 
 BANDS, ROWS = 14, 3
@@ -30,23 +29,22 @@ BANDS, ROWS = 14, 3
 MIN_WORDS = 20
 #: A cut between pieces is the least of so many word pairs on either side; pieces at a text's ends with fewer words are left out.
 CUT_WINDOW = 8
-#: Characters of paragraphs that are hashed at once; a word of them takes 42 values of eight bytes.
-BLOCK_CHARS = 60_000
+#: Bytes of texts that are looked at together; each takes some 30 bytes of arrays.
+BLOCK_BYTES = 1 << 20
 
 
-def cut(text: str | None, min_words: int) -> list[tuple[list[int], str]]:
-    """(line numbers, text) of each paragraph of a text: its lines joined by a blank, at least ``min_words`` words.
+def grouped(counts: list[int], min_words: int) -> list[list[int]]:
+    """Line numbers of each paragraph of a text whose lines have so many words.
 
-    A line with that many words is a paragraph. Shorter lines are joined up to a blank line, a long line or the text's
+    A line with ``min_words`` words is a paragraph. Shorter lines are joined up to a blank line, a long line or the text's
     end; where neighbouring runs have too few words each, they are joined over blank lines up to the next paragraph.
     """
     found: list[list[int]] = []
     loose: list[int] = []
     run: list[int] = []
     n_loose = n_run = 0
-    lines = (text or "").split("\n")
     # The last entry stands for a long line after the end.
-    for i, n in enumerate([*(len(line.encode().split()) for line in lines), min_words]):
+    for i, n in enumerate([*counts, min_words]):
         if 0 < n < min_words:
             run.append(i)
             n_run += n
@@ -60,124 +58,193 @@ def cut(text: str | None, min_words: int) -> list[tuple[list[int], str]]:
             loose, n_loose = [], 0
         if n_run >= min_words:
             found.append(run)
-        if n >= min_words and i < len(lines):
+        if n >= min_words and i < len(counts):
             found.append([i])
         run, n_run = [], 0
-    return [(p, " ".join(lines[i] for i in p)) for p in found]
+    return found
 
 
-def places(words: list[bytes], cache: Words, window: int = CUT_WINDOW) -> list[int]:
-    """Word numbers before which a text is cut: pairs of words whose hash is the first least of ``window`` on either side.
-
-    The choice looks at no more words than those, so texts that share a passage share its cuts, but for those near its ends.
-    """
-    x = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-    if len(x) < 2:
-        return []
-    x = mixed(x[:-1] * np.uint64(0x9E3779B97F4A7C15) + x[1:])  # the pair that ends a piece and begins the next
-    top = np.full(window, np.iinfo(np.uint64).max, np.uint64)
-    around = np.lib.stride_tricks.sliding_window_view(np.concatenate((top, x, top)), window).min(axis=1)
-    # around[i] is the least of the pairs before i, around[i + window + 1] of those behind.
-    return (np.flatnonzero((x < around[: len(x)]) & (x <= around[window + 1 :])) + 1).tolist()
+def cut(text: str | None, min_words: int) -> list[tuple[list[int], str]]:
+    """(line numbers, text) of each paragraph of a text: its lines joined by a blank, at least ``min_words`` words."""
+    lines = (text or "").split("\n")
+    counts = [len(line.encode().split()) for line in lines]
+    return [(p, " ".join(lines[i] for i in p)) for p in grouped(counts, min_words)]
 
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: Value of each byte at each place of a word (places above 63 start over, with a factor); blanks have none.
+_BYTES = mixed(np.arange(1, 64 * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(64, 256)
+_BYTES[:, _BLANK] = 0
+_BYTES = _BYTES.ravel()
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Worded:
+    """Texts as one array of words: where each begins and ends (in bytes of all texts), its hash (A-Z lower-cased), its text."""
+
+    def __init__(self, texts: list[str | None]):
+        raws = [(t or "").encode() for t in texts]
+        self.raw = b"\n".join(raws) + b"\n"  # a line end behind each text
+        self.at = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
+        low = np.frombuffer(self.raw.lower(), np.uint8)
+        blank = _BLANK[low]
+        self.begin = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
+        self.end = np.flatnonzero(blank & ~np.concatenate(([True], blank[:-1])))
+        self.text = np.searchsorted(self.at, self.begin, "right") - 1
+        self.line_ends = np.flatnonzero(low == 10)
+        self.line = np.searchsorted(self.line_ends, self.begin)
+        self.hash = self._hashes(low)
+
+    def _hashes(self, low: np.ndarray) -> np.ndarray:
+        if not len(self.begin):
+            return np.empty(0, np.uint64)
+        first = self.begin[0]
+        place = np.arange(len(low) - first) - np.repeat(self.begin - first, np.diff(np.append(self.begin, len(low))))
+        values = _BYTES[(place & 63) << 8 | low[first:]]
+        if place.max(initial=0) > 63:
+            values *= (place >> 6 << 1 | 1).astype(np.uint64)
+        return mixed(np.add.reduceat(values, self.begin - first) + (self.end - self.begin).astype(np.uint64) * _STEP)
+
+    def digests(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """(stretches, 2): 128 bits of each stretch of words ``a`` to ``b`` (stretches rise and don't overlap)."""
+        if not len(a):
+            return np.empty((0, 2), np.int64)
+        first, n = a[0], len(self.hash)
+        place = (np.arange(n - first) - np.repeat(a - first, np.diff(np.append(a, n)))).astype(np.uint64)
+        bounds = np.column_stack((a, b)).ravel() - first
+        out = np.empty((len(a), 2), np.uint64)
+        for side, factor in enumerate((np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))):
+            values = np.append(mixed(self.hash[first:] * factor + place * _STEP), np.uint64(0))
+            out[:, side] = mixed(np.add.reduceat(values, bounds)[::2] + (b - a).astype(np.uint64) * factor)
+        return signed(out)
+
+    def paragraphs(self, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of each paragraph. Lines of a paragraph have only blank ones between them."""
+        counts = np.bincount(self.line, minlength=len(self.line_ends))
+        words_before = np.concatenate(([0], np.cumsum(counts)))
+        lines = np.searchsorted(self.line_ends, self.at)  # of each text the first
+        each, a, b = counts.tolist(), [], []
+        for lo, hi in itertools.pairwise(lines.tolist()):
+            for p in grouped(each[lo:hi], min_words):
+                a.append(lo + p[0])
+                b.append(lo + p[-1] + 1)
+        return words_before[np.array(a, np.int64)], words_before[np.array(b, np.int64)]
+
+    def pieces(self, min_words: int, window: int = CUT_WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of each piece of the texts with ``min_words`` words or more, but those of ``window`` words or fewer.
+
+        A text is cut before words whose pair with the word before has a hash that is the first least of ``window`` on either side.
+        The choice looks no further, so texts that share a passage share its cuts, but for those near its ends.
+        """
+        n, text = len(self.hash), self.text
+        if not n:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        inside = np.flatnonzero(text[1:] == text[:-1])
+        x = mixed(self.hash[inside] * _STEP + self.hash[inside + 1])
+        top = np.iinfo(np.uint64).max
+        # Texts are kept apart by as many greatest values as a window has.
+        place = np.arange(len(x)) + (text[inside] + 1) * window
+        row = np.full(len(x) + (len(self.at) + 1) * window, top, np.uint64)
+        row[place] = x
+        have = 1
+        while 2 * have <= window:
+            row, have = np.minimum(row[:-have], row[have:]), 2 * have
+        if have < window:
+            row = np.minimum(row[: have - window], row[window - have :])
+        cuts = inside[(x < row[place - window]) & (x <= row[place + 1])] + 1
+        firsts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+        a = np.union1d(firsts, cuts)
+        b = np.append(a[1:], n)
+        long = np.bincount(text)[text[a]] >= min_words
+        keep = long & (b - a > window)
+        return a[keep], b[keep]
 
 
 class Pieces:
-    """Paragraphs of a batch's texts, then their pieces, as stretches of UTF-8 bytes."""
-
-    def __init__(self, texts: list[str | None], min_words: int, cache: Words):
-        self.rows: list[int] = []
-        self.start: list[int] = []
-        self.end: list[int] = []
-        self.n_words: list[int] = []  # of a piece; 0 for a paragraph
-        self.raw: list[bytes] = []
-        raws = [(text or "").encode() for text in texts]
-        for row, (text, raw) in enumerate(zip(texts, raws, strict=True)):
-            self._paragraphs(row, text, raw, min_words)
-        self.n_paragraphs = len(self.rows)
-        for row, raw in enumerate(raws):
-            self._pieces(row, raw, min_words, cache)
-        digests = b"".join(map(xxhash.xxh3_128_digest, self.raw))
-        self.digests = np.frombuffer(digests, "<i8").reshape(-1, 2)
-
-    def _put(self, row: int, start: int, end: int, n_words: int, raw: bytes) -> None:
-        self.rows.append(row)
-        self.start.append(start)
-        self.end.append(end)
-        self.n_words.append(n_words)
-        self.raw.append(raw)
-
-    def _paragraphs(self, row: int, text: str | None, raw: bytes, min_words: int) -> None:
-        if not (found := cut(text, min_words)):
-            return
-        lines = raw.split(b"\n")
-        begins = [0, *itertools.accumulate(len(x) + 1 for x in lines)]
-        for numbers, _ in found:
-            last = numbers[-1]
-            self._put(row, begins[numbers[0]], begins[last] + len(lines[last]), 0, b" ".join([lines[i] for i in numbers]))
-
-    def _pieces(self, row: int, raw: bytes, min_words: int, cache: Words) -> None:
-        words = raw.lower().split()
-        if len(words) < min_words:
-            return
-        cuts = [0, *places(words, cache), len(words)]
-        blank = _BLANK[np.frombuffer(raw, np.uint8)]
-        begins = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
-        at = [*begins[cuts[:-1]].tolist(), len(raw)]
-        for k, (a, b) in enumerate(itertools.pairwise(cuts)):
-            if b - a > CUT_WINDOW:
-                self._put(row, at[k], at[k + 1], b - a, b" ".join(words[a:b]))
+    """Paragraphs of texts, then their pieces, as stretches of a text's UTF-8 bytes."""
+
+    def __init__(self, texts: list[str | None], min_words: int):
+        self.worded = w = Worded(texts)
+        self.a, self.b = w.paragraphs(min_words)
+        a, b = w.pieces(min_words)
+        self.n_paragraphs = len(self.a)
+        both = np.concatenate((self.a, a)), np.concatenate((self.b, b))
+        self.rows = w.text[both[0]]
+        self.start = (w.begin[both[0]] - w.at[self.rows]).astype(np.int32)
+        # A piece ends where the next one of its text begins.
+        goes_on = b < np.append(w.text, -1).shape[0] - 1
+        goes_on[goes_on] = w.text[b[goes_on]] == w.text[a[goes_on]]
+        end = w.end[both[1] - 1]
+        end[self.n_paragraphs :][goes_on] = w.begin[b[goes_on]]
+        self.end = (end - w.at[self.rows]).astype(np.int32)
+        self.n_words = np.concatenate((np.zeros(self.n_paragraphs, np.int32), (b - a).astype(np.int32)))
+        self.digests = np.concatenate((w.digests(self.a, self.b), w.digests(a, b)))
+
+    def raw(self, i: int) -> bytes:
+        at = self.worded.at[self.rows[i]]
+        return self.worded.raw[at + self.start[i] : at + self.end[i]]
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray | list[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values))
 
 
-def _blocks(sizes: list[int], most: int = BLOCK_CHARS) -> Iterator[tuple[int, int]]:
-    """Stretches of paragraphs of at most ``most`` characters together; a longer paragraph is a stretch of its own."""
-    at = total = 0
-    for i, size in enumerate(sizes):
-        if i > at and total + size > most:
-            yield at, i
-            at, total = i, 0
-        total += size
-    if at < len(sizes):
-        yield at, len(sizes)
+def _parts(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``most`` bytes of text; a longer text is one of its own."""
+    for batch in batches:
+        sizes, at, total = batch.column("text").to_pylist(), 0, 0
+        for i, size in enumerate([len(t or "") for t in sizes]):
+            if i > at and total + size > most:
+                yield batch.slice(at, i - at)
+                at, total = i, 0
+            total += size
+        if len(batch) > at:
+            yield batch.slice(at)
+
+
+def _least(found: Pieces, k: int, minima: Minima, words: int = 8192) -> np.ndarray:
+    """(paragraphs, functions): minima of each paragraph's shingles of ``k`` words, blocks of ``words`` at a time."""
+    out = np.empty((found.n_paragraphs, BANDS * ROWS), np.uint64)
+    if not found.n_paragraphs:
+        return out
+    h = found.worded.hash
+    shingle = np.full(len(h) - k + 1, k, np.uint64)
+    for j in range(k):
+        shingle = mixed(shingle * _STEP + h[j : len(h) - k + 1 + j])
+    a, b, at = found.a, found.b - k + 1, 0
+    while at < len(a):
+        if b[at] - a[at] > words:
+            out[at] = minima.of(shingle[a[at] : b[at]])
+            at += 1
+            continue
+        to = max(at + 1, int(np.searchsorted(b, a[at] + words, "right")))
+        block = shingle[a[at] : b[to - 1]]
+        bounds = np.column_stack((a[at:to], b[at:to])).ravel()[:-1] - a[at]
+        out[at:to] = minima.of_each(block, bounds)[::2]
+        at = to
+    return out
 
 
 def _banded(k: int, min_words: int):
     """Paragraphs with the keys of their bands, pieces without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, minima = Words(), Minima(BANDS * ROWS)
+        minima = Minima(BANDS * ROWS)
         salts = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
-
-        def batch_of(batch: pa.RecordBatch, found: Pieces, at: np.ndarray, keys: pa.Array) -> pa.RecordBatch:
-            rows, start = np.array(found.rows, np.int64)[at], np.array(found.start, np.int32)[at]
-            return pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(pa.array(rows)), "start": start,
-                "d1": found.digests[at, 0], "d2": found.digests[at, 1], "keys": keys,
+        for batch in _parts(batches):
+            found = Pieces(batch.column("text").to_pylist(), min_words)
+            least = _least(found, k, minima)
+            keys = np.zeros((found.n_paragraphs, BANDS), np.uint64) + salts
+            for row in range(ROWS):
+                keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS])
+            others = len(found.rows) - found.n_paragraphs
+            sizes = np.concatenate((np.full(found.n_paragraphs, BANDS), np.zeros(others, np.int64)))
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id").take(pa.array(found.rows)), "start": found.start,
+                "d1": found.digests[:, 0], "d2": found.digests[:, 1], "keys": _lists(signed(keys).ravel(), sizes),
             })
 
-        for batch in batches:
-            found = Pieces(batch.column("text").to_pylist(), min_words, cache)
-            whole = np.arange(found.n_paragraphs)
-            for at, to in _blocks([len(found.raw[i]) for i in whole]):
-                words = [found.raw[i].lower().split() for i in whole[at:to]]
-                if len(words) == 1:
-                    least = minima.of(shingles(words[0], k, cache))[None, :]
-                else:
-                    least = minima.of_each(*word_lists(words, k, cache))
-                keys = np.zeros((to - at, BANDS), np.uint64) + salts
-                for row in range(ROWS):
-                    keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS])
-                yield batch_of(batch, found, whole[at:to], _lists(signed(keys).ravel(), [BANDS] * (to - at)))
-            parts = np.arange(found.n_paragraphs, len(found.rows))
-            yield batch_of(batch, found, parts, pa.nulls(len(parts), pa.list_(pa.int64())))
-
     return run
 
 
@@ -185,15 +252,14 @@ def _chosen(min_words: int, docs_bits: bytes, bits: bytes):
     """Paragraphs and pieces whose document and digest may be among the filters', with their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Words()
-        for batch in batches:
-            batch = batch.filter(pa.array(maybe_member(docs_bits, batch.column("place").to_numpy())))
-            found = Pieces(batch.column("text").to_pylist(), min_words, cache)
+        kept = (b.filter(pa.array(maybe_member(docs_bits, b.column("place").to_numpy()))) for b in batches)
+        for batch in _parts(kept):
+            found = Pieces(batch.column("text").to_pylist(), min_words)
             at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (MEMBER_BITS - 1)))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(pa.array(np.array(found.rows, np.int64)[at])),
-                "start": np.array(found.start, np.int32)[at], "d1": found.digests[at, 0], "d2": found.digests[at, 1],
-                "text": pa.array([found.raw[i].decode() for i in at], pa.string()),
+                "doc_id": batch.column("doc_id").take(pa.array(found.rows[at])),
+                "start": found.start[at], "d1": found.digests[at, 0], "d2": found.digests[at, 1],
+                "text": pa.array([found.raw(i).decode() for i in at], pa.string()),
             })
 
     return run
@@ -206,14 +272,13 @@ def _placed(min_words: int, bits: bytes):
     """Places of paragraphs and pieces whose digest may be among the filter's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Words()
-        for batch in batches:
-            found = Pieces(batch.column("text").to_pylist(), min_words, cache)
+        for batch in _parts(batches):
+            found = Pieces(batch.column("text").to_pylist(), min_words)
             at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (MEMBER_BITS - 1)))
-            rows = pa.array(np.array(found.rows, np.int64)[at])
+            rows = pa.array(found.rows[at])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").take(rows), "tid": batch.column("tid").take(rows),
-                **{c: np.array(getattr(found, c), np.int32)[at] for c in ("start", "end", "n_words")},
+                **{c: getattr(found, c)[at] for c in ("start", "end", "n_words")},
                 "d1": found.digests[at, 0], "d2": found.digests[at, 1],
             })
 
@@ -355,10 +420,10 @@ def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MI
     """
     found = docs.select("doc_id", "text").mapInArrow(_banded(k, min_words), "doc_id long, start int, d1 long, d2 long, keys array<long>")
     place = F.struct("doc_id", "start")
-    classes = found.groupBy("d1", "d2").agg(F.min(place).alias("place"), F.max(place).alias("last"), F.first("keys", True).alias("keys"))
+    classes = found.groupBy("d1", "d2").agg(F.min(place).alias("place"), F.max(place).alias("last"), F.max("keys").alias("keys"))
     classes = classes.withColumn("cid", F.monotonically_increasing_id())
     classes = saved(classes.select("cid", "d1", "d2", "place.doc_id", "place.start", "last", "keys"), "paragraph-classes")
-    banded = classes.where("keys is not null")
+    banded = classes.where("size(keys) > 0")
     keys = banded.select("cid", F.explode("keys").alias("key"))
     texts = lambda cids: _texts(cids, banded, docs, min_words)
     links = linked_in_buckets(
