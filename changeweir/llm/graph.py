@@ -72,18 +72,27 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     rare = saved(rare.select("cid", "root", "n", (F.col("n") - F.col("c")).alias("own"), reach, "e.x", *parities), "bucket-rare")
     shorter = rare.where(F.col("reach") * whole >= F.col("n") * 2 * percent).withColumnRenamed("root", "other")
     # By component first: the members of one never pair up, and a component that can't be reached gives no row.
-    parts = shorter.groupBy("x", "other").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("reach").alias("most"))
+    # Of a component that has one member with x, that member's parities already bound what is shared.
+    sole = {c: F.max(c).alias(f"{c}_s") for c in ["own", *parities]}
+    parts = shorter.groupBy("x", "other").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("reach").alias("most"), F.count("*").alias("members"), *sole.values()
+    )
+    unlike = F.col("own") + F.col("own_s")
+    for p in parities:
+        unlike = unlike + F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_s")))
     met = rare.withColumnRenamed("cid", "b").join(parts, "x").where(
         (F.col("other") != F.col("root"))
         & (F.col("lo") <= F.col("n"))
         & (F.col("hi") * 100 >= F.col("n") * percent)
         & (F.least("reach", "most") * whole >= (F.col("n") + F.col("lo")) * percent)
+        & ((F.col("members") > 1) | ((F.col("n") + F.col("lo") - unlike) * whole >= (F.col("n") + F.col("lo")) * 2 * percent))
     )
     theirs = {"cid": "a", "n": "na", "reach": "reach_a", "own": "own_a"} | {p: f"{p}_a" for p in parities}
     partner = shorter.withColumnsRenamed(theirs)
     differ = F.col("own") + F.col("own_a")
     for p in parities:
         differ = differ + F.bit_count(F.col(p).bitwiseXOR(F.col(f"{p}_a")))
+    met = met.select("b", "root", "n", "own", "reach", "x", *parities, "other")
     pairs = met.join(partner, ["x", "other"]).where(
         ((F.col("na") < F.col("n")) | ((F.col("na") == F.col("n")) & (F.col("a") < F.col("b"))))
         & (F.col("na") * 100 >= F.col("n") * percent)
