@@ -29,6 +29,10 @@ BANDS, ROWS = 14, 3
 MIN_WORDS = 20
 #: A cut between pieces is the least of so many word pairs on either side; pieces at a text's ends with fewer words are left out.
 CUT_WINDOW = 8
+#: The document of rows whose doc_id is null: the first of all.
+NULL_DOC = -(2**63)
+#: Places of the filter for digests that have copies (1 MB, whatever their number).
+PLACES = 8 * MEMBER_BITS
 #: Bytes of texts that are looked at together; each takes some 30 bytes of arrays.
 BLOCK_BYTES = 1 << 20
 
@@ -186,10 +190,6 @@ class Pieces:
         return self.worded.raw[at + self.start[i] : at + self.end[i]]
 
 
-def _lists(values: np.ndarray, sizes: np.ndarray | list[int]) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values))
-
-
 def _parts(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``most`` bytes of text; a longer text is one of its own."""
     for batch in batches:
@@ -226,6 +226,9 @@ def _least(found: Pieces, k: int, minima: Minima, words: int = 8192) -> np.ndarr
     return out
 
 
+_KEYS = [f"k{i}" for i in range(BANDS)]
+
+
 def _banded(k: int, min_words: int):
     """Paragraphs with the keys of their bands, pieces without."""
 
@@ -238,11 +241,10 @@ def _banded(k: int, min_words: int):
             keys = np.zeros((found.n_paragraphs, BANDS), np.uint64) + salts
             for row in range(ROWS):
                 keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS])
-            others = len(found.rows) - found.n_paragraphs
-            sizes = np.concatenate((np.full(found.n_paragraphs, BANDS), np.zeros(others, np.int64)))
+            no_key = pa.nulls(len(found.rows) - found.n_paragraphs, pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(pa.array(found.rows)), "start": found.start,
-                "d1": found.digests[:, 0], "d2": found.digests[:, 1], "keys": _lists(signed(keys).ravel(), sizes),
+                "doc": batch.column("doc").take(pa.array(found.rows)), "d1": found.digests[:, 0], "d2": found.digests[:, 1],
+                **{c: pa.concat_arrays([pa.array(signed(np.ascontiguousarray(keys[:, i]))), no_key]) for i, c in enumerate(_KEYS)},
             })
 
     return run
@@ -257,15 +259,14 @@ def _chosen(min_words: int, docs_bits: bytes, bits: bytes):
             found = Pieces(batch.column("text").to_pylist(), min_words)
             at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (MEMBER_BITS - 1)))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(pa.array(found.rows[at])),
-                "start": found.start[at], "d1": found.digests[at, 0], "d2": found.digests[at, 1],
+                "doc": batch.column("doc").take(pa.array(found.rows[at])), "d1": found.digests[at, 0], "d2": found.digests[at, 1],
                 "text": pa.array([found.raw(i).decode() for i in at], pa.string()),
             })
 
     return run
 
 
-_SHARED = "doc_id long, tid string, start int, end int, n_words int, d1 long, d2 long"
+_SHARED = "doc long, tid long, start int, end int, n_words int, d1 long, d2 long"
 
 
 def _placed(min_words: int, bits: bytes):
@@ -274,10 +275,10 @@ def _placed(min_words: int, bits: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             found = Pieces(batch.column("text").to_pylist(), min_words)
-            at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (MEMBER_BITS - 1)))
+            at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (PLACES - 1)))
             rows = pa.array(found.rows[at])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id").take(rows), "tid": batch.column("tid").take(rows),
+                "doc": batch.column("doc").take(rows), "tid": batch.column("tid").take(rows),
                 **{c: getattr(found, c)[at] for c in ("start", "end", "n_words")},
                 "d1": found.digests[at, 0], "d2": found.digests[at, 1],
             })
@@ -285,6 +286,15 @@ def _placed(min_words: int, bits: bytes):
     return run
 
 
+def copies_in(doc: int, pieces: list[dict]) -> list[dict]:
+    """Those of a document's pieces that are not the first of their cluster."""
+    first: dict[int, int] = {}
+    for p in pieces:
+        if p["first_doc"] == doc:
+            first[p["cluster"]] = min(p["start"], first.get(p["cluster"], p["start"]))
+    return [p for p in pieces if p["start"] != first.get(p["cluster"])]
+
+
 def long_enough(pieces: list[dict], min_words: int) -> list[tuple[int, int]]:
     """Stretches of paragraphs, and of runs of pieces (each next to the one before) of ``min_words`` words or more; merged."""
     found = [(p["start"], p["end"]) for p in pieces if not p["n_words"]]
@@ -330,7 +340,7 @@ def without(raw: bytes, gone: list[tuple[int, int]]) -> tuple[list[int], bytes]:
 
 
 _COLUMNS = (
-    "doc_id long, n_paragraphs long, n_shared_words long, n_removed long, n_removed_words long, "
+    "doc long, n_paragraphs long, n_shared_words long, n_removed long, n_removed_words long, "
     "removed_lines array<int>, copies_of array<long>, kept string"
 )
 _KINDS = {"long": pa.int64(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "string": pa.string()}
@@ -347,20 +357,20 @@ def _finished(min_words: int, bits: bytes | None):
                 batch = batch.filter(pa.array(~maybe_member(bits, batch.column("place").to_numpy())))
             rows = []
             pieces_of = batch.column("pieces").to_pylist() if bits is None else [None] * len(batch)
-            for doc_id, text, pieces in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), pieces_of, strict=True):
+            for doc, text, pieces in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), pieces_of, strict=True):
                 count = len(cut(text, min_words))
                 if not pieces:
-                    rows.append((doc_id, count, 0, 0, 0, [], [], text))
+                    rows.append((doc, count, 0, 0, 0, [], [], text))
                     continue
-                raw, away = text.encode(), [p for p in pieces if p["away"]]
+                raw, away = text.encode(), copies_in(doc, pieces)
                 shared, gone = long_enough([p for p in pieces if p["shared"]], min_words), long_enough(away, min_words)
                 lines, left = without(raw, gone)
                 whole = [p for p in away if not p["n_words"]]
                 inside = lambda p, spans: any(s <= p["start"] and p["end"] <= e for s, e in spans)
                 spans = [(p["start"], p["end"]) for p in whole]
                 of = {p["first_doc"] for p in whole} | {p["first_doc"] for p in away if inside(p, gone) and not inside(p, spans)}
-                copies, n_removed = sorted(of, key=lambda x: (x is None, x)), len(whole)
-                rows.append((doc_id, count, words_in(raw, shared), n_removed, words_in(raw, gone), lines, copies, left.decode()))
+                copies, n_removed = [None if x == NULL_DOC else x for x in sorted(of)], len(whole)
+                rows.append((doc, count, words_in(raw, shared), n_removed, words_in(raw, gone), lines, copies, left.decode()))
             columns = zip(*rows, strict=True) if rows else [[] for _ in _SCHEMA]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _SCHEMA, strict=True)], schema=_SCHEMA)
 
@@ -382,14 +392,13 @@ def _alike(k: int, percent: int):
 
 
 def _texts(cids: DataFrame, classes: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
-    """``cid, text`` of the given classes, read again from their first places."""
-    wanted = saved(classes.join(cids, "cid").select("cid", "d1", "d2", "doc_id", "start"), "paragraph-wanted")
+    """``cid, text`` of the given classes, read again from their first documents."""
+    wanted = saved(classes.join(cids, "cid").select("cid", "d1", "d2", F.col("first").alias("doc")), "paragraph-wanted")
     # Most documents and paragraphs are no candidate's: filters of fixed size drop them before they are cut and dealt out.
     bits = member_bits(wanted.select(F.col("d1").bitwiseAND(MEMBER_BITS - 1).cast("int").alias("p")), "p", MEMBER_BITS)
-    texts = docs.select("doc_id", "text", member_place("doc_id").alias("place"))
-    texts = texts.mapInArrow(_chosen(min_words, member_bits(wanted, "doc_id"), bits), "doc_id long, start int, d1 long, d2 long, text string")
-    same = [texts[c].eqNullSafe(wanted[c]) for c in ("d1", "d2", "doc_id", "start")]
-    found = texts.join(wanted, same[0] & same[1] & same[2] & same[3]).select("cid", texts["text"])
+    texts = docs.select("doc", "text", member_place("doc").alias("place"))
+    texts = texts.mapInArrow(_chosen(min_words, member_bits(wanted, "doc"), bits), "doc long, d1 long, d2 long, text string")
+    found = texts.join(wanted, ["doc", "d1", "d2"]).select("cid", "text")
     return saved(found.dropDuplicates(["cid"]), "paragraph-texts")
 
 
@@ -413,18 +422,20 @@ def _shingled(k: int):
 
 
 def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MIN_WORDS) -> DataFrame:
-    """``d1, d2, doc_id, start, shared``: each class of equal paragraphs or pieces that has a copy anywhere, the first place of its
-    cluster, and whether the cluster stands in several documents.
+    """``d1, d2, cluster, first_doc, shared``: each class of equal paragraphs or pieces of ``docs(doc, text)`` that has a copy anywhere,
+    the first document of its cluster, and whether the cluster stands in several documents.
 
     Buckets are joined by hubs (``linked_in_buckets``): no group is cut off, and none is expanded into all its pairs.
     """
-    found = docs.select("doc_id", "text").mapInArrow(_banded(k, min_words), "doc_id long, start int, d1 long, d2 long, keys array<long>")
-    place = F.struct("doc_id", "start")
-    classes = found.groupBy("d1", "d2").agg(F.min(place).alias("place"), F.max(place).alias("last"), F.max("keys").alias("keys"))
-    classes = classes.withColumn("cid", F.monotonically_increasing_id())
-    classes = saved(classes.select("cid", "d1", "d2", "place.doc_id", "place.start", "last", "keys"), "paragraph-classes")
-    banded = classes.where("size(keys) > 0")
-    keys = banded.select("cid", F.explode("keys").alias("key"))
+    found = docs.select("doc", "text").mapInArrow(_banded(k, min_words), "doc long, d1 long, d2 long, " + ", ".join(f"{c} long" for c in _KEYS))
+    # Numbers only, so that rows meet in hash tables before they are dealt out; equal digests have equal keys.
+    classes = found.groupBy("d1", "d2").agg(
+        F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in _KEYS]
+    )
+    classes = classes.where("k0 is not null or n > 1").withColumn("cid", F.monotonically_increasing_id())
+    classes = saved(classes, "paragraph-classes")
+    banded = classes.where("k0 is not null")
+    keys = banded.select("cid", F.explode(F.array(*_KEYS)).alias("key"))
     texts = lambda cids: _texts(cids, banded, docs, min_words)
     links = linked_in_buckets(
         keys,
@@ -436,12 +447,11 @@ def clusters(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MI
     # A class alone at one place is nobody's copy; most are, and go before the rest is joined.
     roots = components(links, "paragraph-components")
     members = saved(roots.union(roots.select("root", "root")).distinct(), "paragraph-members")
-    named = classes.drop("keys").join(members.withColumnRenamed("node", "cid"), "cid", "left")
-    named = named.where(F.col("root").isNotNull() | (F.struct("doc_id", "start") < F.col("last"))).withColumn("cluster", F.coalesce("root", "cid"))
-    named = saved(named.select("d1", "d2", "cluster", "doc_id", "start", "last"), "paragraph-named")
-    first = named.groupBy("cluster").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("last").alias("last"))
-    shared = ~F.col("first.doc_id").eqNullSafe(F.col("last.doc_id"))
-    return named.select("d1", "d2", "cluster").join(first, "cluster").select("d1", "d2", "first.doc_id", "first.start", shared.alias("shared"))
+    named = classes.drop(*_KEYS).join(members.withColumnRenamed("node", "cid"), "cid", "left")
+    named = named.where("root is not null or n > 1").withColumn("cluster", F.coalesce("root", "cid"))
+    named = saved(named.select("d1", "d2", "cluster", "first", "last"), "paragraph-named")
+    first = named.groupBy("cluster").agg(F.min("first").alias("first_doc"), (F.min("first") < F.max("last")).alias("shared"))
+    return named.select("d1", "d2", "cluster").join(first, "cluster").select("d1", "d2", "cluster", "first_doc", "shared")
 
 
 def without_repeats(docs: DataFrame, k: int = 5, percent: int = 80, min_words: int = MIN_WORDS, with_text: bool = False) -> DataFrame:
@@ -455,29 +465,25 @@ def without_repeats(docs: DataFrame, k: int = 5, percent: int = 80, min_words: i
     kept ones included. ``removed_lines`` are the numbers, from 0, of lines that go whole; ``copies_of`` the distinct doc_ids where
     the kept copies stand, the document's own included.
 
-    Null texts count as empty: no paragraphs, nothing removed. Rows that repeat doc_id and text are one document and
-    each get its row; paragraphs of rows of one doc_id that begin at the same place count as one place. An empty table gives no rows;
-    other columns are ignored. A document's pieces meet again by document: at most those of one text.
+    Null texts count as empty: no paragraphs, nothing removed. Rows of one doc_id each get their row and lose nothing to each other; a
+    null doc_id counts as the least long. An empty table gives no rows; other columns are ignored. A document's pieces meet again by
+    document: at most those of one text.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC))
+    docs = docs.select(doc.alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = saved(clusters(docs, k, percent, min_words), "paragraph-clusters")
     # Places with a copy elsewhere are few; the rest of the work is on those alone.
-    bits = member_bits(found.select(F.col("d1").bitwiseAND(MEMBER_BITS - 1).cast("int").alias("p")), "p", MEMBER_BITS)
-    again = found.withColumnsRenamed({"doc_id": "first_doc", "start": "first_start"})
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.md5(text).alias("tid"))
-    each = rows.mapInArrow(_placed(min_words, bits), _SHARED).distinct()
-    away = ~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("start") == F.col("first_start")))
-    piece = F.struct("start", "end", "n_words", away.alias("away"), "shared", "first_doc")
-    pieces = each.join(again, ["d1", "d2"]).groupBy(F.col("doc_id").alias("d"), F.col("tid").alias("t")).agg(F.collect_list(piece).alias("pieces"))
+    bits = member_bits(found.select(F.col("d1").bitwiseAND(PLACES - 1).cast("int").alias("p")), "p", PLACES)
+    rows = docs.select("doc", "text", F.xxhash64("text").alias("tid"))
+    each = rows.mapInArrow(_placed(min_words, bits), _SHARED).join(found, ["d1", "d2"])
+    piece = F.struct("start", "end", "n_words", "cluster", "first_doc", "shared")
+    pieces = each.groupBy(F.col("doc").alias("d"), F.col("tid").alias("t")).agg(F.collect_set(piece).alias("pieces"))
     pieces = saved(pieces, "paragraph-pieces")
     met_bits = member_bits(pieces, "t")
-    rows = rows.withColumn("place", member_place("tid"))
-    plain = rows.select("doc_id", "text", "place").mapInArrow(_finished(min_words, met_bits), _COLUMNS)
-    met = only_members(rows.select("doc_id", "text", "tid"), met_bits, "tid")
-    met = met.join(pieces, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
-    met = met.select("doc_id", "text", "pieces").mapInArrow(_finished(min_words, None), _COLUMNS)
-    out = plain.union(met)
-    out = out.select(*[c for c in out.columns if c != "kept"], F.sha2("kept", 256).alias("kept_sha256"), "kept")
-    return out if with_text else out.drop("kept")
+    plain = rows.withColumn("place", member_place("tid")).mapInArrow(_finished(min_words, met_bits), _COLUMNS)
+    met = only_members(rows, met_bits, "tid").join(pieces, (F.col("tid") == F.col("t")) & (F.col("doc") == F.col("d")), "left")
+    met = met.select("doc", "text", "pieces").mapInArrow(_finished(min_words, None), _COLUMNS)
+    out = plain.union(met).withColumn("doc_id", F.nullif("doc", F.lit(NULL_DOC))).withColumn("kept_sha256", F.sha2("kept", 256))
+    counts = ["n_paragraphs", "n_shared_words", "n_removed", "n_removed_words", "removed_lines", "copies_of"]
+    return out.select("doc_id", *counts, "kept_sha256", *["kept"] * with_text)
