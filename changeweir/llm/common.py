@@ -13,6 +13,10 @@ from changeweir.session import scratch_folder
 CACHED_WORDS = 300_000
 #: Bits of a membership filter: 128 KB, whatever the number of keys.
 MEMBER_BITS = 1 << 20
+#: Most positions of a filter that is sized by the number of its keys.
+MOST_BITS = 1 << 27
+#: Each byte with its bits in the other order.
+_TURNED = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"), axis=1).ravel()
 #: Rows and bytes of a batch that Python workers get: what a task holds beside its own state.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 * 1024 * 1024
 
@@ -93,18 +97,25 @@ class Minima:
 
 
 def member_bits(keys: DataFrame, column: str, places_of: int | None = None) -> bytes:
-    """A fixed-size filter over a column's values: at most ``MEMBER_BITS`` positions reach the driver.
+    """A filter over a column's values: ``MEMBER_BITS`` positions, an eighth as many bytes, reach the driver.
 
-    With ``places_of``, the column holds positions below that number already.
+    With ``places_of`` (a power of two from 2^15 on), the column holds positions below that number already.
 
     A value that is in the column always passes; with many keys more others pass too, which
     costs work further on and changes no result.
     """
     place = F.col(column) if places_of else member_place(column)
-    places = keys.select(place.alias("p")).distinct()
-    bits = np.zeros(places_of or MEMBER_BITS, bool)
-    bits[places.toArrow()["p"].to_numpy()] = True
-    return np.packbits(bits).tobytes()
+    one = (place + F.lit(1)).cast("long")  # Spark's buckets of 32,768 positions count from 1
+    buckets = keys.groupBy(F.bitmap_bucket_number(one).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(one)).alias("bits"))
+    out = np.zeros((max(1, (places_of or MEMBER_BITS) >> 15), 1 << 12), np.uint8)
+    for row in buckets.toLocalIterator():
+        out[row["b"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return _TURNED[out].tobytes()
+
+
+def places_for(count: int) -> int:
+    """Positions of a filter for so many keys: a sixteenth is taken, up to ``MOST_BITS`` positions (16 MB)."""
+    return min(MOST_BITS, max(MEMBER_BITS, 1 << (16 * max(1, count) - 1).bit_length()))
 
 
 def maybe_member(bits: bytes, places: np.ndarray) -> np.ndarray:

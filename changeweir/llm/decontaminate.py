@@ -13,12 +13,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from changeweir.llm.common import small_batches
 
 
-#: Bytes of benchmark text that one automaton may hold on each executor; checked before anything is broadcast.
-MAX_ITEM_BYTES = 64 * 1024 * 1024
+#: Bytes of benchmark text of one automaton (some 100 MB in each Python worker). A larger benchmark is split by item into parts, whose
+#: automata the documents go through one after another.
+PART_BYTES = 1024 * 1024
 
 #: Bytes that are not part of words (A-Z are lower-cased before), as blanks.
 _KEPT = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
@@ -155,26 +157,70 @@ class Benchmark:
         return spans, found
 
 
-def load_items(benchmark: DataFrame) -> list[tuple[object, str | None]]:
-    """The benchmark's rows, after a check of their size; a benchmark beyond the bound is refused, not cut."""
+def item_parts(benchmark: DataFrame, part_bytes: int | None = None) -> Iterator[list[tuple[object, str | None]]]:
+    """The benchmark's rows in parts of about ``part_bytes``, dealt by hash; one part is collected at a time by who iterates."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_ITEM_BYTES:
-        raise ValueError(f"benchmark of {size} bytes; split it by item into parts of {MAX_ITEM_BYTES}")
-    return [(r[0], r[1]) for r in benchmark.select("item_id", "text").collect()]
+    count = max(1, -(-size // (part_bytes or PART_BYTES)))
+    part = F.pmod(F.xxhash64(F.col("item_id").cast("string"), "text"), F.lit(count))
+    rows = benchmark.select("item_id", "text", part.alias("part"))
+    for k in range(count):
+        yield [(r[0], r[1]) for r in rows.where(F.col("part") == k).select("item_id", "text").collect()]
 
 
-def _shared(docs: DataFrame, benchmark: DataFrame, window: int):
-    """The built automaton is made once in each worker from the broadcast items."""
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
+_SPANS = ArrayType(StructType([StructField("s", IntegerType()), StructField("e", IntegerType())]))
+
+
+def _hits(shared, built: list[Benchmark], batch: pd.DataFrame) -> Iterator[tuple[list[tuple[int, int]], list[str]]]:
+    """(runs of hit words, ids of items that occur, null ids left out) of each row, with those that the row brings along."""
+    if not built:  # once in each worker, from broadcast items
+        built.append(Benchmark(*shared.value))
+    known = "_cw_spans" in batch
+    for i, text in enumerate(batch["text"]):
+        spans, found = built[0].hits(item_words(text))
+        names = {str(x) for x in found if x is not None}
+        if known and batch["_cw_spans"].iloc[i] is not None:
+            spans = merged([(x["s"], x["e"]) for x in batch["_cw_spans"].iloc[i]] + spans)
+            names.update(batch["_cw_items"].iloc[i])
+        yield spans, sorted(names)
+
+
+def through_parts(docs: DataFrame, benchmark: DataFrame, window: int, last, schema) -> DataFrame:
+    """``last(hits)``, a function on batches, over ``docs``; ``hits`` gives a batch's hits with all of the benchmark.
+
+    Nothing is shuffled. A benchmark of several parts costs as many passes over the documents' words, each with the runs that the
+    ones before it have found, and never more memory than its automata one by one in a worker of each.
+    """
     small_batches(docs.sparkSession)
-    items = docs.sparkSession.sparkContext.broadcast((load_items(benchmark), window))
-    built: list[Benchmark] = []
+    context = docs.sparkSession.sparkContext
+    *before, end = [context.broadcast((items, window)) for items in item_parts(benchmark)]
+    fields = StructType([*docs.schema.fields, StructField("_cw_spans", _SPANS), StructField("_cw_items", ArrayType(StringType()))])
+
+    def one_part(shared):
+        built: list[Benchmark] = []
 
-    def get() -> Benchmark:
-        if not built:
-            built.append(Benchmark(*items.value))
-        return built[0]
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = list(_hits(shared, built, batch))
+                batch["_cw_spans"] = [[{"s": s, "e": e} for s, e in spans] for spans, _ in found]
+                batch["_cw_items"] = [items for _, items in found]
+                yield batch
 
-    return get
+        return run
+
+    for shared in before:
+        docs = docs.mapInPandas(one_part(shared), fields)
+    built: list[Benchmark] = []
+    return docs.mapInPandas(last(lambda batch: _hits(end, built, batch)), schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -183,25 +229,23 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame
     Null and empty texts have no words and no hits; repeated rows each get their row; item ids that repeat count once,
     null item ids not at all (their windows still mark words). An empty benchmark hits nothing.
     """
-    get = _shared(docs, benchmark, window)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = get()
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                words = item_words(text)
-                spans, found = b.hits(words)
-                names = sorted(str(x) for x in found if x is not None)
-                digest = hashlib.sha256(",".join(names).encode()).hexdigest()
-                hit = sum(e - s for s, e in spans)
-                rows.append((doc_id, len(words), hit, len(names), digest, hit > 0))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+
+    def last(hits):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = []
+                for doc_id, text, (spans, items) in zip(batch["doc_id"], batch["text"], hits(batch), strict=True):
+                    digest = hashlib.sha256(",".join(items).encode()).hexdigest()
+                    hit = sum(e - s for s, e in spans)
+                    rows.append((doc_id, len(item_words(text)), hit, len(items), digest, hit > 0))
+                out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+                out["doc_id"] = out["doc_id"].astype("Int64")
+                yield out
+
+        return run
 
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return through_parts(docs.select("doc_id", "text"), benchmark, window, last, schema)
 
 
 def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
@@ -223,30 +267,27 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverag
 
     All columns stay; ``n_chars`` follows the cut text where there is such a column. Null texts stay as they are.
     """
-    get = _shared(docs, benchmark, window)
     columns = docs.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = get()
-        for batch in batches:
-            keep = np.ones(len(batch), bool)
-            texts = batch["text"].tolist()
-            sizes = batch["_cw_len"].tolist()
-            for i, text in enumerate(texts):
-                words = item_words(text)
-                spans, _found = b.hits(words)
-                if spans:
-                    keep[i] = sum(e - s for s, e in spans) <= max_coverage * len(words)
-                    texts[i] = cut_text(text, spans)
-                    sizes[i] = len(texts[i])
-            batch["text"], batch["_cw_len"] = texts, pd.array(sizes, dtype="Int64")
-            yield batch[keep]
+    def last(hits):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                keep = np.ones(len(batch), bool)
+                found = list(hits(batch))
+                texts, sizes = batch["text"].tolist(), batch["_cw_len"].tolist()
+                for i, (spans, _) in enumerate(found):
+                    if spans:
+                        keep[i] = sum(e - s for s, e in spans) <= max_coverage * len(item_words(texts[i]))
+                        texts[i] = cut_text(texts[i], spans)
+                        sizes[i] = len(texts[i])
+                batch["text"], batch["_cw_len"] = texts, pd.array(sizes, dtype="Int64")
+                yield batch[keep].drop(columns=["_cw_spans", "_cw_items"], errors="ignore")
+
+        return run
 
     size = F.col("n_chars").cast("long") if "n_chars" in columns else F.lit(None).cast("long")
-    out = docs.withColumn("_cw_len", size)
-    out = out.mapInPandas(run, out.schema)
+    sized = docs.withColumn("_cw_len", size)
+    out = through_parts(sized, benchmark, window, last, sized.schema)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.col("_cw_len").cast(docs.schema["n_chars"].dataType))
     return out.select(*columns)
-
-

@@ -95,17 +95,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> Classifier | None:
-    """Fits on at most ``per_language`` labelled documents of each language that are not held out, picked by hash of doc_id.
+    """Fits on at most ``per_language`` labelled documents of each language that are not held out, picked by hash of doc_id and text.
 
     The driver gets 4 KB a picked document, whatever its length. None if there is nothing to learn from.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = usable.select("doc_id", "lang").withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_language)
-    picked = picked.select("doc_id").distinct().toArrow()["doc_id"].to_pylist()
+    # Equal rows are one; each task cuts its own rows to as many a language before they are ranked.
+    usable = usable.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    picked = usable.select("lang", "h").distinct().withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_language)
+    picked = [r.h for r in picked.select("h").distinct().collect()]
     if not picked:
         return None
-    rows = usable.where(F.col("doc_id").isin(picked)).select("lang", "text").mapInPandas(_features, "lang string, bits binary")
+    rows = usable.where(F.col("h").isin(picked)).dropDuplicates(["lang", "h"]).select("lang", "text").mapInPandas(_features, "lang string, bits binary")
     rows = sorted((r.lang, r.bits) for r in rows.collect())
     flags = np.unpackbits(np.frombuffer(b"".join(b for _, b in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(bool)
     lettered = flags.any(axis=1)

@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import MEMBER_BITS, maybe_member, member_bits, mixed, only_members, saved, signed, small_batches
+from changeweir.llm.common import maybe_member, member_bits, mixed, only_members, places_for, saved, signed, small_batches
 
 GRAM = 32
 #: Groups of more different texts than this are counted string by string in Spark instead of in one suffix array.
@@ -140,28 +141,38 @@ def _place_of(tid: bytes, first: np.ndarray) -> np.ndarray:
     return signed(mixed(np.uint64(int.from_bytes(tid[:8], "little")) ^ mixed(first.astype(np.uint64) + np.uint64(1))))
 
 
-def _anchored(length: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _grams(length: int):
+    """The gram hash of every anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [anchors(text.encode(), length)[0] for text in batch.column("text").to_pylist() if len(text) * 4 >= length]
+            yield pa.RecordBatch.from_pydict({"gram": signed(np.concatenate([np.empty(0, np.uint64), *found]))})
+
+    return run
+
+
+def _anchored(length: int, bits: bytes, n_bits: int):
+    """Anchors whose gram may be among the filter's."""
+    types = {
+        "doc_id": pa.int64(), "tid": pa.binary(), "gram": pa.int64(), "chunk": pa.binary(), "first": pa.int32(), "end": pa.int32(), "rid": pa.int64()
+    }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part, out = batch.iloc[at : at + 500], []
-                for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                    raw = text.encode()
-                    gram, first, end = anchors(raw, length)
-                    if not len(first):
-                        continue
-                    tid = hashlib.md5(raw, usedforsecurity=False).digest()
-                    digests = [xxhash.xxh3_128_digest(raw[s : e + length - 1]) for s, e in zip(first.tolist(), end.tolist(), strict=True)]
-                    n = len(first)
-                    out.append((np.full(n, -1 if pd.isna(doc_id) else doc_id), np.full(n, pd.isna(doc_id)), [tid] * n, signed(gram), digests, first, end, _place_of(tid, first)))
-                if out:
-                    cols = list(zip(*out, strict=True))
-                    ids = pd.Series(np.concatenate(cols[0]), dtype="Int64").mask(np.concatenate(cols[1]))
-                    yield pd.DataFrame({
-                        "doc_id": ids, "tid": [x for c in cols[2] for x in c], "gram": np.concatenate(cols[3]),
-                        "chunk": [x for c in cols[4] for x in c], "first": np.concatenate(cols[5]),
-                        "end": np.concatenate(cols[6]), "rid": np.concatenate(cols[7]),
-                    })
+            out: list[list] = [[] for _ in types]
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                raw = text.encode()
+                gram, first, end = anchors(raw, length)
+                at = np.flatnonzero(maybe_member(bits, signed(gram) & (n_bits - 1)))
+                if not len(at):
+                    continue
+                tid = hashlib.md5(raw, usedforsecurity=False).digest()
+                rid = _place_of(tid, first)
+                chunks = [xxhash.xxh3_128_digest(raw[s : e + length - 1]) for s, e in zip(first[at].tolist(), end[at].tolist(), strict=True)]
+                for column, values in zip(out, ([doc_id] * len(at), [tid] * len(at), signed(gram)[at].tolist(), chunks, first[at].tolist(), end[at].tolist(), rid[at].tolist()), strict=True):
+                    column += values
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, t), v in zip(types.items(), out, strict=True)})
 
     return run
 
@@ -260,8 +271,13 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     (nulls first), text digest, position. Runs may touch or overlap. Rows with the same doc_id and text have the same order.
     """
     docs = docs.select("doc_id", "text").where("text is not null")
+    # Most grams stand at one place in the corpus. They are counted as bare numbers and go before anything is written or dealt out.
+    again = docs.select("text").mapInArrow(_grams(length), "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    again = saved(again.select("gram"), "lpf-grams")
+    n_bits = places_for(again.count())
+    bits = member_bits(again.select(F.expr(f"cast(gram & {n_bits - 1} as int)").alias("p")), "p", n_bits)
     schema = "doc_id long, tid binary, gram long, chunk binary, first int, end int, rid long"
-    found = saved(docs.mapInPandas(_anchored(length), schema), "lpf-anchors")
+    found = saved(docs.mapInArrow(_anchored(length, bits, n_bits), schema), "lpf-anchors")
     chunks = found.groupBy("gram", "chunk").agg(
         F.count("*").alias("n"),
         F.min(F.struct("doc_id", "tid", "first", "rid", F.col("end").alias("end"))).alias("ref"),
@@ -272,7 +288,7 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
 
     # Texts of the groups with different texts: one copy of each.
     mixed_up = shared.where("texts > 1").select("gram", "chunk", "texts", "ref", F.col("ref.rid").alias("rid"))
-    n_bits = MEMBER_BITS * 8
+    n_bits = places_for(mixed_up.count())
     bits = member_bits(mixed_up.select(F.expr(f"cast(rid & {n_bits - 1} as int)").alias("p")), "p", n_bits)
     content = docs.select("text").mapInPandas(_contents(length, bits, n_bits), "rid long, content binary")
     texts = saved(mixed_up.join(content.dropDuplicates(["rid"]), "rid").drop("rid"), "lpf-texts")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, only_members, saved, shingles, signed, small_batches
+from changeweir.llm.common import MEMBER_BITS, Minima, Words, lower_words, maybe_member, member_bits, member_place, mixed, only_members, places_for, saved, shingles, signed, small_batches
 from changeweir.llm.graph import components, linked_in_buckets
 
 BANDS, ROWS = 14, 3
@@ -31,8 +31,6 @@ MIN_WORDS = 20
 CUT_WINDOW = 8
 #: The document of rows whose doc_id is null: the first of all.
 NULL_DOC = -(2**63)
-#: Places of the filter for digests that have copies (1 MB, whatever their number).
-PLACES = 8 * MEMBER_BITS
 #: Bytes of texts that are looked at together; each takes some 30 bytes of arrays.
 BLOCK_BYTES = 1 << 20
 
@@ -269,13 +267,13 @@ def _chosen(min_words: int, docs_bits: bytes, bits: bytes):
 _SHARED = "doc long, tid long, start int, end int, n_words int, d1 long, d2 long"
 
 
-def _placed(min_words: int, bits: bytes):
+def _placed(min_words: int, bits: bytes, n_bits: int):
     """Places of paragraphs and pieces whose digest may be among the filter's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             found = Pieces(batch.column("text").to_pylist(), min_words)
-            at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (PLACES - 1)))
+            at = np.flatnonzero(maybe_member(bits, found.digests[:, 0] & (n_bits - 1)))
             rows = pa.array(found.rows[at])
             yield pa.RecordBatch.from_pydict({
                 "doc": batch.column("doc").take(rows), "tid": batch.column("tid").take(rows),
@@ -474,9 +472,10 @@ def without_repeats(docs: DataFrame, k: int = 5, percent: int = 80, min_words: i
     docs = docs.select(doc.alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = saved(clusters(docs, k, percent, min_words), "paragraph-clusters")
     # Places with a copy elsewhere are few; the rest of the work is on those alone.
-    bits = member_bits(found.select(F.col("d1").bitwiseAND(PLACES - 1).cast("int").alias("p")), "p", PLACES)
+    n_bits = places_for(found.count())
+    bits = member_bits(found.select(F.col("d1").bitwiseAND(n_bits - 1).cast("int").alias("p")), "p", n_bits)
     rows = docs.select("doc", "text", F.xxhash64("text").alias("tid"))
-    each = rows.mapInArrow(_placed(min_words, bits), _SHARED).join(found, ["d1", "d2"])
+    each = rows.mapInArrow(_placed(min_words, bits, n_bits), _SHARED).join(found, ["d1", "d2"])
     piece = F.struct("start", "end", "n_words", "cluster", "first_doc", "shared")
     pieces = each.groupBy(F.col("doc").alias("d"), F.col("tid").alias("t")).agg(F.collect_set(piece).alias("pieces"))
     pieces = saved(pieces, "paragraph-pieces")

@@ -414,3 +414,60 @@ def test_prefix_pairs_lose_no_link(spark, percent):
     assert wanted and wanted <= found
     root = {cid: r for cid, r, _ in sets}
     assert all(root[a] != root[b] for a, b in found)
+
+
+def test_benchmark_of_many_parts(spark, docs, rows, monkeypatch):
+    """A benchmark that is split gives the rows of one automaton, cut texts too."""
+    items = [(i, prose(random.Random(i).randrange(1, 40))) for i in range(40)] + [(50, LINE), (51, BASE), (None, prose(12)), (50, LINE)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = [rows(decontaminate.report(docs, benchmark)), rows(decontaminate.cleaned(docs, benchmark))]
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 800)
+    assert len(list(decontaminate.item_parts(benchmark))) > 4
+    assert [rows(decontaminate.report(docs, benchmark)), rows(decontaminate.cleaned(docs, benchmark))] == got
+    assert any(r[-1] for r in got[0])
+
+
+def test_training_takes_rows_not_ids(spark):
+    """20,000 rows of one id are no more than the bound of rows that the driver gets."""
+    many = spark.range(20_000).select(F.lit(1).alias("doc_id"), F.concat(F.lit("the quick fox "), "id").alias("text"), F.lit("en").alias("lang"))
+    few = spark.createDataFrame([(1, "der schnelle Fuchs", "de")] * 50, "doc_id int, text string, lang string")
+    seen = []
+    fit = language.Classifier.fit
+    try:
+        language.Classifier.fit = classmethod(lambda cls, flags, langs: seen.append(langs) or fit(flags, langs))
+        assert language.train(many.union(few), per_language=40) is not None
+    finally:
+        language.Classifier.fit = fit
+    assert sorted(set(seen[0])) == ["de", "en"] and seen[0].count("en") == 40 and seen[0].count("de") == 1
+
+
+def test_shared_passages_are_found_and_clean_documents_left(spark):
+    """Against all windows of 51 words of sf0.01: who shares one is told so, who shares not even 12 words isn't, and what is left
+    shares far fewer."""
+    documents = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+
+    def sharing(of, width):
+        count = Counter()
+        windows = {i: {tuple(w[k : k + width]) for w in [lower(t).split()] for k in range(len(w) - width + 1)} for i, t in of.items()}
+        for one in windows.values():
+            count.update(one)
+        return {i for i, one in windows.items() if any(count[x] > 1 for x in one)}
+
+    result = paragraphs.without_repeats(documents, with_text=True).collect()
+    holders, loosely = sharing(texts, 51), sharing(texts, 12)
+    told = {r.doc_id for r in result if r.n_shared_words}
+    assert len(holders & told) >= 0.95 * len(holders)
+    assert not told - loosely
+    assert len(sharing({r.doc_id: r.kept for r in result}, 51)) <= 0.05 * len(holders)
+
+
+def test_large_groups_of_strings(spark):
+    """A passage of more different texts than one suffix array takes: counted string by string, with the same result."""
+    passage = "".join(chr(97 + (i * i + 3 * i) % 23) for i in range(460))
+    rows = [(i, f"{i:03d}" * 20 + passage + f"{i * 7:04d}" * 30) for i in range(lpf.GROUP_TEXTS + 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lpf.without_repeats(df).collect()}
+    for i, text in rows:
+        assert (got[i].n_removed, got[i].n_spans) == (460, 1), i
+        assert got[i].kept_sha256 == hashlib.sha256(text.replace(passage, "").encode()).hexdigest()
