@@ -83,23 +83,38 @@ def _anchors_of_piece(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def ranks_by_prefix(codes: np.ndarray, length: int) -> np.ndarray:
-    """Ranks of all suffixes by their first ``length`` symbols (from 1), by prefix doubling; the end sorts first."""
+    """Ranks of all suffixes by their first ``length`` symbols (from 1), by prefix doubling; the end sorts first.
 
-    def ranked(key: np.ndarray) -> np.ndarray:
+    A rank is the number of the first place in suffix order that its prefix has, so a round needs to look only at those suffixes
+    that still share theirs. The first round takes as many symbols as one number holds.
+    """
+    n = len(codes)
+    if not n:
+        return np.empty(0, np.int64)
+    bits = int(codes.max() + 1).bit_length()
+    have = max(1, min(63 // bits, length))
+    padded = np.concatenate((codes + 1, np.zeros(have, np.int64)))
+    key = np.zeros(n, np.int64)
+    for j in range(have):
+        key = key << bits | padded[j : j + n]
+    rank, todo = np.ones(n, np.int64), np.arange(n)
+    while True:
         order = np.argsort(key)
-        ordered = key[order]
-        rank = np.empty(len(key), np.int64)
-        rank[order] = np.cumsum(np.concatenate(([1], ordered[1:] != ordered[:-1])))
-        return rank
-
-    n, have = len(codes), 1
-    rank = ranked(codes)
-    while have < length and (not n or rank.max() < n):
+        todo, key = todo[order], key[order]
+        old = rank[todo]
+        new_group = np.concatenate(([True], key[1:] != key[:-1]))
+        old_group = np.concatenate(([True], old[1:] != old[:-1]))
+        place = np.arange(len(todo))
+        start = np.maximum.accumulate(np.where(new_group, place, 0))
+        rank[todo] = old + start - np.maximum.accumulate(np.where(old_group, place, 0))
+        sizes = np.diff(np.append(np.flatnonzero(new_group), len(todo)))
+        todo = todo[np.repeat(sizes > 1, sizes)]
+        if have >= length or not len(todo):
+            return rank
         step = min(have, length - have)  # the last step may overlap what is ranked already
-        key = rank * (n + 1)
-        key[: max(n - step, 0)] += rank[step:]
-        rank, have = ranked(key), have + step
-    return rank
+        have += step
+        behind = todo + step
+        key = rank[todo] * (n + 1) + np.where(behind < n, rank[np.minimum(behind, n - 1)], 0)
 
 
 def previous_smaller(order: np.ndarray) -> np.ndarray:
