@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,15 +69,15 @@ def typed(spec: TableSpec) -> list[Column]:
     return [F.col(f"_t_{f.name}").try_cast(f.dataType).alias(f.name) for f in spec.schema.fields]
 
 
-def faults(data: Column, spec: TableSpec, columns: Sequence[str]) -> Column:
-    """Reasons a parsed row image cannot be stored, looking at ``columns``; empty when it can."""
+def faults(data: Column, spec: TableSpec, columns: Sequence[str], excused: Collection[str] = ()) -> Column:
+    """Reasons a parsed row image cannot be stored, looking at ``columns``; empty when it can. ``excused`` ones may be missing."""
     corrupt = F.col(f"_t_{CORRUPT}")
     reasons = [F.when(data.isNull() | corrupt.isNotNull(), F.lit("not json"))]
     for f in spec.schema.fields:
         if f.name not in columns:
             continue
         text = F.col(f"_t_{f.name}")
-        if f.name in spec.required:
+        if f.name in spec.required and f.name not in excused:
             reasons.append(F.when(data.isNotNull() & corrupt.isNull() & text.isNull(), F.lit(f"missing {f.name}")))
         if f.dataType.simpleString() != "string":
             bad = corrupt.isNull() & text.isNotNull() & text.try_cast(f.dataType).isNull()

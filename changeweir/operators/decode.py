@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeweir.functions import changes as fch
-from changeweir.operators.ordering import HOT_ROWS, number_in_group
+from changeweir.operators.ordering import PARTS, number_in_group
 from changeweir.schemas import TableSpec
 
 
@@ -56,17 +56,19 @@ def from_envelopes(messages: DataFrame) -> DataFrame:
 def envelope_records(messages: DataFrame) -> DataFrame:
     """Topic messages as change records; a delete carries its old image as the row.
 
-    The table is the last part of the topic's name; offset order stands for commit order.
+    The table is the last part of the topic's name. Messages are ordered by time, then partition, then offset (``seq``
+    holds the latter two: a partition has fewer than 2^40 messages). A message without an image, and one that is no
+    JSON at all, keeps its text as ``data``, so it can be set aside with its reason.
     """
-    opened = from_envelopes(messages)
+    opened = from_envelopes(messages.withColumn("_text", F.col("value").cast("string")))
     return opened.select(
         F.element_at(F.split("topic", r"\."), -1).alias("table_name"),
         # An op that is not known is set aside later; only a missing type means insert.
         F.coalesce(fch.mod_type_of_op(F.col("op")), F.lit("unknown op")).alias("mod_type"),
-        F.coalesce("after", "before").alias("data"),
+        F.coalesce("after", "before", "_text").alias("data"),
         F.col("before").alias("old_data"),
         F.col("timestamp").cast("timestamp_ntz").alias("commit_ts"),
-        F.col("offset").alias("seq"),
+        (F.shiftleft(F.col("partition").cast("bigint"), 40) + F.col("offset")).alias("seq"),
     )
 
 
@@ -86,39 +88,43 @@ def default_times(rows: DataFrame, columns: tuple[str, ...] = ("created_at", "up
 
 
 def insert_defaults(rows: DataFrame, spec: TableSpec, now: Column) -> DataFrame:
-    """Declared defaults for columns an insert left out; ``now`` is fixed per batch."""
+    """Declared defaults for columns an insert left out; ``now`` is the same for a row however often it is read."""
+    return rows.withColumns({c: F.coalesce(F.col(c), default_of(spec, c, now)) for c in spec.defaults})
+
+
+def default_of(spec: TableSpec, column: str, now: Column) -> Column:
     values = {"now": now.cast("timestamp_ntz"), "today": now.cast("date")}
-    return rows.withColumns(
-        {
-            c: F.coalesce(F.col(c), values[d] if d in values else F.expr(d))
-            for c, d in spec.defaults.items()
-        }
-    )
+    declared = spec.defaults[column]
+    return values[declared] if declared in values else F.expr(declared)
 
 
 def decode_table(records: DataFrame, spec: TableSpec) -> DataFrame:
     """Records of one table as typed rows with ``mod_type, commit_ts, seq, data`` and ``reason``.
 
     ``reason`` is empty for good rows. Columns not declared are dropped, missing
-    ones are NULL. A delete needs its key only. ``mod_type`` comes in any source's spelling and
-    leaves as INSERT, UPDATE or DELETE; a missing one is an INSERT.
+    ones are NULL, but for an insert's: those get their declared defaults, times as of the commit. A delete
+    needs its key only. ``mod_type`` comes in any source's spelling and leaves as INSERT, UPDATE or DELETE; a missing
+    one is an INSERT.
     """
     records = records.withColumn("mod_type", fch.mod_type(F.col("mod_type")))
     opened = records.select("mod_type", "commit_ts", "seq", "data", fch.parsed(F.col("data"), spec))
     whole = fch.faults(F.col("data"), spec, spec.columns)
     key_only = fch.faults(F.col("data"), spec, spec.key)
-    known_type = F.when(F.col("mod_type").isNull(), F.lit("unknown mod type"))
-    reason = F.when(F.col("mod_type") == "DELETE", key_only).otherwise(whole)
-    return default_times(
-        opened.select(
-            "mod_type",
-            "commit_ts",
-            "seq",
-            *fch.typed(spec),
-            "data",
-            F.concat_ws("; ", known_type, F.when(reason != "", reason)).alias("reason"),
-        )
+    of_insert = fch.faults(F.col("data"), spec, spec.columns, spec.defaults)
+    kind = F.col("mod_type")
+    known_type = F.when(kind.isNull(), F.lit("unknown mod type"))
+    reason = F.when(kind == "DELETE", key_only).when(kind == "INSERT", of_insert).otherwise(whole)
+    rows = opened.select(
+        "mod_type",
+        "commit_ts",
+        "seq",
+        *fch.typed(spec),
+        "data",
+        F.concat_ws("; ", known_type, F.when(reason != "", reason)).alias("reason"),
     )
+    now = F.col("commit_ts")
+    filled = {c: F.when(kind == "INSERT", F.coalesce(c, default_of(spec, c, now))).otherwise(F.col(c)) for c in spec.defaults}
+    return default_times(rows.withColumns(filled))
 
 
 def decode_all(records: DataFrame, specs: Mapping[str, TableSpec]) -> dict[str, DataFrame]:
@@ -142,16 +148,14 @@ def rejected(records: DataFrame, decoded: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_images(changes: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
+def row_images(changes: DataFrame, spec: TableSpec, parts: int = PARTS) -> DataFrame:
     """Each change with its row before and after it, in commit order per key.
 
     The row after a delete is NULL, and so is the row before whatever follows one.
     """
     after = F.when(F.col("mod_type") != "DELETE", F.struct(*spec.columns))
     rows = changes.select(*spec.key, "mod_type", "commit_ts", "seq", after.alias("after"))
-    return number_in_group(
-        rows, spec.key[0], ["commit_ts", "seq"], previous={"before": "after"}, hot_rows=hot_rows
-    )
+    return number_in_group(rows, spec.key, ["commit_ts", "seq"], previous={"before": "after"}, parts=parts)
 
 
 def audit_diff(images: DataFrame, spec: TableSpec) -> DataFrame:

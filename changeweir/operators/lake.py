@@ -294,6 +294,11 @@ class LakeTable:
         newer = F.col("_old_version").isNull() | (F.struct("_commit_ts", "_seq") > F.col("_old_version"))
         return incoming.join(renamed, same, "left").filter(newer).select(*self.stored.fieldNames(), BEFORE)
 
+    def mark(self, batch_id: str) -> Commit:
+        """A commit without rows: the id is all that it notes."""
+        parent = self.create().latest()
+        return parent if parent.batch_id == batch_id else self._publish(parent, batch_id, "mark", parent.layers, {})
+
     def put(self, rows: DataFrame, batch_id: str, seq: int) -> Commit:
         """Replace rows by key without comparing: for tables this program computes itself.
 
@@ -500,19 +505,20 @@ def read_glob(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFr
 
 
 def iceberg_merge_sql(target: str, source: str, key: Sequence[str], columns: Sequence[str]) -> str:
-    """The same upsert as one MERGE, for an Iceberg table; ``source`` is newest-per-key with ``_op`` and ``_seq``.
+    """The same upsert as one MERGE, for an Iceberg table; ``source`` is newest-per-key with ``_op, _commit_ts, _seq``.
 
-    Needs a session with an Iceberg catalog; none is at hand here, so it is not run in tests.
+    The target keeps those columns too, deleted rows as tombstones, so a late change is held against the version that is
+    stored and neither overwrites a newer row nor revives a deleted one. Needs a session with an Iceberg catalog; none is at hand here, so it is not run in tests.
     """
     on = " AND ".join(f"t.{k} = s.{k}" for k in key)
-    sets = ", ".join(f"t.{c} = s.{c}" for c in columns if c not in key)
-    names = ", ".join(columns)
-    values = ", ".join(f"s.{c}" for c in columns)
+    stored = [*columns, *META]
+    sets = ", ".join(f"t.{c} = s.{c}" for c in stored if c not in key)
+    names, values = ", ".join(stored), ", ".join(f"s.{c}" for c in stored)
+    newer = "(s._commit_ts > t._commit_ts OR (s._commit_ts = t._commit_ts AND s._seq > t._seq))"
     return (
         f"MERGE INTO {target} t USING {source} s ON {on}\n"
-        f"WHEN MATCHED AND s._op = 'DELETE' THEN DELETE\n"
-        f"WHEN MATCHED THEN UPDATE SET {sets}\n"
-        f"WHEN NOT MATCHED AND s._op <> 'DELETE' THEN INSERT ({names}) VALUES ({values})"
+        f"WHEN MATCHED AND {newer} THEN UPDATE SET {sets}\n"
+        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
     )
 
 

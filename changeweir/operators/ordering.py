@@ -1,11 +1,10 @@
 """Ranks and in-group order that no single task has to hold.
 
 A window without PARTITION BY puts the whole frame into one task, and a window
-partitioned by a hot key puts that key's rows into one task. Small frames (size
-checked through the plan) use the plain window. Beyond that
+partitioned by a hot key puts that key's rows into one task. So, whatever the size,
 
 * whole-set ranks are computed over distinct values, cut into value ranges, and
-* groups of more than ``hot_rows`` rows are cut along their order column,
+* groups that hold more than one ``parts``-th of the rows are cut along their order column,
 
 with the rows before each range added from a table of range totals.
 """
@@ -20,16 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from changeweir.session import ONE_TASK_BYTES, plan_bytes
-
-#: A group above this many rows is split. At most rows / HOT_ROWS keys are hot.
-HOT_ROWS = 5_000_000
-#: Ranges a split is cut into; also the number of cut points kept on the driver.
-MAX_SLICES = 256
-
-
-def _slices_for(df: DataFrame) -> int:
-    return max(1, min(MAX_SLICES, -(-plan_bytes(df) // ONE_TASK_BYTES)))
+#: Ranges that values, and the rows of a large group, are cut into; a group is large above this share of all rows.
+PARTS = 64
 
 
 def _literal(value, data_type) -> Column:
@@ -60,7 +51,7 @@ def _counted_before(df: DataFrame, value: str, descending: bool, slices: int) ->
         freq.groupBy("_slice")
         .agg(F.sum("_n").alias("_rows"))
         .select("_slice", F.coalesce(F.sum("_rows").over(by_slice), F.lit(0)).alias("_offset"))
-    )  # at most MAX_SLICES + 1 rows
+    )  # at most slices + 1 rows
     order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
     ahead = Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return freq.join(F.broadcast(offsets), "_slice").select(
@@ -69,12 +60,8 @@ def _counted_before(df: DataFrame, value: str, descending: bool, slices: int) ->
     )
 
 
-def rank_over_all(df: DataFrame, value: str, out: str, descending: bool = False, slices: int | None = None) -> DataFrame:
+def rank_over_all(df: DataFrame, value: str, out: str, descending: bool = False, slices: int = PARTS) -> DataFrame:
     """``RANK() OVER (ORDER BY value)``, NULLs last, as BIGINT."""
-    slices = slices or _slices_for(df)
-    if slices == 1:
-        order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
-        return df.withColumn(out, F.rank().over(Window.orderBy(order)).cast("bigint"))
     ranks = _counted_before(df, value, descending, slices)
     return (
         df.join(ranks, df[value].eqNullSafe(ranks["_value"]))
@@ -83,11 +70,8 @@ def rank_over_all(df: DataFrame, value: str, out: str, descending: bool = False,
     )
 
 
-def percent_rank_over_all(df: DataFrame, value: str, out: str, slices: int | None = None) -> DataFrame:
+def percent_rank_over_all(df: DataFrame, value: str, out: str, slices: int = PARTS) -> DataFrame:
     """``PERCENT_RANK() OVER (ORDER BY value)``, NULLs last."""
-    slices = slices or _slices_for(df)
-    if slices == 1:
-        return df.withColumn(out, F.percent_rank().over(Window.orderBy(F.asc_nulls_last(value))))
     total = df.select(F.count(F.lit(1))).scalar()
     ranked = rank_over_all(df, value, "_rank", slices=slices)
     return ranked.withColumn(
@@ -97,38 +81,25 @@ def percent_rank_over_all(df: DataFrame, value: str, out: str, slices: int | Non
 
 # -- order within groups ----------------------------------------------------------
 
+#: Types of order columns that quantiles are known for; along others a group is one range.
+_QUANTILES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def _hot_split(
-    df: DataFrame, key: str, order: Sequence[str], hot_rows: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of hot keys with a ``_slice`` rising along ``order``."""
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    # Fewer than rows / hot_rows keys, however large the table: a small driver read,
-    # after which the keys are a local table of that size.
-    found = counted.collect()
-    if not found:
-        return df, None
-    hot_total = sum(r["_n"] for r in found)
-    schema = T.StructType([T.StructField("_hot_key", df.schema[key].dataType)])
-    hot = F.broadcast(df.sparkSession.createDataFrame([(r[0],) for r in found], schema))
-    cold_rows = df.join(hot, df[key].eqNullSafe(F.col("_hot_key")), "left_anti")
-    hot_rows_df = df.join(hot, df[key].eqNullSafe(F.col("_hot_key")), "left_semi")
-
-    slices = max(2, min(MAX_SLICES, -(-hot_total // hot_rows) * 2))
-    wanted = slices * 100
-    position = F.struct(*[F.col(c) for c in order])
-    fraction = min(1.0, wanted / hot_total)
-    picked = hot_rows_df.select(position.alias("_p")).sample(fraction, seed=7)
-    # About 100 sampled positions per slice, at most 25,600: cut points only.
-    points = [r["_p"] for r in picked.orderBy("_p").limit(wanted * 4).collect()]
-    points = [points[len(points) * i // slices] for i in range(1, slices)] if points else []
-    if not points:
-        return cold_rows, hot_rows_df.withColumn("_slice", F.lit(0))
-    types = [df.schema[c].dataType for c in order]
-    cuts = F.array(
-        *[F.struct(*[_literal(p[c], t).alias(c) for c, t in zip(order, types)]) for p in points]
-    )
-    return cold_rows, hot_rows_df.withColumn("_slice", F.size(F.filter(cuts, lambda p: p < position)))
+
+def _ranges(df: DataFrame, key: list[str], order: Sequence[str], parts: int) -> DataFrame:
+    """``_k_<key>, _cuts`` of each group with more than one ``parts``-th of the rows: fewer than ``parts`` rows.
+
+    Groups are counted, and their quantiles estimated, before the shuffle; any cut points give right numbers. They are
+    written into the rows by a join, so a task that is run again sees the same ones.
+    """
+    first = order[0]
+    groups = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in key])
+    if isinstance(df.schema[first].dataType, _QUANTILES):
+        cuts = F.percentile_approx(first, [i / parts for i in range(1, parts)], 1000)
+    else:
+        cuts = F.array().cast(T.ArrayType(df.schema[first].dataType))
+    counted = groups.agg(F.count(F.lit(1)).alias("_n"), cuts.alias("_cuts"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counted.filter(F.col("_n") * parts > total).select(*[f"_k_{k}" for k in key], F.array_distinct("_cuts").alias("_cuts"))
 
 
 def _oriented(order: Sequence[str], descending: bool) -> list[Column]:
@@ -137,57 +108,45 @@ def _oriented(order: Sequence[str], descending: bool) -> list[Column]:
 
 def number_in_group(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     order: Sequence[str],
     descending: bool = False,
     number: str | None = None,
     previous: dict[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    parts: int = PARTS,
 ) -> DataFrame:
-    """``ROW_NUMBER`` and ``LAG`` per ``key`` along ``order``, with hot keys split.
+    """``ROW_NUMBER`` and ``LAG`` per ``key`` (a column or several) along ``order``, with large groups cut.
 
     ``order`` must identify a row within its key. ``previous`` maps output columns
-    to the columns taken from the row before.
+    to the columns taken from the row before. Rows with the same first order column share a range.
     """
-    previous = previous or {}
-
-    def add(frame: DataFrame, group: list[str]) -> DataFrame:
-        w = Window.partitionBy(*group).orderBy(*_oriented(order, descending))
-        cols = {out: F.lag(src).over(w) for out, src in previous.items()}
-        if number:
-            cols[number] = F.row_number().over(w).cast("bigint")
-        return frame.withColumns(cols)
-
-    if plan_bytes(df) <= ONE_TASK_BYTES and hot_rows >= HOT_ROWS:
-        return add(df, [key])
-    cold, hot = _hot_split(df, key, order, hot_rows)
-    if hot is None:
-        return add(df, [key])
-
-    # Totals and last row of each slice: at most MAX_SLICES + 1 rows per hot key.
+    previous, key = previous or {}, [key] if isinstance(key, str) else list(key)
+    same = lambda a, b, names: reduce(lambda x, y: x & y, [F.col(a + k).eqNullSafe(F.col(b + k)) for k in names])
+    # Large groups are few, so their cuts are joined to the rows where these lie.
+    cut = df.join(F.broadcast(_ranges(df, key, order, parts)), same("", "_k_", key), "left")
+    slice_no = F.coalesce(F.size(F.filter("_cuts", lambda p: p < F.col(order[0]))), F.lit(0))
+    cut = cut.withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(slice_no)).drop("_cuts", *[f"_k_{k}" for k in key])
+
+    at_slice = Window.partitionBy(*key, "_slice").orderBy(*_oriented(order, descending))
+    cols = {out: F.lag(src).over(at_slice) for out, src in previous.items()}
+    numbered = cut.withColumns(cols | {"_place": F.row_number().over(at_slice).cast("bigint")})
+
+    # Totals and last row of each range of a large group: at most parts + 1 rows a group, fewer than parts groups.
     position = F.struct(*[F.col(c) for c in order])
     last = F.min_by if descending else F.max_by
-    edges = hot.groupBy(key, "_slice").agg(
+    edges = cut.groupBy(*key, "_slice").agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[last(F.col(src), position).alias(f"_edge_{out}") for out, src in previous.items()],
+        *[last(F.struct(F.col(src).alias("v")), position).alias(f"_edge_{out}") for out, src in previous.items()],
     )
-    along = Window.partitionBy(key).orderBy(F.desc("_slice") if descending else F.asc("_slice"))
+    along = Window.partitionBy(*key).orderBy(F.desc("_slice") if descending else F.asc("_slice"))
     edges = edges.select(
-        F.col(key).alias("_edge_key"),
-        F.col("_slice").alias("_edge_slice"),
-        F.coalesce(F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"),
+        *[F.col(c).alias(f"_e_{c}") for c in [*key, "_slice"]],
+        F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_ahead"),
         *[F.lag(f"_edge_{out}").over(along).alias(f"_edge_{out}") for out in previous],
-    )
-    at_slice = Window.partitionBy(key, "_slice").orderBy(*_oriented(order, descending))
-    hot = hot.withColumn("_first", F.row_number().over(at_slice) == 1)
-    joined = add(hot, [key, "_slice"]).join(
-        edges, F.col(key).eqNullSafe(F.col("_edge_key")) & (F.col("_slice") == F.col("_edge_slice"))
-    )
-    fixes: dict[str, Column] = {
-        out: F.when(F.col("_first"), F.col(f"_edge_{out}")).otherwise(F.col(out)) for out in previous
-    }
+    ).filter(F.col("_ahead") > 0)
+    joined = numbered.join(edges, same("", "_e_", [*key, "_slice"]), "left")
+    first = (F.col("_place") == 1) & F.col("_ahead").isNotNull()
+    fixes = {out: F.when(first, F.col(f"_edge_{out}.v")).otherwise(F.col(out)) for out in previous}
     if number:
-        fixes[number] = F.col(number) + F.col("_ahead")
-    joined = joined.withColumns(fixes)
-    kept = df.columns + list(previous) + ([number] if number else [])
-    return reduce(DataFrame.unionByName, [add(cold, [key]).select(*kept), joined.select(*kept)])
+        fixes[number] = F.col("_place") + F.coalesce("_ahead", F.lit(0))
+    return joined.withColumns(fixes).select(*df.columns, *previous, *([number] if number else []))

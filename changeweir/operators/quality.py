@@ -159,6 +159,38 @@ def differences(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
+def bucket_sums(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """``bucket, rows, checksum`` of a keyed copy: rows dealt by hash of their key, 64-bit hashes of whole rows added up.
+
+    Sums are combined before the shuffle, so whatever the table's size each task sends at most ``buckets`` rows.
+    """
+    columns = [c for c in df.columns if c not in key]
+    return df.groupBy(F.pmod(F.xxhash64(*key), F.lit(buckets)).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*key, *columns).cast("decimal(38,0)")).alias("checksum")
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """``bucket``: those whose rows or checksums the two copies don't agree on; at most ``buckets`` rows."""
+    l, r = (bucket_sums(df, key, buckets) for df in (left, right.select(*left.columns)))
+    l, r = l.withColumnsRenamed({"rows": "_lr", "checksum": "_lc", "bucket": "_lb"}), r.withColumnsRenamed({"rows": "_rr", "checksum": "_rc"})
+    same = F.col("_lr").eqNullSafe(F.col("_rr")) & F.col("_lc").eqNullSafe(F.col("_rc"))
+    return l.join(r, l["_lb"] == r["bucket"], "full_outer").filter(~same).select(F.coalesce("_lb", "bucket").alias("_differs"))
+
+
+def differences_by_bucket(left: DataFrame, right: DataFrame, key: str, buckets: int = 4096) -> DataFrame:
+    """``differences`` for copies that mostly agree: only rows of buckets whose checksums differ are shuffled by key.
+
+    Two differing buckets pass for equal once in 2^64 or so (their row hashes would have to add up alike). Both copies are
+    scanned twice, the first time for two numbers a bucket.
+    """
+    right = right.select(*left.columns)
+    found = F.broadcast(differing_buckets(left, right, [key], buckets))  # at most ``buckets`` rows
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    l, r = (df.join(found, bucket == F.col("_differs"), "left_semi") for df in (left, right))
+    return differences(l, r, key)
+
+
 # -- latency -------------------------------------------------------------------------
 
 

@@ -281,6 +281,22 @@ def top_orders_per_customer(c, o, n: int = 2) -> DataFrame:
     )
 
 
+def newest_orders(c, o, n: int = 5) -> DataFrame:
+    """The newest ``n`` orders of each customer, ranked before names are joined: n rows per customer and task move."""
+    w = Window.partitionBy("customer_id").orderBy(F.desc("created_at"), F.desc("id"))
+    top = o.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)
+    names = c.select(F.col("id").alias("_cid"), F.col("name").alias("customer_name"))
+    return top.join(names, top["customer_id"] == names["_cid"]).select(
+        "customer_id",
+        "customer_name",
+        F.col("id").alias("order_id"),
+        fc.rounded("amount").alias("amount"),
+        "status",
+        "created_at",
+        "rank",
+    )
+
+
 def recent_orders_top(o_joined: DataFrame, n: int = 5) -> DataFrame:
     """The newest ``n`` orders of each customer (int_customer_orders in)."""
     w = Window.partitionBy("customer_id").orderBy(F.desc("order_created_at"), F.desc("order_id"))
@@ -368,9 +384,12 @@ def sorted_orders(c, o) -> DataFrame:
     return with_names(c, o).select("name", "amount", "status", "id").orderBy(F.asc("name"), F.desc("amount"), "id")
 
 
-def random_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """``n`` random rows; each task keeps its own first ``n`` only."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_rows(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
+    """``n`` random rows: those of least MD5 of seed and key, so a seed gives the same rows on any cluster or engine.
+
+    Each task keeps its own first ``n``, and samples of parts merge into the sample of the whole.
+    """
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
 def big_spenders_or_named(c, o, above, pattern: str) -> DataFrame:

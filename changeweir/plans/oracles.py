@@ -415,6 +415,26 @@ BODIES: dict[str, str] = {
           WHERE daily_revenue IS NULL""",
     "reconcile_counts": """SELECT 'source' AS stage, COUNT(*) AS rows FROM o
         UNION ALL SELECT 'cdc', COUNT(*) FROM o_final UNION ALL SELECT 'sink', COUNT(*) FROM o_final""",
+    "random_customers": "SELECT * FROM c ORDER BY md5('7:' || CAST(id AS VARCHAR)), id LIMIT 2",
+    "stream_dedup": "SELECT id, seq, mod_type, commit_ts FROM chg",
+    "envelope_state": """SELECT id, customer_id, order_date, amount,
+        CASE WHEN id % 6 = 0 THEN 'returned' ELSE status END AS status, created_at FROM o_final""",
+    "envelope_rejects": f"""SELECT 'orders' AS table_name, 'unknown mod type; not json' AS reason, '{{"op":"c","after":' AS data,
+        created_at AS commit_ts, id + 10000000 AS seq FROM o WHERE id % 17 = 0
+        UNION ALL SELECT 'orders', 'unknown mod type', '{{"id":' || id || ',"customer_id":' || customer_id || ',"order_date":"'
+          || order_date || '","amount":' || amount || ',"status":"' || status || '","created_at":"'
+          || strftime(created_at, '%Y-%m-%d %H:%M:%S') || '"}}', created_at, id + 20000000 FROM o WHERE id % 19 = 0
+        UNION ALL SELECT 'orders', 'unknown mod type; not json', NULL, created_at, id + 30000000 FROM o WHERE id % 23 = 0""",
+    "kept_dq_summary": """SELECT 'unique_customers_cdc_id' AS rule, CAST(0 AS BIGINT) AS n_failed
+        UNION ALL SELECT 'not_null_customers_cdc_id', 0 UNION ALL SELECT 'not_null_customers_cdc_name', 0
+        UNION ALL SELECT 'unique_customers_cdc_email',
+          (SELECT COUNT(*) FROM (SELECT email FROM c_final GROUP BY email HAVING COUNT(*) > 1))
+        UNION ALL SELECT 'not_null_customers_cdc_email', 0 UNION ALL SELECT 'unique_orders_cdc_id', 0
+        UNION ALL SELECT 'not_null_orders_cdc_id', 0 UNION ALL SELECT 'not_null_orders_cdc_customer_id', 0
+        UNION ALL SELECT 'relationships_orders_cdc_customer_id', COUNT(*) FROM o_final WHERE customer_id NOT IN (SELECT id FROM c_final)
+        UNION ALL SELECT 'not_null_orders_cdc_amount', 0 UNION ALL SELECT 'not_null_orders_cdc_status', 0""",
+    "kept_dq_failures": """SELECT 'relationships_orders_cdc_customer_id' AS rule, CAST(customer_id AS VARCHAR) AS value, COUNT(*) AS n
+        FROM o_final WHERE customer_id NOT IN (SELECT id FROM c_final) GROUP BY customer_id""",
     "reconcile_diff": """SELECT id, CASE WHEN id % 5 = 0 THEN 'only_left' ELSE 'changed' END AS finding FROM o
         WHERE id % 5 = 0 OR id % 3 = 0""",
     "pipeline_latency": """SELECT mod_type, COUNT(*) AS n, CAST(SUM(ms) AS DOUBLE) / COUNT(*) AS avg_ms,
@@ -431,7 +451,10 @@ OVER_FINAL = {
     "kept_fct_high_value_orders",
     "kept_recent_orders",
     "full_vs_incremental_diff",
+    "marts_backfilled",
 }
+BODIES["marts_backfilled"] = BODIES["full_vs_incremental_diff"]
+BODIES["reconcile_buckets"] = BODIES["reconcile_diff"]
 
 
 def oracle(name: str) -> str:

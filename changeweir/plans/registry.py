@@ -26,7 +26,8 @@ from changeweir.session import scratch_folder
 from changeweir.sources import exports
 from changeweir.sources import fixtures as fx
 from changeweir.sources.feeds import change_source, topic_rows
-from changeweir.streaming.pipeline import ChangePipeline, append_sink
+from changeweir.streaming.pipeline import ChangePipeline, append_sink, without_repeats_within
+from changeweir.streaming.rules import KeptRules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,7 +122,7 @@ _o("cumulative_revenue", adhoc.cumulative_revenue)
 _co("top2_per_customer", adhoc.top_orders_per_customer)
 _o("amount_percent_rank", adhoc.amount_percent_rank)
 _o("moving_avg_revenue", adhoc.moving_average_revenue)
-_add("recent_orders_top5", lambda spark, sf: adhoc.recent_orders_top(one_model(spark, sf, "int_customer_orders")))
+_co("recent_orders_top5", adhoc.newest_orders)
 
 # sort, top-k, sets
 _co("order_multi", adhoc.sorted_orders)
@@ -137,7 +138,7 @@ _add(
     "dashboard_rounded",
     lambda spark, sf: adhoc.status_dashboard_rounded(one_model(spark, sf, "fct_order_status_dashboard")),
 )
-_c("random_customers", lambda c: adhoc.random_rows(c, 2))
+_c("random_customers", lambda c: adhoc.random_rows(c, 2, "id", seed=7))
 _co("union_distinct_names", lambda c, o: adhoc.big_spenders_or_named(c, o, Decimal(450_000), "%77%"))
 
 # scalar functions
@@ -189,6 +190,24 @@ def envelope_after(spark, sf):
     return from_envelopes(fx.envelopes(spark, sf).withColumn("value", wrapped)).select("topic", "offset", "op", "after")
 
 
+def _topic_decoded(spark, sf):
+    records = decode.envelope_records(fx.order_topic(spark, sf))
+    return records, decode.decode_all(records, {"orders": SALES["orders"]})
+
+
+@query
+def envelope_state(spark, sf):
+    """A topic's messages as a keyed table, ordered over partitions by time, partition and offset."""
+    _, decoded = _topic_decoded(spark, sf)
+    return live(apply_changes(None, decode.accepted(decoded["orders"], SALES["orders"]), SALES["orders"]))
+
+
+@query
+def envelope_rejects(spark, sf):
+    """Messages that are no JSON, have no image or an unknown operation, each with its reason."""
+    return decode.rejected(*_topic_decoded(spark, sf)).select("table_name", "reason", "data", "commit_ts", "seq")
+
+
 @query
 def snapshot_as_changes(spark, sf):
     return decode.snapshot_as_changes(fx.customers(spark, sf), "customers", F.expr(SNAPSHOT_TIME))
@@ -391,18 +410,36 @@ def _lake(spark, sf) -> LakeTable:
     return _once(spark, sf, "lake", build)
 
 
+def _change_files(spark, sf, root: str, records: DataFrame) -> DataFrame:
+    """Records in three files, out of order, as a stream of one file a batch."""
+    split = F.pmod(F.xxhash64("data", "seq"), F.lit(3))
+    records.withColumn("_part", split).repartition("_part").write.partitionBy("_part").parquet(f"{root}/changes")
+    options = {"maxFilesPerTrigger": "1", "recursiveFileLookup": "true"}
+    return change_source(spark, "files", f"{root}/changes", options=options)
+
+
+def _backfilled(spark, sf) -> ChangePipeline:
+    """The customer log and the inserts first, without marts; then marts are switched on, and the rest of the order log comes."""
+
+    def build():
+        root, records = scratch_folder(spark, "late-marts"), _sales_records(spark, sf)
+        first = (F.col("table_name") == "customers") | (F.col("mod_type") == "INSERT")
+        ChangePipeline(spark, root, SALES).process(records.filter(first), 0)
+        pipeline = ChangePipeline(spark, root, SALES, marts=True, thresholds=AT_SCALE)
+        for i, kind in enumerate(("UPDATE", "DELETE"), 1):
+            pipeline.process(records.filter(~first & (F.col("mod_type") == kind)), i)
+        return pipeline
+
+    return _once(spark, sf, "late-marts", build)
+
+
 def _streamed(spark, sf, marts: bool) -> ChangePipeline:
     """The change log in three files, out of order, streamed one file at a time."""
 
     def build():
         root = scratch_folder(spark, "stream")
-        split = F.pmod(F.xxhash64("data", "seq"), F.lit(3))
-        records = _sales_records(spark, sf).withColumn("_part", split)
-        records.repartition("_part").write.partitionBy("_part").parquet(f"{root}/changes")
+        stream = _change_files(spark, sf, root, _sales_records(spark, sf))
         pipeline = ChangePipeline(spark, root, SALES, marts=marts, thresholds=AT_SCALE)
-        stream = change_source(
-            spark, "files", f"{root}/changes", options={"maxFilesPerTrigger": "1", "recursiveFileLookup": "true"}
-        )
         pipeline.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
         return pipeline
 
@@ -429,6 +466,24 @@ def upsert_orders_final(spark, sf):
     return table.read()
 
 
+@query
+def stream_dedup(spark, sf):
+    """A log by commit time in four files, each message again in the next one; the query is stopped half-way and started again."""
+    root, log = scratch_folder(spark, "dedup"), fx.order_changes(spark, sf).select("id", "seq", "mod_type", "commit_ts")
+    part = F.least(F.floor((F.year("commit_ts") - 1995) / 2), F.lit(3)).cast("int")
+    twice = log.withColumn("_part", F.explode(F.array(part, part + 1)))
+    table = LakeTable(spark, f"{root}/once", log.schema, kind="log").create()
+    for parts in ("_part < 2", "_part >= 2"):
+        rows = twice.filter(parts).repartition("_part").sortWithinPartitions("_part")
+        rows.write.mode("append").partitionBy("_part").parquet(f"{root}/feed")
+        schema = T.StructType([*log.schema.fields])
+        options = {"maxFilesPerTrigger": "1", "recursiveFileLookup": "true"}
+        stream = change_source(spark, "files", f"{root}/feed", schema, options)
+        once = without_repeats_within(stream, ["id", "seq"], "commit_ts", "1500 days")
+        append_sink(once, table, f"{root}/checkpoint", interval=None).awaitTermination()
+    return table.read()
+
+
 @query
 def append_sink_rows(spark, sf):
     """Row images of a topic, streamed and appended once each."""
@@ -543,7 +598,16 @@ for _view in (
 @query
 def full_vs_incremental_diff(spark, sf):
     """Each view as kept current by the stream against the model over the final tables."""
-    pipeline = _streamed(spark, sf, marts=True)
+    return _kept_against_full(_streamed(spark, sf, marts=True))
+
+
+@query
+def marts_backfilled(spark, sf):
+    """The same for marts that were switched on over filled tables and followed the changes from there."""
+    return _kept_against_full(_backfilled(spark, sf))
+
+
+def _kept_against_full(pipeline: ChangePipeline) -> DataFrame:
     final = {f"{n}_cdc": t.read() for n, t in pipeline.tables.items()}
     full = build_models(final, AT_SCALE)
     full["recent_orders"] = adhoc.recent_orders_top(full["int_customer_orders"], pipeline.marts.keep_recent)
@@ -611,6 +675,40 @@ def reconcile_diff(spark, sf):
     return quality.differences(*_before_and_after(spark, sf), "id")
 
 
+@query
+def reconcile_buckets(spark, sf):
+    """The same findings, with checksums of buckets first."""
+    return quality.differences_by_bucket(*_before_and_after(spark, sf), "id")
+
+
+def _kept_rules(spark, sf) -> KeptRules:
+    """The source rules, kept from each batch of the change log."""
+
+    def build():
+        root, records = scratch_folder(spark, "rules"), _sales_records(spark, sf)
+        pipeline = ChangePipeline(spark, root, SALES)
+        rules = KeptRules(spark, f"{root}/rules", pipeline.tables, quality.SALES_RULES)
+        part = F.pmod(F.xxhash64("data", "seq"), F.lit(3))
+        for i in range(3):
+            pipeline.process(records.filter(part == i), i)
+            rules.catch_up()
+        return rules
+
+    return _once(spark, sf, "rules", build)
+
+
+@query
+def kept_dq_summary(spark, sf):
+    """Failing counts of the source rules as kept by the batches."""
+    return _kept_rules(spark, sf).summary()
+
+
+@query
+def kept_dq_failures(spark, sf):
+    """What fails, as kept by the batches: values that are not unique or name nobody, with their rows."""
+    return _kept_rules(spark, sf).failing()
+
+
 @query
 def pipeline_latency(spark, sf):
     """Latency with a sink time derived from the row, so that it can be checked."""

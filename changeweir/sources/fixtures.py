@@ -148,6 +148,40 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order log as a topic's rows: inserts, updates and deletes in partitions of their own, every sixth update again at the
+    same moment in a later partition, and between them cut, unknown and empty messages."""
+    image = (
+        """'{"id":' || CAST(id AS STRING) || ',"customer_id":' || CAST(customer_id AS STRING) || ',"order_date":"'"""
+        """ || CAST(order_date AS STRING) || '","amount":' || CAST(amount AS STRING) || ',"status":"' || STATUS || '","created_at":"'"""
+        """ || date_format(created_at, 'yyyy-MM-dd HH:mm:ss') || '"}'"""
+    )
+    row, returned = image.replace("STATUS", "status"), image.replace("STATUS", "'returned'")
+
+    def message(partition: str, offset: str, value: str, when: str) -> str:
+        return f"IF({when}, struct(CAST({partition} AS INT) AS partition, {offset} AS offset, {value} AS value, commit_ts), NULL)"
+
+    wrap = lambda before, after, op: f"'{{\"before\":' || {before} || ',\"after\":' || {after} || ',\"op\":\"{op}\"}}'"
+    messages = [
+        message("0", "id", wrap("'null'", row, "c"), "mod_type = 'INSERT'"),
+        message("1", "id", wrap(row, row, "u"), "mod_type = 'UPDATE'"),
+        message("2", "id", wrap(row, "'null'", "d"), "mod_type = 'DELETE'"),
+        message("2", "id + 5000000", wrap(row, returned, "u"), "mod_type = 'UPDATE' AND id % 6 = 0"),
+        message("0", "id + 10000000", "'{\"op\":\"c\",\"after\":'", "mod_type = 'INSERT' AND id % 17 = 0"),
+        message("0", "id + 20000000", wrap("'null'", row, "x"), "mod_type = 'INSERT' AND id % 19 = 0"),
+        message("0", "id + 30000000", "CAST(NULL AS STRING)", "mod_type = 'INSERT' AND id % 23 = 0"),
+    ]
+    rows = order_changes(spark, sf_dir).selectExpr(f"inline(array({', '.join(messages)}))").filter("partition IS NOT NULL")
+    return rows.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit("shop.public.orders").alias("topic"),
+        "partition",
+        F.col("offset").cast("bigint").alias("offset"),
+        F.col("commit_ts").cast("timestamp").alias("timestamp"),
+    )
+
+
 def raw_order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shop-order row images as text, the way an untyped source hands them over.
 

@@ -76,6 +76,8 @@ class ChangePipeline:
     def process(self, batch: DataFrame, batch_id: int | str) -> dict[str, Commit]:
         """One batch. Every commit carries the batch id, so a repeated batch changes nothing."""
         name = f"batch-{batch_id}"
+        if self.marts is not None:
+            self.marts.catch_up()  # before this batch is merged: marts may be new, or behind
         # Read from the source once and parsed once; lost blocks are made again from it.
         batch = batch.persist()
         decoded = {t: rows.persist() for t, rows in decode_all(batch, self.specs).items()}
@@ -123,10 +125,8 @@ class ChangePipeline:
             changes = snapshot_as_changes(rows, name, commit_ts)
             self.tables[name].merge(with_meta(changes, self.specs[name]), f"snapshot-{name}")
             loaded.append(name)
-        if self.marts is not None and not self.marts.started():
-            o, c = (self.tables[t].committed(f"snapshot-{t}") for t in ("orders", "customers"))
-            if o and c:
-                self.marts.refresh(o.version, c.version)
+        if self.marts is not None:
+            self.marts.catch_up()
         return loaded
 
     def start(
@@ -157,6 +157,15 @@ def append_sink(stream: DataFrame, table: LakeTable, checkpoint: str, interval:
     )
 
 
+def without_repeats_within(stream: DataFrame, key: list[str], at: str, delay: str) -> DataFrame:
+    """Each message once, where repeats come within ``delay`` of the time ``at``: state is kept for that long, and no longer.
+
+    What comes later than that is dropped as late, so ``delay`` is chosen from how long a source may deliver anew.
+    """
+    timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", delay)
+    return timed.dropDuplicatesWithinWatermark(key).drop("_at")
+
+
 def tumbling_daily_stream(orders: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Daily windows over an insert-only stream of orders, each emitted once it is complete."""
     return (

@@ -12,12 +12,15 @@ The work of a refresh follows the batch and the groups it touches:
 * every view is a table itself; only rows of touched groups are replaced.
 
 A refresh is told the version it reads of each source table and commits under
-that version, so a repeated one changes nothing.
+that version, so a repeated one changes nothing. Marts that are switched on over filled tables, or were off for a
+while, first catch up: from the full models at one version of both tables, then merge by merge.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ from pyspark.sql.window import Window
 
 from changeweir.functions.columns import day, mean, money_sum
 from changeweir.operators.lake import BEFORE, LakeTable, Probe
-from changeweir.plans.models import MODELS, Thresholds, daily_of, summary_of
+from changeweir.plans.models import MODELS, Thresholds, build_models, daily_of, summary_of
 from changeweir.schemas import MONEY, MONEY_SUM, ORDERS
 from changeweir.streaming.jobs import together
 
@@ -125,6 +128,8 @@ class MaintainedMarts:
         self.orders_by_customer = table(
             "orders_by_customer", ORDERS.schema, ["customer_id", "id"], ["customer_id"], "rows"
         )
+        # Only its commits matter: the newest one's id says up to which versions the marts are.
+        self.positions = LakeTable(spark, f"{root}/position", T.StructType([]), kind="log").create()
 
     def read(self, view: str) -> DataFrame:
         return self.views[view].read()
@@ -137,15 +142,95 @@ class MaintainedMarts:
         tables = [*self.sums.values(), *self.views.values(), self.orders_by_customer]
         return all(t.latest().version > 0 for t in tables)
 
+    # -- where the marts stand -----------------------------------------------------------
+
+    def _noted(self, kind: str) -> tuple[int, int] | None:
+        """The versions that the newest note names, if it is of this kind."""
+        found = re.fullmatch(rf"{kind}-o(\d+)-c(\d+)", self.positions.latest().batch_id)
+        return found and (int(found[1]), int(found[2]))
+
+    def position(self) -> tuple[int, int] | None:
+        """Versions of orders and customers that every view stands at; None before the first."""
+        return self._noted("at")
+
+    def _note(self, kind: str, orders_version: int, customers_version: int) -> None:
+        self.positions.mark(f"{kind}-o{orders_version}-c{customers_version}")
+
+    def catch_up(self) -> None:
+        """Bring the marts to the tables' newest versions, from wherever they stand.
+
+        Marts that have never stood anywhere are filled from the tables at one version of each. That version is noted
+        first, so a backfill that was cut short goes on at the same one, whatever has been merged since. What was
+        merged after the marts' position follows merge by merge, in order.
+        """
+        newest = self.orders.latest().version, self.customers.latest().version
+        if self.position() is None:
+            if self._noted("fill") is None and self.started():
+                raise RuntimeError("these marts were kept without noting their position; remove them to have them filled anew")
+            at = self._noted("fill")
+            if at is None:
+                at = newest
+                self._note("fill", *at)
+            self._backfill(*at)
+        had = self.position()
+        merged = [
+            [v for v in range(since + 1, to + 1) if table.at(v).operation == "merge"]
+            for table, since, to in zip((self.orders, self.customers), had, newest)
+        ]
+        for o, c in zip_longest(*merged):
+            at = self.position()
+            self.refresh(o or at[0], c or at[1])
+
+    def _backfill(self, orders_version: int, customers_version: int) -> None:
+        """Every table and view in full, as of these versions. Tables that were filled before a crash are left alone."""
+        step, seq = f"snapshot-o{orders_version}-c{customers_version}", orders_version + customers_version
+        orders, customers = self.orders.read(orders_version), self.customers.read(customers_version)
+        inserted = orders.withColumns({"_op": F.lit("INSERT"), BEFORE: F.lit(None).cast(ORDERS.schema)})
+        models = build_models({"customers_cdc": customers, "orders_cdc": orders}, self.thresholds)
+        newest = Window.partitionBy("customer_id").orderBy(F.desc("created_at"), F.desc("order_id"))
+        recent = models["int_customer_orders"].withColumnRenamed("order_created_at", "created_at")
+        # Filtered by its rank, each task keeps only so many rows a customer before they are dealt out.
+        recent = recent.withColumn("rank", F.row_number().over(newest).cast("bigint")).filter(F.col("rank") <= self.keep_recent)
+
+        def put(table: LakeTable, rows: DataFrame) -> None:
+            typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+            if not table.committed(step):
+                table.put(rows.select(*typed, F.lit("PUT").alias("_op")), step, seq)
+                table.compact()
+
+        def add(name: str, by: list) -> None:
+            if not self.sums[name].committed(step):
+                self._add(name, inserted, by, step)
+                self.sums[name].compact()
+
+        frames = {name: recent if name == "recent_orders" else models[name] for name in self.views}
+        together(
+            self.spark,
+            lambda: add("by_customer", ["customer_id", "order_date"]),
+            lambda: add("by_status", ["status", "order_date"]),
+            lambda: add("by_day", [day("created_at").alias("metric_date"), "customer_id"]),
+            lambda: put(self.orders_by_customer, orders),
+            *[lambda name=name, rows=rows: put(self.views[name], rows) for name, rows in frames.items()],
+        )
+        self._note("at", orders_version, customers_version)
+
     # -- one refresh -----------------------------------------------------------------
 
     def refresh(self, orders_version: int, customers_version: int) -> None:
-        """Bring every view from the changes made by these two source versions up to date."""
-        self.step = f"o{orders_version}-c{customers_version}"
+        """Bring every view from the changes made by these two source versions up to date.
+
+        A version that the marts' position has passed adds nothing.
+        """
+        had = self.position() or (0, 0)
+        if orders_version <= had[0] and customers_version <= had[1] and self.position():
+            return
+        o, c = self.orders.changes(orders_version), self.customers.changes(customers_version)
+        o, c = o.filter(F.lit(orders_version > had[0])), c.filter(F.lit(customers_version > had[1]))
+        orders_version, customers_version = max(orders_version, had[0]), max(customers_version, had[1])
+        # What adds up commits under the version of the orders alone, whatever it is refreshed with.
+        self.step, self.orders_step = f"o{orders_version}-c{customers_version}", f"orders-{orders_version}"
         self.seq = orders_version + customers_version
         self.customers_version = customers_version
-        o = self.orders.changes(orders_version)
-        c = self.customers.changes(customers_version)
         touched = (
             o.select("customer_id")
             .unionByName(o.select(F.col(f"{BEFORE}.customer_id")))
@@ -184,6 +269,7 @@ class MaintainedMarts:
         finally:
             for frame in kept:
                 frame.unpersist()
+        self._note("at", orders_version, customers_version)
 
     # -- additive tables -----------------------------------------------------------------
 
@@ -197,7 +283,7 @@ class MaintainedMarts:
             f" IF(_op <> 'DELETE', struct(1L AS sign, {new}), NULL)))"
         ).filter("sign IS NOT NULL")
 
-    def _add(self, name: str, o: DataFrame, by: list) -> None:
+    def _add(self, name: str, o: DataFrame, by: list, step: str | None = None) -> None:
         sums = (
             self._signed(o)
             .groupBy(*by)
@@ -207,7 +293,7 @@ class MaintainedMarts:
                 F.coalesce(F.sum(F.col("sign") * F.col("amount")), F.lit(0)).cast(MONEY_SUM).alias("total"),
             )
         )
-        self.sums[name].append(sums, self.step)
+        self.sums[name].append(sums, step or self.orders_step)
 
     def _index_orders(self, o: DataFrame) -> None:
         """Orders by customer. A deleted order, or one that changed hands, leaves its old customer."""
@@ -220,7 +306,7 @@ class MaintainedMarts:
             .withColumn("_op", F.lit("PUT"))
             .unionByName(left.withColumn("_op", F.lit("DELETE")))
         )
-        self.orders_by_customer.put(rows, self.step, self.seq)
+        self.orders_by_customer.put(rows, self.orders_step, self.seq)
 
     # -- views -----------------------------------------------------------------------------
 

@@ -184,5 +184,5 @@ def test_a_lost_hint_is_found_again(spark, table):
 
 def test_merge_statement():
     sql = iceberg_merge_sql("lake.orders", "batch", ["id"], ["id", "amount"])
-    assert "WHEN MATCHED AND s._op = 'DELETE' THEN DELETE" in sql
-    assert "UPDATE SET t.amount = s.amount" in sql
+    newer = "WHEN MATCHED AND (s._commit_ts > t._commit_ts OR (s._commit_ts = t._commit_ts AND s._seq > t._seq)) THEN UPDATE"
+    assert f"{newer} SET t.amount = s.amount, t._op = s._op" in sql

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from changeweir.operators.ordering import number_in_group, percent_rank_over_all, rank_over_all
+from changeweir.operators.ordering import _ranges, number_in_group, percent_rank_over_all, rank_over_all
 from changeweir.plans.adhoc import same_amount_chain
 
 
@@ -31,31 +31,46 @@ def test_rank(skewed, rows, descending, slices):
 
 
 def test_percent_rank(skewed, rows):
-    want = percent_rank_over_all(skewed, "v", "p", slices=1)
+    want = skewed.withColumn("p", F.percent_rank().over(Window.orderBy(F.asc_nulls_last("v"))))
     assert rows(percent_rank_over_all(skewed, "v", "p", slices=5), "id", "p") == rows(want, "id", "p")
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("hot_rows", [20, 200])
-def test_number_and_previous(skewed, rows, descending, hot_rows):
-    def run(limit):
-        return number_in_group(
-            skewed, "k", ["v", "id"], descending, number="n", previous={"prev": "label"}, hot_rows=limit
-        )
-
-    assert rows(run(hot_rows), "id", "k", "n", "prev") == rows(run(10**9), "id", "k", "n", "prev")
+@pytest.mark.parametrize("parts", [1, 2, 7, 200])
+@pytest.mark.parametrize("key", [["k"], ["k", "odd"]])
+@pytest.mark.parametrize("order", [["v", "id"], ["id"], ["label"]])
+def test_number_and_previous(skewed, rows, descending, parts, key, order):
+    """Against plain windows; one part cuts no group, many cut all but the smallest."""
+    df = skewed.withColumn("odd", F.col("id") % 2)
+    nulls = [F.desc_nulls_last(c) if descending else F.asc_nulls_first(c) for c in order]
+    w = Window.partitionBy(*key).orderBy(*nulls)
+    want = df.withColumns({"n": F.row_number().over(w).cast("bigint"), "prev": F.lag("label").over(w), "was": F.lag("v").over(w)})
+    got = number_in_group(df, key, order, descending, number="n", previous={"prev": "label", "was": "v"}, parts=parts)
+    assert rows(got, "id", "k", "n", "prev", "was") == rows(want, "id", "k", "n", "prev", "was")
+
+
+def test_large_groups_are_cut(skewed):
+    """The window lies over (key, range) of rows that were joined with their cuts, and the largest range is a small share."""
+    plan = number_in_group(skewed, "k", ["id"], number="n")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and "_slice" in plan.split("hashpartitioning(k", 1)[1].split("\n")[0]
+    cuts = {r["_k_k"]: r["_cuts"] for r in _ranges(skewed, ["k"], ["id"], 7).collect()}
+    assert 1 in cuts and len(cuts) < 7
+    sizes = [0] * (len(cuts[1]) + 1)
+    for r in skewed.filter("k = 1").collect():
+        sizes[sum(c < r.id for c in cuts[1])] += 1
+    assert max(sizes) < 2 * sum(sizes) / 7
 
 
 def test_rank_of_nothing(spark):
     empty = spark.createDataFrame([], "id BIGINT, v BIGINT")
     assert rank_over_all(empty, "v", "r", slices=3).count() == 0
-    assert number_in_group(empty, "id", ["v"], number="n", hot_rows=1).count() == 0
+    assert number_in_group(empty, "id", ["v"], number="n", parts=9).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 15])
-def test_chain_holds_all_pairs(skewed, hot_rows):
+@pytest.mark.parametrize("parts", [1, 40])
+def test_chain_holds_all_pairs(skewed, parts):
     """Following the links gives the pairs a brute-force self join gives."""
-    links = {r.id_1: r for r in same_amount_chain(skewed, "id", "v", hot_rows=hot_rows).collect()}
+    links = {r.id_1: r for r in same_amount_chain(skewed, "id", "v", parts=parts).collect()}
     data = [(r.id, r.v) for r in skewed.collect() if r.v is not None]
     for a, v in data:
         later = sorted(b for b, w in data if w == v and b > a)

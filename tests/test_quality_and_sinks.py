@@ -56,7 +56,7 @@ def test_anti_join_forms_agree(spark, rows):
 
 def test_random_sample(spark):
     c = fx.customers(spark, SF)
-    sample = adhoc.random_rows(c, 5, seed=1)
+    sample = adhoc.random_rows(c, 5, "id", seed=1)
     assert sample.count() == 5
     assert sample.exceptAll(c).count() == 0
 
@@ -95,8 +95,33 @@ def test_upsert_statements():
     assert merge.startswith("MERGE INTO t t USING s_t s ON t.id = s.id")
     with pytest.raises(ValueError):
         exports.jdbc_upsert_sql("t", "s", ["id"], ["id"], "other")
+    guarded = ["id", "amount", "ts", "seq"]
+    delete, insert = exports.jdbc_upsert_sql("t", "s", ["id"], guarded, version=["ts", "seq"])
+    assert delete.endswith("s._op = 'DELETE' AND (t.ts, t.seq) < (s.ts, s.seq)")
+    assert insert.endswith("seq = EXCLUDED.seq WHERE (t.ts, t.seq) < (EXCLUDED.ts, EXCLUDED.seq)")
+    (merge,) = exports.jdbc_upsert_sql("t", "s", ["id"], guarded, "merge", ["ts", "seq"])
+    assert "AND (t.ts < s.ts OR t.ts = s.ts AND t.seq < s.seq) THEN UPDATE SET" in merge
 
 
 def test_unknown_source_kind(spark):
     with pytest.raises(ValueError):
         change_source(spark, "carrier pigeon", "x")
+
+
+def test_bucket_checksums_lead_to_the_differences(spark, rows):
+    left = spark.range(1000).selectExpr("id", "id % 7 AS a", "IF(id % 5 = 0, NULL, id) AS b")
+    right = spark.range(3, 1002).selectExpr("IF(id % 5 = 0, NULL, id) AS b", "id", "IF(id = 500, 9, id % 7) AS a")
+    found = quality.differing_buckets(left, right, ["id"], 256)
+    assert 2 <= found.count() <= 6  # 0, 1, 2, 500, 1000, 1001
+    want = rows(quality.differences(left, right.select("id", "a", "b"), "id"))
+    assert rows(quality.differences_by_bucket(left, right, "id", 256)) == want and len(want) == 6
+    assert quality.differences_by_bucket(left, left, "id").count() == 0
+
+
+def test_samples_merge(spark):
+    """The sample of a whole is the sample of its parts' samples."""
+    df = spark.range(500)
+    whole = {r.id for r in adhoc.random_rows(df, 9, "id", seed=3).collect()}
+    parts = [adhoc.random_rows(df.filter(f"id % 3 = {i}"), 9, "id", seed=3) for i in range(3)]
+    assert {r.id for r in adhoc.random_rows(parts[0].union(parts[1]).union(parts[2]), 9, "id", seed=3).collect()} == whole
+    assert whole != {r.id for r in adhoc.random_rows(df, 9, "id", seed=4).collect()}
