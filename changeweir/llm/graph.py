@@ -109,7 +109,8 @@ def linked_in_buckets(
     percent: int,
     rounds: int = HUB_ROUNDS,
 ) -> DataFrame:
-    """Verified links ``(a, b)`` that join all that the links within the buckets of ``keys(key, cid)`` would join.
+    """Edges ``(a, b)`` that join just what the verified links within the buckets of ``keys(key, cid)`` would join: links, and what
+    links have joined as stars.
 
     ``verify`` takes pairs ``(a, b)`` and returns those that are linked; ``sets_of`` takes ``cid`` and returns
     ``cid, shingles``. A bucket's hub is the member that most others meet in buckets, which among copies of one text is
@@ -122,7 +123,7 @@ def linked_in_buckets(
     members = saved(keys.join(sizes, "key"), "bucket-members")
     fame = members.groupBy("cid").agg(F.sum("size").alias("fame"))
     left = members.select("key", "cid").join(fame, "cid").select("key", "cid", "fame", F.col("cid").alias("root"))
-    left, links = saved(left.withColumn("used", F.lit(False)), "bucket-left"), None
+    left, forest = saved(left.withColumn("used", F.lit(False)), "bucket-left"), None
     for _ in range(rounds):
         best = F.max(F.struct("fame", (-F.col("cid")).alias("minus"), "root")).alias("h")
         hubs = left.where("not used").groupBy("key").agg(best)
@@ -132,15 +133,16 @@ def linked_in_buckets(
         stars = stars.select("cid", (-F.col("h.minus")).alias("hub"))
         stars = stars.select(F.least("hub", "cid").alias("a"), F.greatest("hub", "cid").alias("b")).distinct()
         found = verify(stars)
-        links = found if links is None else saved(links.union(found).distinct(), "bucket-links")
-        roots = components(links, "bucket-roots").withColumnRenamed("node", "cid").withColumnRenamed("root", "r")
+        # Stars of the round before stand for its links: fewer edges, and near to what comes out.
+        forest = components(found if forest is None else forest.union(found), "bucket-roots").toDF("a", "b")
+        roots = forest.toDF("cid", "r")
         left = left.join(hubs.select("key", "hub"), "key").join(roots, "cid", "left").select(
             "key", "cid", "fame", F.coalesce("r", "cid").alias("root"), (F.col("used") | (F.col("cid") == F.col("hub"))).alias("used")
         )
         several = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
         left = saved(left.join(several, "key"), "bucket-left")
         if left.isEmpty():
-            return links
+            return forest
     alone = left.select("cid", "root").distinct()
     sets = sets_of(alone.select("cid"))
-    return links.union(verify(prefix_pairs(sets.join(alone, "cid"), percent))).distinct()
+    return forest.union(verify(prefix_pairs(sets.join(alone, "cid"), percent))).distinct()

@@ -85,7 +85,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 class Worded:
     """Texts as one array of words: where each begins and ends (in bytes of all texts), its hash (A-Z lower-cased), its text."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], hashed: bool = True):
         raws = [(t or "").encode() for t in texts]
         self.raw = b"\n".join(raws) + b"\n"  # a line end behind each text
         self.at = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
@@ -96,7 +96,7 @@ class Worded:
         self.text = np.searchsorted(self.at, self.begin, "right") - 1
         self.line_ends = np.flatnonzero(low == 10)
         self.line = np.searchsorted(self.line_ends, self.begin)
-        self.hash = self._hashes(low)
+        self.hash = self._hashes(low) if hashed else None
 
     def _hashes(self, low: np.ndarray) -> np.ndarray:
         if not len(self.begin):
@@ -121,16 +121,18 @@ class Worded:
             out[:, side] = mixed(np.add.reduceat(values, bounds)[::2] + (b - a).astype(np.uint64) * factor)
         return signed(out)
 
-    def paragraphs(self, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """First word and end of each paragraph. Lines of a paragraph have only blank ones between them."""
-        counts = np.bincount(self.line, minlength=len(self.line_ends))
-        words_before = np.concatenate(([0], np.cumsum(counts)))
+    def lines_of_paragraphs(self, min_words: int) -> Iterator[list[list[int]]]:
+        """Of each text the paragraphs' line numbers, counted over all texts."""
+        each = np.bincount(self.line, minlength=len(self.line_ends)).tolist()
         lines = np.searchsorted(self.line_ends, self.at)  # of each text the first
-        each, a, b = counts.tolist(), [], []
         for lo, hi in itertools.pairwise(lines.tolist()):
-            for p in grouped(each[lo:hi], min_words):
-                a.append(lo + p[0])
-                b.append(lo + p[-1] + 1)
+            yield [[lo + i for i in p] for p in grouped(each[lo:hi], min_words)]
+
+    def paragraphs(self, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of each paragraph. Lines of a paragraph have only blank ones between them."""
+        words_before = np.concatenate(([0], np.cumsum(np.bincount(self.line, minlength=len(self.line_ends)))))
+        found = [p for of_text in self.lines_of_paragraphs(min_words) for p in of_text]
+        a, b = [p[0] for p in found], [p[-1] + 1 for p in found]
         return words_before[np.array(a, np.int64)], words_before[np.array(b, np.int64)]
 
     def pieces(self, min_words: int, window: int = CUT_WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -350,13 +352,19 @@ def _finished(min_words: int, bits: bytes | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_in = lambda raw, spans: sum(len(raw[s:e].split()) for s, e in spans)
-        for batch in batches:
+        if bits is not None:
+            batches = (b.filter(pa.array(~maybe_member(bits, b.column("place").to_numpy()))) for b in batches)
+        for batch in _parts(batches):
+            texts = batch.column("text").to_pylist()
+            counts = [len(p) for p in Worded(texts, hashed=False).lines_of_paragraphs(min_words)]
             if bits is not None:
-                batch = batch.filter(pa.array(~maybe_member(bits, batch.column("place").to_numpy())))
+                none, empty = pa.array(np.zeros(len(batch), np.int64)), [[]] * len(batch)
+                columns = [batch.column("doc"), pa.array(counts, pa.int64()), none, none, none, pa.array(empty, pa.list_(pa.int32()))]
+                columns += [pa.array(empty, pa.list_(pa.int64())), batch.column("text")]
+                yield pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
+                continue
             rows = []
-            pieces_of = batch.column("pieces").to_pylist() if bits is None else [None] * len(batch)
-            for doc, text, pieces in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), pieces_of, strict=True):
-                count = len(cut(text, min_words))
+            for doc, text, count, pieces in zip(batch.column("doc").to_pylist(), texts, counts, batch.column("pieces").to_pylist(), strict=True):
                 if not pieces:
                     rows.append((doc, count, 0, 0, 0, [], [], text))
                     continue
