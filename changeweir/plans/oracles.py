@@ -117,7 +117,7 @@ MODEL_VIEWS = """, co AS (
 
 # Row images as JSON text.
 ORDER_JSON = """'{"id":' || id || ',"customer_id":' || customer_id || ',"order_date":"' || order_date
-        || '","amount":' || amount || ',"status":"' || status || '","created_at":"'
+        || '","amount":"' || amount || '","status":"' || status || '","created_at":"'
         || strftime(created_at, '%Y-%m-%d %H:%M:%S') || '"}'"""
 CUSTOMER_JSON = """'{"id":' || id || ',"name":"' || name || '","email":"' || email || '","created_at":"'
         || strftime(created_at, '%Y-%m-%d %H:%M:%S') || '"}'"""
@@ -422,7 +422,7 @@ BODIES: dict[str, str] = {
     "envelope_rejects": f"""SELECT 'orders' AS table_name, 'unknown mod type; not json' AS reason, '{{"op":"c","after":' AS data,
         created_at AS commit_ts, id + 10000000 AS seq FROM o WHERE id % 17 = 0
         UNION ALL SELECT 'orders', 'unknown mod type', '{{"id":' || id || ',"customer_id":' || customer_id || ',"order_date":"'
-          || order_date || '","amount":' || amount || ',"status":"' || status || '","created_at":"'
+          || order_date || '","amount":"' || amount || '","status":"' || status || '","created_at":"'
           || strftime(created_at, '%Y-%m-%d %H:%M:%S') || '"}}', created_at, id + 20000000 FROM o WHERE id % 19 = 0
         UNION ALL SELECT 'orders', 'unknown mod type; not json', NULL, created_at, id + 30000000 FROM o WHERE id % 23 = 0""",
     "kept_dq_summary": """SELECT 'unique_customers_cdc_id' AS rule, CAST(0 AS BIGINT) AS n_failed

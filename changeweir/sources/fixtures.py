@@ -153,7 +153,7 @@ def order_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     same moment in a later partition, and between them cut, unknown and empty messages."""
     image = (
         """'{"id":' || CAST(id AS STRING) || ',"customer_id":' || CAST(customer_id AS STRING) || ',"order_date":"'"""
-        """ || CAST(order_date AS STRING) || '","amount":' || CAST(amount AS STRING) || ',"status":"' || STATUS || '","created_at":"'"""
+        """ || CAST(order_date AS STRING) || '","amount":"' || CAST(amount AS STRING) || '","status":"' || STATUS || '","created_at":"'"""
         """ || date_format(created_at, 'yyyy-MM-dd HH:mm:ss') || '"}'"""
     )
     row, returned = image.replace("STATUS", "status"), image.replace("STATUS", "'returned'")
