@@ -42,7 +42,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Tokens can't be had in SQL; the tests hold run() against a plain version instead.
+#: Tokens can't be had in SQL; the tests hold run()'s documents against the stages one by one.
 ORACLE_SQL = None
 
 
