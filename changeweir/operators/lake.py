@@ -16,6 +16,11 @@ opens the buckets its keys fall into and no others.
 
 A batch id commits once: a replay finds its commit file and does nothing. One
 writer per table is assumed, as a streaming query gives.
+
+With a ``retention``, a compaction leaves out tombstones that much older than the newest change
+and notes the horizon. From then on a change from before the horizon whose key has no row can't be told
+from one that comes after its row's delete: it takes no effect and ``undecided`` returns it. A change whose
+key has a row, or a kept tombstone, is decided by versions as ever.
 """
 
 from __future__ import annotations
@@ -70,6 +75,8 @@ class Commit:
     layers: list[dict]
     counts: dict[str, int]
     recent: dict[str, int]
+    newest: str | None = None  # commit time of the newest change so far
+    horizon: str | None = None  # deletes from before it may have been forgotten
 
 
 class _Folder:
@@ -134,6 +141,7 @@ class LakeTable:
         bucket_by: Sequence[str] | None = None,
         buckets: int = 8,
         max_deltas: int = 20,
+        retention: str | None = None,
     ):
         if kind not in ("rows", "sums", "log"):
             raise ValueError(f"unknown kind {kind}")
@@ -142,6 +150,7 @@ class LakeTable:
         self.bucket_by = list(bucket_by or key)
         self.buckets = buckets
         self.max_deltas = max_deltas
+        self.retention = retention  # an interval as SQL spells it, such as "30 days"; None keeps every tombstone
         self.folder = _Folder(spark, root)
 
     # -- stored form ---------------------------------------------------------------
@@ -195,7 +204,7 @@ class LakeTable:
             raise ValueError(f"{self.root} has no version {version}")
         raw = json.loads(self.folder.read(self._file(version)))
         names = ("version", "batch_id", "operation", "layers", "counts", "recent")
-        return Commit(*[raw[n] for n in names])
+        return Commit(*[raw[n] for n in names], raw.get("newest"), raw.get("horizon"))
 
     def committed(self, batch_id: str) -> Commit | None:
         """The commit of a recent batch, if it was made."""
@@ -213,8 +222,17 @@ class LakeTable:
         return self
 
     def _publish(
-        self, parent: Commit | None, batch_id: str, operation: str, layers: list[dict], counts: dict[str, int]
+        self,
+        parent: Commit | None,
+        batch_id: str,
+        operation: str,
+        layers: list[dict],
+        counts: dict[str, int],
+        newest: str | None = None,
+        horizon: str | None = None,
     ) -> Commit:
+        newest = newest or (parent.newest if parent else None)
+        horizon = horizon or (parent.horizon if parent else None)
         version = 0 if parent is None else parent.version + 1
         known = {} if parent is None else parent.recent
         # Snapshots and the highest batch number are never forgotten; of other ids the newest are kept.
@@ -231,11 +249,13 @@ class LakeTable:
             "committed_at": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
             "layers": layers,
             "counts": counts,
+            "newest": newest,
+            "horizon": horizon,
             "recent": lasting | dict([*recent, (batch_id, version)]),
         }
         self.folder.publish(self._file(version), json.dumps(body))
         self.folder.write("_commits/hint", str(version))
-        return Commit(version, batch_id, operation, layers, counts, body["recent"])
+        return Commit(version, batch_id, operation, layers, counts, body["recent"], newest, horizon)
 
     def _write(self, df: DataFrame, kind: str, rebalance: bool = True) -> dict:
         name = f"data/{kind}-{uuid.uuid4().hex}"
@@ -267,8 +287,8 @@ class LakeTable:
     def merge(self, changes: DataFrame, batch_id: str) -> Commit:
         """Upsert and delete by key: stored-form ``changes``, any order, repeats allowed.
 
-        Only what is newer than the stored row takes effect. The new layer keeps
-        the replaced row beside each new one (``_before``).
+        Only what is newer than the stored row takes effect, and nothing that is ``undecided``. The new
+        layer keeps the replaced row beside each new one (``_before``).
         """
         done = self.committed(batch_id)
         if done:
@@ -280,7 +300,8 @@ class LakeTable:
             layer = self._write(self._effective(incoming, parent), _DELTA)
         finally:
             incoming.unpersist()
-        return self._after(self._publish(parent, batch_id, "merge", parent.layers + [layer], self._tally(layer)))
+        counts, newest = self._tally(layer, parent)
+        return self._after(self._publish(parent, batch_id, "merge", parent.layers + [layer], counts, newest))
 
     def _effective(self, incoming: DataFrame, parent: Commit) -> DataFrame:
         """The incoming rows that are newer than what is stored, each beside the row it replaces."""
@@ -292,8 +313,32 @@ class LakeTable:
         )
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in self.key])
         newer = F.col("_old_version").isNull() | (F.struct("_commit_ts", "_seq") > F.col("_old_version"))
+        if parent.horizon:
+            newer = newer & (F.col("_old_version").isNotNull() | ~self._before_horizon(parent))
         return incoming.join(renamed, same, "left").filter(newer).select(*self.stored.fieldNames(), BEFORE)
 
+    @staticmethod
+    def _before_horizon(commit: Commit) -> Column:
+        return F.coalesce(F.col("_commit_ts") < F.lit(commit.horizon).cast("timestamp_ntz"), F.lit(True))
+
+    def undecided(self, changes: DataFrame, batch_id: str) -> DataFrame:
+        """Stored-form ``changes`` (the newest of each key) that ``merge`` under this id leaves out, or left out.
+
+        They are from before the horizon and their key has neither row nor tombstone. Judged by the
+        version that the batch finds, so a replay names the same rows. Only changes that old are looked up.
+        """
+        done = self.committed(batch_id)
+        if done and done.batch_id != batch_id:  # long ago: what it left out was noted then
+            return self._empty()
+        parent = self.at(max(0, done.version - 1)) if done else self.create().latest()
+        if not parent.horizon:
+            return self._empty()
+        old = latest_per_key(changes.select(*self.stored.fieldNames()), self.key).filter(self._before_horizon(parent))
+        found = self.lookup(old.select(*self.key), parent.version)
+        found = found.select(*[F.col(k).alias(f"_old_{k}") for k in self.key])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in self.key])
+        return old.join(found, same, "left_anti")
+
     def mark(self, batch_id: str) -> Commit:
         """A commit without rows: the id is all that it notes."""
         parent = self.create().latest()
@@ -314,15 +359,18 @@ class LakeTable:
         layer = self._write(stamped, _DELTA, rebalance=False)
         return self._after(self._publish(parent, batch_id, "put", parent.layers + [layer], {}))
 
-    def _tally(self, layer: dict) -> dict[str, int]:
+    def _tally(self, layer: dict, parent: Commit) -> tuple[dict[str, int], str | None]:
+        """What a merge did, and the newest commit time so far."""
         had, gone = F.col(BEFORE).isNotNull(), F.col("_op") == "DELETE"
         row = self._read_layer(layer, with_before=True).agg(
             F.count_if(~had & ~gone).alias("inserted"),
             F.count_if(had & ~gone).alias("updated"),
             F.count_if(had & gone).alias("deleted"),
             F.count(F.lit(1)).alias("rows"),
+            F.greatest(F.max("_commit_ts"), F.lit(parent.newest).cast("timestamp_ntz")).cast("string").alias("newest"),
         ).head()
-        return row.asDict()
+        counts = row.asDict()
+        return counts, counts.pop("newest")
 
     def _after(self, commit: Commit) -> Commit:
         """Upkeep when there are many deltas; the commit itself is done."""
@@ -356,12 +404,23 @@ class LakeTable:
         return self._publish(parent, f"fold-{parent.version}", "fold", layers, {})
 
     def compact(self) -> Commit | None:
-        """Fold all layers into a new base. Nothing a reader sees changes."""
+        """Fold all layers into a new base, without tombstones past their retention. Nothing a reader sees changes."""
         parent = self.latest()
         if parent is None or not parent.layers or self.kind == "log":
             return parent
-        layer = self._write(self.resolved(parent.version), _BASE)
-        return self._publish(parent, f"compact-{parent.version}", "compact", [layer], {})
+        rows, horizon = self.resolved(parent.version), self._horizon(parent)
+        if horizon:
+            rows = rows.filter((F.col("_op") != "DELETE") | (F.col("_commit_ts") >= F.lit(horizon).cast("timestamp_ntz")))
+        layer = self._write(rows, _BASE)
+        return self._publish(parent, f"compact-{parent.version}", "compact", [layer], {}, horizon=horizon)
+
+    def _horizon(self, commit: Commit) -> str | None:
+        """The newest change's commit time less the retention; it never goes back."""
+        if self.kind != "rows" or self.retention is None or commit.newest is None:
+            return None
+        at = lambda text: F.lit(text).cast("timestamp_ntz")
+        wanted = at(commit.newest) - F.expr(f"INTERVAL {self.retention}")
+        return self.spark.range(1).select(F.greatest(wanted, at(commit.horizon)).cast("string")).head()[0]
 
     # -- reads -----------------------------------------------------------------------
 

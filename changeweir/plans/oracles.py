@@ -416,6 +416,13 @@ BODIES: dict[str, str] = {
     "reconcile_counts": """SELECT 'source' AS stage, COUNT(*) AS rows FROM o
         UNION ALL SELECT 'cdc', COUNT(*) FROM o_final UNION ALL SELECT 'sink', COUNT(*) FROM o_final""",
     "random_customers": "SELECT * FROM c ORDER BY md5('7:' || CAST(id AS VARCHAR)), id LIMIT 2",
+    "retained_orders_state": """SELECT id, customer_id, order_date, amount, status, created_at FROM o_final WHERE id % 7 <> 0
+        UNION ALL SELECT id, customer_id, order_date, amount, 'late', created_at FROM o WHERE id % 7 = 0 AND id % 5 <> 0""",
+    "retained_tombstones": """SELECT id, commit_ts AS deleted_at FROM chg WHERE mod_type = 'DELETE'
+        AND commit_ts >= (SELECT max(commit_ts) FROM chg) - INTERVAL 300 DAY""",
+    "retention_rejects": """SELECT 'orders' AS table_name, 'older than the deletes that are kept' AS reason, id,
+        created_at + INTERVAL 36 HOUR AS commit_ts, CAST(9 AS BIGINT) AS seq FROM o
+        WHERE id % 35 = 0 AND created_at + INTERVAL 2 DAY < (SELECT max(commit_ts) FROM chg) - INTERVAL 300 DAY""",
     "stream_dedup": "SELECT id, seq, mod_type, commit_ts FROM chg",
     "envelope_state": """SELECT id, customer_id, order_date, amount,
         CASE WHEN id % 6 = 0 THEN 'returned' ELSE status END AS status, created_at FROM o_final""",

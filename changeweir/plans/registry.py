@@ -484,6 +484,47 @@ def stream_dedup(spark, sf):
     return table.read()
 
 
+def _retained(spark, sf) -> ChangePipeline:
+    """The order log, compacted with tombstones of 300 days kept, then updates from 36 hours after each seventh order came."""
+
+    def build():
+        spec, log = SALES["orders"], fx.order_changes(spark, sf)
+        pipeline = ChangePipeline(spark, scratch_folder(spark, "retained"), {"orders": spec}, retention="300 days")
+        pipeline.process(to_records(log, spec, "analytics"), 0)
+        pipeline.tables["orders"].compact()
+        late = fx.orders(spark, sf).filter("id % 7 = 0").withColumns(
+            {
+                "status": F.lit("late"),
+                "mod_type": F.lit("UPDATE"),
+                "seq": F.lit(9).cast("bigint"),
+                "commit_ts": F.expr("created_at + INTERVAL 36 HOURS"),
+            }
+        )
+        pipeline.process(to_records(late, spec, "analytics"), 1)
+        return pipeline
+
+    return _once(spark, sf, "retained", build)
+
+
+@query
+def retained_orders_state(spark, sf):
+    """Late updates of orders that are there take effect; those of deleted ones don't, whether the delete is still known or not."""
+    return _retained(spark, sf).tables["orders"].read()
+
+
+@query
+def retained_tombstones(spark, sf):
+    return apply.deleted_keys(_retained(spark, sf).tables["orders"].resolved(), ["id"])
+
+
+@query
+def retention_rejects(spark, sf):
+    """Late updates whose orders' deletes are forgotten."""
+    rows = _retained(spark, sf).quarantine.read()
+    order_id = F.get_json_object("data", "$.id").cast("bigint").alias("id")
+    return rows.select("table_name", "reason", order_id, "commit_ts", "seq")
+
+
 @query
 def append_sink_rows(spark, sf):
     """Row images of a topic, streamed and appended once each."""

@@ -44,11 +44,15 @@ METRICS = T.StructType(
     ]
 )
 
+#: Why a change from before a table's horizon is set aside.
+TOO_LATE = "older than the deletes that are kept"
+
 
 class ChangePipeline:
     """Applies batches of change records to the tables of ``specs`` under ``root``.
 
-    Rejected records go to a quarantine table with their reason; nothing is dropped.
+    Rejected records go to a quarantine table with their reason; nothing is dropped. So do, with a ``retention`` among
+    the table options, changes too late to be told from ones that a forgotten delete has overtaken.
     ``marts`` are kept current when the tables are the sales ones. With ``metrics``,
     each batch notes its latency from source commit to table commit.
     """
@@ -82,13 +86,11 @@ class ChangePipeline:
         batch = batch.persist()
         decoded = {t: rows.persist() for t, rows in decode_all(batch, self.specs).items()}
         try:
-            merges = [
-                lambda t=t, rows=rows: self.tables[t].merge(
-                    with_meta(accepted(rows, self.specs[t]), self.specs[t]), name
-                )
-                for t, rows in decoded.items()
-            ]
-            done = together(self.spark, *merges, lambda: self.quarantine.append(rejected(batch, decoded), name))
+            changes = {t: with_meta(accepted(rows, self.specs[t]), self.specs[t]) for t, rows in decoded.items()}
+            # Named before the merges move the tables on.
+            aside = reduce(DataFrame.unionByName, self._too_late(changes, name), rejected(batch, decoded))
+            merges = [lambda t=t, rows=rows: self.tables[t].merge(rows, name) for t, rows in changes.items()]
+            done = together(self.spark, *merges, lambda: self.quarantine.append(aside, name))
             commits = dict(zip(decoded, done))
         finally:
             for rows in decoded.values():
@@ -100,6 +102,20 @@ class ChangePipeline:
             self.marts.refresh(commits["orders"].version, commits["customers"].version)
         return commits
 
+    def _too_late(self, changes: Mapping[str, DataFrame], name: str) -> list[DataFrame]:
+        """Per table, in the quarantine's columns, what ``LakeTable.undecided`` names; nothing without a retention."""
+        return [
+            self.tables[t].undecided(rows, name).select(
+                F.lit(t).alias("table_name"),
+                F.lit(TOO_LATE).alias("reason"),
+                F.to_json(F.struct(*self.specs[t].columns)).alias("data"),
+                F.col("_commit_ts").alias("commit_ts"),
+                F.col("_seq").alias("seq"),
+            )
+            for t, rows in changes.items()
+            if self.tables[t].latest().horizon
+        ]
+
     def _note_latency(self, commits: Mapping[str, Commit], name: str) -> None:
         now = F.current_timestamp().cast("timestamp_ntz")
         applied = [
@@ -122,8 +138,10 @@ class ChangePipeline:
         for name, rows in tables.items():
             if self.tables[name].committed(f"snapshot-{name}"):
                 continue
-            changes = snapshot_as_changes(rows, name, commit_ts)
-            self.tables[name].merge(with_meta(changes, self.specs[name]), f"snapshot-{name}")
+            changes = with_meta(snapshot_as_changes(rows, name, commit_ts), self.specs[name])
+            for late in self._too_late({name: changes}, f"snapshot-{name}"):
+                self.quarantine.append(late, f"snapshot-{name}")
+            self.tables[name].merge(changes, f"snapshot-{name}")
             loaded.append(name)
         if self.marts is not None:
             self.marts.catch_up()

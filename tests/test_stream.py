@@ -5,8 +5,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from changeweir.operators.apply import apply_changes, live
-from changeweir.operators.decode import to_records
+from changeweir.operators.apply import apply_changes, live, with_meta
+from changeweir.operators.decode import accepted, decode_all, to_records
 from changeweir.operators import quality
 from changeweir.operators.lake import LakeTable
 from changeweir.plans import adhoc
@@ -15,7 +15,7 @@ from changeweir.schemas import CUSTOMERS, ORDERS, SALES, SHOP
 from changeweir.session import scratch_folder
 from changeweir.sources import fixtures as fx
 from changeweir.sources.feeds import change_source
-from changeweir.streaming.pipeline import ChangePipeline, append_sink, tumbling_daily_stream, without_repeats_within
+from changeweir.streaming.pipeline import TOO_LATE, ChangePipeline, append_sink, tumbling_daily_stream, without_repeats_within
 from changeweir.streaming.rules import KeptRules
 
 SF = "/root/testdata/sf0.001"
@@ -400,3 +400,67 @@ def test_rules_follow_the_batches(spark):
         want = {r.rule: r.n_failed for r in quality.summary(frames, rules.rules).collect()}
         assert {r.rule: r.n_failed for r in rules.summary().collect()} == want
     assert sum(want.values()) == 0
+
+
+def _at(day, *events):
+    """Events of order 1.. as (table, type, data, minute, seq), minutes counted from a day on."""
+    return [record(t, m, d, 1440 * day + minute, seq) for t, m, d, minute, seq in events]
+
+
+def test_retention_keeps_new_tombstones_and_sets_late_changes_aside(spark):
+    def orders(day, kind, *ids, seq=1):
+        return _at(day, *[record("orders", kind, order(i, 1, "2025-01-15", "10.00", f"{kind}-{day}"), 0, seq) for i in ids])
+
+    root = scratch_folder(spark, "retention")
+    pipeline = ChangePipeline(spark, root, {"orders": ORDERS}, marts=False, retention="10 days")
+    first = orders(0, "INSERT", 1, 2, 3) + orders(1, "DELETE", 1) + orders(20, "DELETE", 2) + orders(25, "INSERT", 4)
+    pipeline.process(records(spark, *first), 0)
+    table = pipeline.tables["orders"]
+    before = table.latest().version
+    assert table.undecided(table.resolved(), "batch-x").count() == 0  # no horizon yet
+    table.compact()
+    assert table.latest().horizon == "2025-02-04 00:00:00"  # day 25 less ten
+    assert {r.id for r in table.resolved().filter("_op = 'DELETE'").collect()} == {2}  # 1 is forgotten
+    assert {r.id for r in table.read().collect()} == {3, 4} == {r.id for r in table.read(before).collect()}
+
+    late = records(
+        spark,
+        *orders(2, "UPDATE", 1, seq=2),  # the delete of day 1 is forgotten: can't be told
+        *orders(3, "UPDATE", 1, seq=3),  # and again: the newest of a key speaks for it
+        *orders(2, "UPDATE", 2, 3, seq=2),  # 2 is known to be deleted later; 3 is there
+        *orders(2, "INSERT", 5),  # never seen, as far as can be told
+        *orders(16, "INSERT", 6),  # never seen, within the retention
+        *orders(2, "UPDATE", 7) + orders(26, "INSERT", 7),  # its newest change is within
+    )
+    for _ in range(2):  # delivered again after a restart: nothing changes
+        again = ChangePipeline(spark, root, {"orders": ORDERS}, retention="10 days")
+        again.process(late, 1)
+        kept = {r.id: r.status for r in again.tables["orders"].read().collect()}
+        assert kept == {3: "UPDATE-2", 4: "INSERT-25", 6: "INSERT-16", 7: "INSERT-26"}
+        aside = again.quarantine.read().collect()
+        assert sorted((r.reason, r.seq, r.commit_ts.day) for r in aside) == [(TOO_LATE, 1, 22), (TOO_LATE, 3, 23)]
+    # A replay that finds the tables merged and the quarantine not written names the same rows.
+    changes = again.tables["orders"].undecided(with_meta(accepted(decode_all(late, {"orders": ORDERS})["orders"], ORDERS), ORDERS), "batch-1")
+    assert {r.id for r in changes.collect()} == {1, 5}
+
+    # A snapshot that comes after all that is judged alike; the horizon outlives other commits and never goes back.
+    snapshot = again.tables["orders"].read().filter("id = 4").withColumn("id", F.lit(9).cast("bigint"))
+    again.snapshot({"orders": snapshot}, F.expr("TIMESTAMP_NTZ'2025-01-21 00:00:00'"))
+    assert again.quarantine.read().count() == 3 and again.tables["orders"].read().count() == 4
+    longer = LakeTable(spark, again.tables["orders"].root, ORDERS.schema, ORDERS.key, retention="1000 days")
+    longer.compact()
+    assert longer.latest().horizon == "2025-02-04 00:00:00"
+    assert longer.latest().newest == "2025-02-15 00:00:00"
+
+
+def test_marts_follow_tables_with_a_retention(spark):
+    root = scratch_folder(spark, "retention-marts")
+    pipeline = ChangePipeline(spark, root, SALES, marts=True, retention="1 minute", max_deltas=1)
+    for i, events in enumerate((SEED, CHANGES, [record("orders", "UPDATE", order(2, 2, "2025-01-16", "1.00", "late"), 1, 9)])):
+        pipeline.process(records(spark, *events), i)
+        for table in pipeline.tables.values():
+            table.compact()
+    models = build_models({f"{n}_cdc": t.read() for n, t in pipeline.tables.items()}, Thresholds(), ["fct_customer_order_summary"])
+    full = models["fct_customer_order_summary"]
+    kept = pipeline.marts.read("fct_customer_order_summary").select(*full.columns)
+    assert kept.exceptAll(full).count() == full.exceptAll(kept).count() == 0
