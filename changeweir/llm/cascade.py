@@ -9,8 +9,8 @@ the cost and never the verdict, as the verdict is whether any rule rejects.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,22 +73,62 @@ def n_repeat_words(words_: Column, width: int = 3) -> Column:
     return F.when(F.size(words_) < width, F.lit(0)).otherwise(let(hashed(words_), counted)).cast("long")
 
 
+@dataclass(frozen=True)
+class Measures:
+    """What rules look at; a measure that the rows already carry as a column is taken from there."""
+
+    text: Column
+    words: Column
+    known: Mapping[str, Column] = field(default_factory=dict)
+
+    def _of(self, name: str, make: Callable[[], Column]) -> Column:
+        return self.known[name] if name in self.known else make()
+
+    @property
+    def n_words(self) -> Column:
+        return self._of("n_words", lambda: F.size(self.words))
+
+    @property
+    def word_chars(self) -> Column:
+        return self._of("word_chars", lambda: word_chars(self.text))
+
+    @property
+    def n_symbols(self) -> Column:
+        return self._of("n_symbols", lambda: n_symbols(self.text))
+
+    @property
+    def n_lines(self) -> Column:
+        return F.length(self.text) - F.length(F.translate(self.text, "\n", "")) + 1
+
+    @property
+    def n_dup_lines(self) -> Column:
+        return self._of("n_dup_lines", lambda: n_dup_lines(self.text))
+
+    @property
+    def n_repeat_words(self) -> Column:
+        return self._of("n_repeat_words", lambda: n_repeat_words(self.words))
+
+    @property
+    def n_capitals(self) -> Column:
+        return F.length(F.regexp_replace(self.text, r"[^\p{Lu}]+", ""))
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``reject`` takes the text and its words and is true where the document goes; null counts as not rejected."""
+    """``reject`` takes the measures of a text and is true where the document goes; null counts as not rejected."""
 
     name: str
-    reject: Callable[[Column, Column], Column]
+    reject: Callable[[Measures], Column]
 
 
 #: The base of the contract (too few words; too many repeated ones) and the further rules' limits.
 RULES = (
-    Rule("few_words", lambda t, w: F.size(w) < 50),
-    Rule("repeated_words", lambda t, w: n_repeat_words(w) * 100 > F.size(w) * 50),
-    Rule("symbols", lambda t, w: n_symbols(t) * 100 > F.size(w) * 30),
-    Rule("duplicate_lines", lambda t, w: n_dup_lines(t) * 100 > F.size(F.split(t, "\n")) * 50),
-    Rule("word_length", lambda t, w: (word_chars(t) > F.size(w) * 15) | (word_chars(t) < F.size(w) * 2)),
-    Rule("capitals", lambda t, w: F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")) * 2 > word_chars(t)),
+    Rule("few_words", lambda m: m.n_words < 50),
+    Rule("repeated_words", lambda m: m.n_repeat_words * 100 > m.n_words * 50),
+    Rule("symbols", lambda m: m.n_symbols * 100 > m.n_words * 30),
+    Rule("duplicate_lines", lambda m: m.n_dup_lines * 100 > m.n_lines * 50),
+    Rule("word_length", lambda m: (m.word_chars > m.n_words * 15) | (m.word_chars < m.n_words * 2)),
+    Rule("capitals", lambda m: m.n_capitals * 2 > m.word_chars),
 )
 
 
@@ -111,7 +151,8 @@ def plan_cascade(docs: DataFrame, rules=RULES, rows: int = SAMPLE_ROWS, seed: in
     fraction = min(1.0, rows * 1.2 / total)
     sample = docs.select(F.coalesce("text", F.lit("")).alias("text")).sample(fraction, seed).limit(rows)
     sample = sample.withColumn("words", words(F.col("text"))).persist()
-    hit = {r.name: F.coalesce(r.reject(F.col("text"), F.col("words")), F.lit(False)) for r in rules}
+    measures = Measures(F.col("text"), F.col("words"))
+    hit = {r.name: F.coalesce(r.reject(measures), F.lit(False)) for r in rules}
     flags = sample.select(*[c.alias(n) for n, c in hit.items()])
 
     def timed(df: DataFrame) -> float:
@@ -133,11 +174,11 @@ def plan_cascade(docs: DataFrame, rules=RULES, rows: int = SAMPLE_ROWS, seed: in
     return order
 
 
-def first_rejection(text: Column, words_: Column, order: list[Estimate], rules=RULES) -> Column:
+def first_rejection(measures: Measures, order: list[Estimate], rules=RULES) -> Column:
     """Name of the first rule in ``order`` that rejects, else null. Later rules are then not evaluated."""
     by_name, out = {r.name: r for r in rules}, None
     for e in order:
-        test = by_name[e.name].reject(text, words_)
+        test = by_name[e.name].reject(measures)
         out = F.when(test, F.lit(e.name)) if out is None else out.when(test, F.lit(e.name))
     return out
 
@@ -150,7 +191,7 @@ def judged(docs: DataFrame, rules=RULES) -> DataFrame:
     """
     order = plan_cascade(docs, rules)
     text = F.coalesce("text", F.lit(""))
-    return docs.withColumn("rejected_by", let(words(text), lambda w: first_rejection(text, w, order, rules)))
+    return docs.withColumn("rejected_by", let(words(text), lambda w: first_rejection(Measures(text, w), order, rules)))
 
 
 def kept_only(docs: DataFrame, rules=RULES) -> DataFrame:
@@ -174,7 +215,10 @@ def statistics(docs: DataFrame) -> DataFrame:
         n_repeat_words(F.col("words")).alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    verdict = F.when(failed, F.lit("base")).otherwise(first_rejection(F.col("text"), F.col("words"), order))
+    # Referred to twice, as output and by a rule, each measure is computed once: Catalyst keeps the two projections apart.
+    known = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
+    measures = Measures(F.col("text"), F.col("words"), known)
+    verdict = F.when(failed, F.lit("base")).otherwise(first_rejection(measures, order))
     return found.select(
         "doc_id",
         "n_words",
