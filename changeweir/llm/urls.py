@@ -34,7 +34,10 @@ SEEDS = frozenset(
 )
 #: Weight of the model's prior.
 PRIOR = 5.0
+#: Parts are joined with words by their substrings up to this length, and with longer words by those words' first so many letters.
 MAX_WORD = 24
+#: Starts of substrings in one block of rows, so that a part of any length is taken a stretch at a time.
+STARTS = 2048
 
 
 def path(url: Column) -> Column:
@@ -52,7 +55,7 @@ def rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 class Segmenter:
-    """Splits a name into the words with the largest product of probabilities; unknown stretches cost by length.
+    """Splits a name into the words with the largest product of probabilities; unknown stretches, of any length, cost by length.
 
     ``total`` is the sum of all counts, where ``counts`` holds only those that names can need.
     """
@@ -61,15 +64,32 @@ class Segmenter:
         total = (sum(counts.values()) if total is None else total) + 1.0
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
         self.unknown = math.log(total) + 2.0
+        self.longer = [w for w in self.cost if len(w) > MAX_WORD]
+
+    def _longer_words(self, name: str) -> dict[int, list[int]]:
+        """Starts of the words over ``MAX_WORD`` letters by their ends."""
+        found: dict[int, list[int]] = {}
+        for word in self.longer:
+            at = name.find(word)
+            while at >= 0:
+                found.setdefault(at + len(word), []).append(at)
+                at = name.find(word, at + 1)
+        return found
 
     def split(self, name: str) -> list[str]:
         n = len(name)
         best, back = [0.0] + [math.inf] * n, [0] * (n + 1)
+        longer = self._longer_words(name)
+        # Of all unknown stretches that end here only the cheapest counts, and it is the last place's or starts there.
+        stretch, begin = math.inf, 0
         for end in range(1, n + 1):
-            for start in range(max(0, end - MAX_WORD), end):
-                word = name[start:end]
-                cost = best[start] + self.cost.get(word, self.unknown + 2.0 * (end - start))
-                if cost < best[end]:
+            stretch += 2.0
+            if best[end - 1] + self.unknown + 2.0 < stretch:
+                stretch, begin = best[end - 1] + self.unknown + 2.0, end - 1
+            best[end], back[end] = stretch, begin
+            for start in (*longer.get(end, ()), *range(max(0, end - MAX_WORD), end)):
+                cost = best[start] + self.cost.get(name[start:end], math.inf)
+                if cost < best[end] or cost == best[end] and start < back[end]:
                     best[end], back[end] = cost, start
         out, end = [], n
         while end:
@@ -98,14 +118,20 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({c: pa.array(v, kind) for (c, kind), v in zip(kinds.items(), columns, strict=True)})
 
 
-def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each part with its distinct substrings that may be words."""
-    for batch in batches:
-        for part in batch.column("part").to_pylist():
-            n = len(part)
-            words = list({part[i:j] for i in range(n) for j in range(i + 2, min(n, i + MAX_WORD) + 1)})
-            if words:
-                yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(words)), "word": pa.array(words)})
+def _substrings(shortest: int, longest: int, name: str = "word"):
+    """Each part's number with its substrings of these lengths; distinct ones in a stretch of the part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pid, part in zip(batch.column("pid").to_pylist(), batch.column("part").to_pylist(), strict=True):
+                n = len(part)
+                for at in range(0, n, STARTS):
+                    starts = range(at, min(n, at + STARTS))
+                    words = list({part[i:j] for i in starts for j in range(i + shortest, min(n, i + longest) + 1)})
+                    if words:
+                        yield pa.RecordBatch.from_pydict({"pid": pa.array([pid] * len(words), pa.int64()), name: pa.array(words)})
+
+    return run
 
 
 def _split(total: int, seeds: dict[str, int]):
@@ -123,19 +149,28 @@ def _split(total: int, seeds: dict[str, int]):
 
 def word_counts(pages: DataFrame) -> DataFrame:
     """``word, n`` of all lower-case words of all pages, counted before the shuffle."""
-    words = F.explode(F.regexp_extract_all(F.lower("html"), F.lit(r"[\p{L}]{2,24}"), F.lit(0))).alias("word")
+    words = F.explode(F.regexp_extract_all(F.lower("html"), F.lit(r"\p{L}{2,}+"), F.lit(0))).alias("word")
     return pages.select(words).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def split_parts(parts: DataFrame, counts: DataFrame) -> DataFrame:
-    """``part, words`` for every row of ``parts(part)`` (distinct), by ``counts(word, n)``; seeds have a least count."""
+    """``part, words`` for every row of ``parts(part)`` (distinct), by ``counts(word, n)``; seeds have a least count.
+
+    A part meets the words up to ``MAX_WORD`` letters as its substrings, and longer ones by their first letters, of
+    which those stay that it holds.
+    """
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = {r.word: r.n for r in counts.where(F.col("word").isin(*SEEDS)).collect()}  # the seeds at most
     seeds = {w: max(1, total // 20_000, found.get(w, 0)) for w in SEEDS}
     total += sum(n - found.get(w, 0) for w, n in seeds.items())
-    known = parts.mapInArrow(_substrings, "part string, word string").join(counts, "word")
-    known = known.groupBy("part").agg(F.collect_list(F.struct("word", "n")).alias("known"))
-    return parts.join(known, "part", "left").select("part", "known").mapInArrow(_split(total, seeds), "part string, words array<string>")
+    parts = saved(parts.withColumn("pid", F.monotonically_increasing_id()), "url-distinct-parts")
+    short = parts.mapInArrow(_substrings(2, MAX_WORD), "pid long, word string").join(counts, "word").select("pid", "word", "n")
+    long = counts.where(F.length("word") > MAX_WORD).withColumn("start", F.substring("word", 1, MAX_WORD))
+    starts = parts.where(F.length("part") > MAX_WORD).mapInArrow(_substrings(MAX_WORD, MAX_WORD, "start"), "pid long, start string")
+    held = starts.distinct().join(long, "start").join(parts, "pid")
+    held = held.where(F.contains("part", "word")).select("pid", "word", "n")
+    known = short.union(held).groupBy("pid").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    return parts.join(known, "pid", "left").select("part", "known").mapInArrow(_split(total, seeds), "part string, words array<string>")
 
 
 def odds(tokens: DataFrame) -> tuple[DataFrame, float]:
