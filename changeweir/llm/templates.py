@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,6 +43,7 @@ _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>|<[a-zA-Z][^>]*+(?:>|\Z)""",
     re.S,
 )
+_SPACE = re.compile(r"\s+")
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _RAW_END = {name: re.compile(rf"</{name}\s*>|\Z", re.I) for name in RAW}
 
@@ -174,17 +176,43 @@ class Page:
     def candidates(self) -> list[tuple[int, int, int]]:
         """(start, end, hash) of subtrees that go where they recur: all, or in a marked article those that are links."""
         root = self.root
-        return [
-            (s, e, xxhash.xxh3_64_intdigest(" ".join(self.source[s:e].split()).encode("utf-8", "surrogatepass")) - 2**63)
-            for s, e, links, mark in self.spans
-            if (links and mark == root if root else True)
-        ]
+        hashes = self._hashes()
+        return [(s, e, hashes[s]) for s, e, links, mark in self.spans if (links and mark == root if root else True)]
+
+    def _hashes(self) -> dict[int, int]:
+        """Hash of each container by its start: of its own source, runs of white space as one, with its children's hashes
+        in their places. Children close, and so are listed, before their parents; each character is read once.
+        """
+        hashes: dict[int, int] = {}
+        waiting: list[tuple[int, int]] = []  # (start, end) of finished containers without a parent so far
+        for start, end, _, _ in self.spans:
+            first = len(waiting)
+            while first and waiting[first - 1][0] >= start:
+                first -= 1
+            digest, at = xxhash.xxh3_64(), start
+            for s, e in waiting[first:]:
+                digest.update(_SPACE.sub(" ", self.source[at:s]).encode("utf-8", "surrogatepass"))
+                digest.update(b"\0" + (hashes[s] + 2**63).to_bytes(8, "little"))
+                at = e
+            digest.update(_SPACE.sub(" ", self.source[at:end]).rstrip().encode("utf-8", "surrogatepass"))
+            hashes[start] = digest.intdigest() - 2**63
+            waiting[first:] = [(start, end)]
+        return hashes
 
     def main_text(self, template: set[int]) -> str:
-        gone = [(s, e) for s, e, h in self.candidates() if h in template] if template else []
+        # Subtrees lie inside each other or apart: of those that go only the outermost matter.
+        gone: list[tuple[int, int]] = []
+        for s, e, _ in sorted(x for x in self.candidates() if x[2] in template) if template else []:
+            if not gone or s >= gone[-1][1]:
+                gone.append((s, e))
+        begins = [s for s, _ in gone]
         root = self.root
-        kept = [t for t, at, mark in self.blocks if (not root or mark == root) and not any(s <= at < e for s, e in gone)]
-        return "\n\n".join(kept)
+
+        def stays(at: int) -> bool:
+            k = bisect_right(begins, at) - 1
+            return k < 0 or at >= gone[k][1]
+
+        return "\n\n".join(t for t, at, mark in self.blocks if (not root or mark == root) and stays(at))
 
 
 def host(url):
