@@ -125,3 +125,17 @@ def test_samples_merge(spark):
     parts = [adhoc.random_rows(df.filter(f"id % 3 = {i}"), 9, "id", seed=3) for i in range(3)]
     assert {r.id for r in adhoc.random_rows(parts[0].union(parts[1]).union(parts[2]), 9, "id", seed=3).collect()} == whole
     assert whole != {r.id for r in adhoc.random_rows(df, 9, "id", seed=4).collect()}
+
+
+def test_latency_percentiles_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    n = 300_001
+    ms = (F.col("id") * 7919 % n - 1000).alias("latency_ms")  # -1000 to 299,000, each once
+    rows = spark.range(n).select(F.lit("t").alias("g"), ms).unionByName(
+        spark.sql("SELECT 'none' AS g, CAST(NULL AS BIGINT) AS latency_ms")
+    )
+    got = {r.g: tuple(r)[1:] for r in quality.latency_summary(rows, ["g"]).collect()}
+    place = lambda q: -(-n * q // 100) - 1 - 1000
+    assert got["t"] == (n, 149_000.0, place(50), place(95), place(99), n - 1001)
+    assert got["none"] == (0, None, None, None, None, None)
