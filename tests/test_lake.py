@@ -186,3 +186,22 @@ def test_merge_statement():
     sql = iceberg_merge_sql("lake.orders", "batch", ["id"], ["id", "amount"])
     newer = "WHEN MATCHED AND (s._commit_ts > t._commit_ts OR (s._commit_ts = t._commit_ts AND s._seq > t._seq)) THEN UPDATE"
     assert f"{newer} SET t.amount = s.amount, t._op = s._op" in sql
+
+
+def test_a_bucket_is_written_by_as_many_tasks_as_it_needs(spark):
+    """One bucket, and tasks of 16 kB: the base has several files, and the same rows."""
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    table = LakeTable(spark, scratch_folder(spark, "wide"), schema, ["id"], buckets=1)
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    had = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        table.put(rows.withColumn("_op", F.lit("PUT")), "all", 1)
+        table.compact()
+    finally:
+        for k, v in had.items():
+            spark.conf.set(k, v)
+    assert table.files().count() > 4
+    assert table.read().exceptAll(rows).isEmpty() and table.read().count() == 20_000
