@@ -464,3 +464,18 @@ def test_marts_follow_tables_with_a_retention(spark):
     full = models["fct_customer_order_summary"]
     kept = pipeline.marts.read("fct_customer_order_summary").select(*full.columns)
     assert kept.exceptAll(full).count() == full.exceptAll(kept).count() == 0
+
+
+def test_a_batch_of_a_feed_lies_in_many_files(spark):
+    """Parts follow each other as batches; each is written, and so can be read, by more than one task."""
+    from changeweir.plans.registry import _change_files, _feed_part
+
+    root, spec = scratch_folder(spark, "feed"), SALES["orders"]
+    rows = to_records(fx.order_changes(spark, SF), spec, "analytics").drop("target_table").repartition(4)
+    stream, seen = _change_files(spark, SF, root, rows), []
+    at = stream.writeStream.foreachBatch(lambda df, i: seen.append((len(df.inputFiles()), df.count())) and None)
+    at.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 3 and sum(n for _, n in seen) == rows.count()
+    parts = spark.read.parquet(f"{root}/changes").selectExpr("_part", "_metadata.file_path AS f")
+    assert {r.n for r in parts.groupBy("_part").agg(F.countDistinct("f").alias("n")).collect()} == {4}
+    assert _feed_part(rows, f"{root}/more", 0) == 4
