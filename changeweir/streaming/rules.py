@@ -53,10 +53,11 @@ class KeptRules:
 
     def _apply(self, name: str, table: LakeTable, version: int) -> None:
         step = f"{name}-{version}"  # a step that was cut short is repeated next, and adds nothing twice
-        changes = table.changes(version).persist()
+        # Counted once for the sums and for the lookup; both come one row a value.
+        signed = self._signed(name, table, table.changes(version)).persist()
         try:
-            self.counts.append(self._signed(name, table, changes), step)
-            touched = self._signed(name, table, changes).select("rule", "value").distinct()
+            self.counts.append(signed, step)
+            touched = signed.select("rule", "value")
             now = self.counts.lookup(touched).select(F.col("rule").alias("_r"), F.col("value").alias("_v"), "n", "parents")
             same = F.col("rule").eqNullSafe(F.col("_r")) & F.col("value").eqNullSafe(F.col("_v"))
             op = F.when(self._fails(), F.lit("PUT")).otherwise(F.lit("DELETE"))
@@ -64,7 +65,7 @@ class KeptRules:
             self.failures.put(rows, step, self.failures.latest().version + 1)
             self.positions[name].mark(f"at-{version}")
         finally:
-            changes.unpersist()
+            signed.unpersist()
 
     # -- counting --------------------------------------------------------------------
 
