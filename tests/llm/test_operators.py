@@ -162,6 +162,35 @@ def test_byte_repeats(docs, empty):
     assert lpf.without_repeats(empty).count() == 0
 
 
+def test_shorter_shared_passages(spark):
+    """Passages under 400 bytes stay, and are told by the documents that share them; what one document repeats is not."""
+    pick = random.Random(8)
+    letters = lambda n: "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    passages = {n: letters(n) for n in (90, 256, 399)}
+    rows = [(10 * n + i, letters(700) + str(i) + p + str(i) + letters(700)) for n, p in passages.items() for i in range(3)]
+    twice = letters(300)
+    rows += [(1, twice + "<" + letters(500) + ">" + twice), (2, letters(2000)), (3, "short"), (4, None), (5, letters(260)), (6, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lpf.without_repeats(df, length=400, shorter=256).collect()}
+    width = lpf.gram_width(400)
+    for n in (256, 399):
+        assert all(width <= got[10 * n + i].n_shared <= n and not got[10 * n + i].n_removed for i in range(3))
+    assert [got[i].n_shared for i in (1, 2, 3, 4, 5, 901, 902)] == [0] * 7
+    assert got[6].n_shared == got[900].n_shared > 1000 and got[6].n_removed == got[6].n_bytes
+    with pytest.raises(ValueError):
+        lpf.without_repeats(df, length=400, shorter=50)
+
+
+def test_wide_grams():
+    """Texts that share only a phrase have no gram of a 400-byte repeat in common (they had with grams of 32 bytes)."""
+    pick = random.Random(3)
+    phrase = "of the first part and of the second part, each for himself, "
+    one, two = (
+        "".join("".join(pick.choices("abcdefgh ", k=40)) + phrase for _ in range(30)).encode() for _ in range(2)
+    )
+    assert not set(lpf.anchors(one, 400)[0].tolist()) & set(lpf.anchors(two, 400)[0].tolist())
+
+
 def test_anchors_of_pieces(monkeypatch):
     """Texts over a piece: every start has one anchor, whose gram is the least of the string wherever pieces end."""
     for size in (1, 50, 64, 333, 1000):
@@ -471,3 +500,17 @@ def test_large_groups_of_strings(spark):
     for i, text in rows:
         assert (got[i].n_removed, got[i].n_spans) == (460, 1), i
         assert got[i].kept_sha256 == hashlib.sha256(text.replace(passage, "").encode()).hexdigest()
+
+
+def test_large_groups_either_way(spark, monkeypatch):
+    """A group of many texts gives the same in one suffix array and string by string; the former while it is small in bytes."""
+    passage = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz", k=460))
+    rows = [(i, f"{i:03d}" * 20 + passage[i % 7 :] + f"{i * 7:04d}" * 30) for i in range(lpf.GROUP_TEXTS + 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    whole = sorted(lpf.without_repeats(df).collect())
+    counted = []
+    strings = lpf._strings
+    monkeypatch.setattr(lpf, "GROUP_BYTES", 0)
+    monkeypatch.setattr(lpf, "_strings", lambda length: counted.append(length) or strings(length))
+    assert sorted(lpf.without_repeats(df).collect()) == whole and counted
+    assert all(r.n_removed >= 453 for r in whole)
