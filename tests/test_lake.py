@@ -205,3 +205,24 @@ def test_a_bucket_is_written_by_as_many_tasks_as_it_needs(spark):
             spark.conf.set(k, v)
     assert table.files().count() > 4
     assert table.read().exceptAll(rows).isEmpty() and table.read().count() == 20_000
+
+
+def test_whole_rows_are_written_once(spark):
+    """Rows of an empty table become its base, without a compaction; later ones are laid over it."""
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType())])
+    for kind in ("rows", "sums"):
+        table = LakeTable(spark, scratch_folder(spark, "whole"), schema, ["id"], kind=kind).create()
+
+        def add(rows, step, seq):
+            if kind == "rows":
+                return table.put(rows.withColumn("_op", F.lit("PUT")), step, seq, True)
+            return table.append(rows, step, True)
+
+        add(spark.range(100).select("id", F.lit(1).cast("long").alias("n")), "all", 1)
+        assert [x["kind"] for x in table.latest().layers] == ["base"]
+        add(spark.range(98, 102).select("id", F.lit(2).cast("long").alias("n")), "more", 2)
+        assert [x["kind"] for x in table.latest().layers] == ["base", "delta"]
+        got = {r.id: r.n for r in table.read().collect()}
+        assert got == {i: 1 for i in range(98)} | {i: 2 if kind == "rows" or i > 99 else 3 for i in range(98, 102)}
+        found = table.lookup(spark.range(97, 100).select("id"))
+        assert sorted(r.n for r in found.collect()) == ([1, 2, 2] if kind == "rows" else [1, 3, 3])
